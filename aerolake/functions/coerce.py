@@ -14,12 +14,12 @@ def _c(col) -> Column:
 
 
 def try_double(col) -> Column:
-    return F.try_cast(F.trim(_c(col).cast("string")), "double")
+    return F.trim(_c(col).cast("string")).try_cast("double")
 
 
 def try_int(col) -> Column:
     t = F.trim(_c(col).cast("string"))
-    return F.when(t.rlike(r"^[+-]?[0-9]+$"), F.try_cast(t, "int"))
+    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
 
 
 def try_text(col) -> Column:

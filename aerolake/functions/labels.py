@@ -43,7 +43,7 @@ def _number_text(v: Column) -> Column:
 def prediction_label(pred_col) -> Column:
     """Class value (number or text) -> display text."""
     p = _c(pred_col)
-    as_num = F.try_cast(p.cast("string"), "double")
+    as_num = p.cast("string").try_cast("double")
     expr = F.when(p.isNull(), F.lit(MISSING_TEXT))
     for k, text in CLASS_TEXT.items():
         expr = expr.when(as_num == F.lit(float(k)), F.lit(text))

@@ -153,7 +153,7 @@ def _where(criteria: dict) -> str:
     return " AND ".join(preds) if preds else "TRUE"
 
 
-TOKENS = "list_filter(regexp_split_to_array({x}, '[ \\t\\n\\r\\f]+'), t -> t <> '')"
+TOKENS = "list_filter(regexp_split_to_array({x}, '[ \\t\\n\\r\\f]+'), lambda t: t <> '')"
 
 
 def _bm25(table: str, field: str, query: str) -> tuple[str, str, str]:
@@ -169,7 +169,7 @@ def _bm25(table: str, field: str, query: str) -> tuple[str, str, str]:
            f"bm_stats AS (SELECT count(*) AS N, avg(len(tk)) AS avgdl, {dfs} FROM bm_tok)")
     total = "cast(0 AS double)"
     for i, t in enumerate(terms):
-        tf = f"cast(len(list_filter(tk, x -> x = {_lit(t)})) AS double)"
+        tf = f"cast(len(list_filter(tk, lambda x: x = {_lit(t)})) AS double)"
         idf = f"ln(1.0 + (N - df{i} + 0.5) / (df{i} + 0.5))"
         norm = f"({K1} * ((1.0 - {B}) + {B} * cast(len(tk) AS double) / avgdl))"
         total = f"({total} + {idf} * {tf} * {K1 + 1.0} / ({tf} + {norm}))"
