@@ -90,11 +90,11 @@ REQUEST_MESSAGE_FIELDS = ["DepDelay", "Carrier", "FlightDate", "Dest", "FlightNu
                           "DayOfYear", "DayOfMonth", "DayOfWeek", "Timestamp", "UUID"]
 
 
-def request_messages(enriched: DataFrame) -> DataFrame:
+def request_messages(enriched: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Publishable request records (SNK8): key = UUID, value = JSON of the
-    features. Write them with ``.write.format(<topic format>)``."""
+    features (plus ``keep`` columns). Write them with ``.write.format(...)``."""
     return enriched.select(F.col("UUID").alias("key"),
-                           messages.to_message(*REQUEST_MESSAGE_FIELDS).alias("value"))
+                           messages.to_message(*REQUEST_MESSAGE_FIELDS).alias("value"), *(keep or []))
 
 
 def make_tasks(enriched: DataFrame) -> DataFrame:

@@ -322,3 +322,13 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT round(regr_slope(ArrDelay, DepDelay), 6) AS slope, "
         "round(regr_intercept(ArrDelay, DepDelay), 6) AS intercept, count(*) AS n FROM flights"),
 }
+
+ORACLE_SQL["stream_parse"] = _with("parsed") + (
+    "SELECT md5(cast(event_id AS varchar)) AS key, Origin, Dest, Carrier, FlightNum, FlightDate, DepDelay, "
+    "UUID, is_valid FROM parsed")
+ORACLE_SQL["request_response_stream"] = _with("first_reply") + (
+    ", r AS (SELECT md5(cast(event_id AS varchar)) AS UUID, ts AS rq_ts FROM events), "
+    "m AS (SELECT r.UUID, f.prediction, f.rs_ts IS NOT NULL AND f.rs_ts >= r.rq_ts "
+    "AND f.rs_ts <= r.rq_ts + INTERVAL 20 SECOND AS hit FROM r LEFT JOIN first_reply f ON r.UUID = f.UUID) "
+    "SELECT UUID, CASE WHEN hit THEN 'OK' ELSE 'TIMEOUT' END AS status, "
+    "CASE WHEN hit THEN prediction END AS prediction FROM m")
