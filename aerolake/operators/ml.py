@@ -121,13 +121,15 @@ REGRESSION_CATEGORICAL = ["Origin", "Dest", "FlightNum"]
 REGRESSION_NUMERIC = ["Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
 
 
-def train_regressor(train: DataFrame, label: str = "ArrDelay", num_features: int = 1 << 12) -> PipelineModel:
-    """Delay-minutes regression (ML4): hashed categories + numbers -> linear model."""
+def train_regressor(train: DataFrame, label: str = "ArrDelay", num_features: int = 1 << 10) -> PipelineModel:
+    """Delay-minutes regression (ML4): hashed categories + numbers -> ridge
+    regression solved from the normal equations: one pass that sums a
+    fixed-size (num_features^2) Gram matrix per task, whatever the row count."""
     hasher = FeatureHasher(inputCols=REGRESSION_CATEGORICAL + REGRESSION_NUMERIC,
                            categoricalCols=REGRESSION_CATEGORICAL, outputCol="features",
                            numFeatures=num_features)
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="Delay",
-                          regParam=0.01, maxIter=50)
+                          regParam=0.01, elasticNetParam=0.0, solver="normal")
     cols = REGRESSION_CATEGORICAL + REGRESSION_NUMERIC + [label]
     data = train.select(*cols).na.drop(subset=cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -310,7 +310,7 @@ def q_assemble_features(spark, sf):
 
 
 def _trained(t: Tables):
-    return ml.train_classifier(ml.training_frame(t.flights))
+    return t.classifier()
 
 
 @register("train_metrics")
@@ -327,7 +327,8 @@ def q_score_batch(spark, sf):
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     t = Tables(spark, sf)
-    path = ml.save_model(_trained(t), shared_path(spark, "models", "delay_classifier", unique=True))
+    model = ml.train_classifier(ml.training_frame(t.flights))
+    path = ml.save_model(model, shared_path(spark, "models", "delay_classifier", unique=True))
     return _ts_text(ml.score(ml.load_model(path), t.enriched.drop("event_id", "ts")))
 
 
@@ -340,5 +341,4 @@ def q_score_tasks(spark, sf):
 @register("delay_regression_predict")
 def q_delay_regression_predict(spark, sf):
     t = Tables(spark, sf)
-    model = ml.train_regressor(rq.with_date_parts(t.flights))
-    return ml.predict_delay(model, t.tasks)
+    return ml.predict_delay(t.regressor(), t.tasks)

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake.operators import requests as rq, rollups
 from aerolake.sources import fixtures
+from aerolake.sources.materialize import cached_model, materialize
 from aerolake.sources.tables import read_table
 
+FLIGHT_INPUTS = ["lineitem", "orders", "customer", "supplier", "part", "nation"]
+
 
 class Tables:
     """Lazily built views over one scale-factor folder. Nothing is computed
@@ -21,10 +24,33 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def paths(self, *names: str) -> list[str]:
+        return [f"{self.sf_dir.rstrip('/')}/{n}.parquet" for n in names]
+
     @cached_property
     def flights(self) -> DataFrame:
+        """The flight fact table, stored once per input fingerprint, clustered
+        by date (lookups by day read few row groups)."""
+        return materialize(self.spark, "flights", self.paths(*FLIGHT_INPUTS),
+                           lambda: fixtures.flights(self.spark, self.sf_dir),
+                           cluster_by=["FlightDate", "FlightId"])
+
+    @cached_property
+    def flights_view(self) -> DataFrame:
+        """The same rows as an unmaterialized plan over the driver's tables."""
         return fixtures.flights(self.spark, self.sf_dir)
 
+    def classifier(self):
+        """The delay classifier trained on these flights (stored artifact)."""
+        from aerolake.operators import ml
+        return cached_model(self.spark, "delay_classifier", self.paths(*FLIGHT_INPUTS),
+                            lambda: ml.train_classifier(ml.training_frame(self.flights)))
+
+    def regressor(self):
+        from aerolake.operators import ml
+        return cached_model(self.spark, "delay_regressor", self.paths(*FLIGHT_INPUTS),
+                            lambda: ml.train_regressor(rq.with_date_parts(self.flights)))
+
     @cached_property
     def airplanes(self) -> DataFrame:
         return fixtures.airplanes(self.spark, self.sf_dir)

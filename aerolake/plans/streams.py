@@ -10,7 +10,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake import schemas
-from aerolake.operators import ml
 from aerolake.operators import requests as rq
 from aerolake.plans.catalog import register
 from aerolake.plans.context import Tables
@@ -63,7 +62,7 @@ def q_stream_parse(spark, sf):
 
 def _scored_stream(spark: SparkSession, sf: str):
     t = Tables(spark, sf)
-    model = ml.train_classifier(ml.training_frame(t.flights))
+    model = t.classifier()
     topic = read_topic(spark, "parquet", _message_topic(spark, t))
     return sc.score_stream(topic, model)
 
