@@ -13,7 +13,12 @@ PLAN_ONLY = ["route_distance", "flight_lookup", "search_flights", "word_count",
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
 
 
 @pytest.mark.parametrize("name", PLAN_ONLY)
@@ -33,8 +38,15 @@ def test_lookup_pushes_filter_and_prunes(spark):
 
 def test_route_distance_reads_only_needed_columns(spark):
     p = plan(E.queries()["route_distance"](spark, SF_SMALL))
-    # lineitem scan reads keys only, no prices or flags
-    assert "l_extendedprice" not in p and "l_returnflag" not in p
+    assert "ReadSchema: struct<Origin:string,Dest:string,Distance:double>" in p
+    # the unmaterialized view also prunes: lineitem scan reads no prices or flags
+    v = plan(rollups.route_distance(Tables(spark, SF_SMALL).flights_view))
+    assert "l_extendedprice" not in v and "l_returnflag" not in v
+
+
+def test_day_lookup_pushes_date_filter(spark):
+    p = plan(E.queries()["list_flights"](spark, SF_SMALL))
+    assert "PushedFilters" in p and "EqualTo(FlightDate,1995-02-16)" in p
 
 
 def test_enrich_distance_broadcasts_bounded_routes(spark):
@@ -45,5 +57,5 @@ def test_enrich_distance_broadcasts_bounded_routes(spark):
 
 
 def test_nation_joins_broadcast(spark):
-    p = plan(Tables(spark, SF_SMALL).flights)
+    p = plan(Tables(spark, SF_SMALL).flights_view)
     assert "BroadcastExchange" in p

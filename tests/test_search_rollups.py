@@ -49,7 +49,12 @@ def test_search_page_and_missing_sort_key_ignored(spark):
 def test_paging_plans_as_top_k(spark):
     df = flights(spark)
     page = search.search(df, {"Origin": "ATL"}, ["DepTime"], tie=["FlightId"], start=20, size=10)
-    plan = page._jdf.queryExecution().executedPlan().toString()
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        page.explain()
+    plan = buf.getvalue()
     assert "TakeOrderedAndProject" in plan
 
 
@@ -136,3 +141,23 @@ def test_enrich_distance_keeps_missing(spark):
     dist = rollups.route_distance(flights(spark), ordered=False)
     got = {(r.Origin, r.Dest): r.Distance for r in joins.enrich_distance(reqs, dist, max_rows=1000).collect()}
     assert got == {("ATL", "SFO"): 2140.0, ("ATL", "XXX"): None}
+
+
+def test_materialized_flights_equal_view(spark):
+    from aerolake.plans.context import Tables
+    from conftest import SF_SMALL
+    t = Tables(spark, SF_SMALL)
+    assert t.flights.exceptAll(t.flights_view).count() == 0
+    assert t.flights.count() == t.flights_view.count()
+
+
+def test_fingerprint_changes_with_inputs(spark, scratch):
+    from aerolake.sources.materialize import fingerprint, materialize
+    p = scratch + "/t"
+    spark.range(10).write.parquet(p)
+    a = fingerprint(spark, [p])
+    assert fingerprint(spark, [p]) == a
+    spark.range(5).write.mode("append").parquet(p)
+    assert fingerprint(spark, [p]) != a
+    n = materialize(spark, "test_tbl", [p], lambda: spark.read.parquet(p), cluster_by=["id"]).count()
+    assert n == 15
