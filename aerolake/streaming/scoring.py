@@ -98,12 +98,21 @@ def start_console_sink(df: DataFrame, trigger: dict | None = None) -> StreamingQ
 
 def start_fanout(df: DataFrame, writers: dict[str, BatchWriter], checkpoint_root: str,
                  trigger: dict | None = None, name: str = "fanout") -> StreamingQuery:
-    """One query, scored once per micro-batch, written to every sink (SNK6)."""
+    """One query, scored once per micro-batch, written to every sink (SNK6).
+
+    The first sink's write fills the cache of the scored batch; the other
+    sinks then write from the cache as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
     def write_all(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for w in writers.values():
-                w(batch, batch_id)
+            first, *rest = list(writers.values())
+            first(batch, batch_id)
+            if rest:
+                with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+                    for f in [pool.submit(w, batch, batch_id) for w in rest]:
+                        f.result()
         finally:
             batch.unpersist()
     return _writer(df, name, checkpoint_root, trigger).foreachBatch(write_all).start()
