@@ -1,50 +1,64 @@
 """Fixture views that map the driver's tables onto the reference's data model.
 
 Each view is the DataFrame form of the SQL in FIXTURES.md part B; the oracle
-module holds the same SQL for DuckDB. Joins to ``nation`` use a broadcast hint:
-that dimension has a fixed size (25 rows) at every scale. Every other join is
-left to Spark's size checks and AQE, which pick broadcast or sort-merge from
-measured sizes.
+module holds the same SQL for DuckDB. ``nation`` (25 rows at every scale) is
+broadcast after a checked row count (``broadcast_if_bounded``); every other
+join is left to Spark's size checks and AQE, which pick broadcast or
+sort-merge from measured sizes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from aerolake.operators.joins import broadcast_if_bounded
 from aerolake.sources.tables import read_table
 
+# A dimension above this many rows is joined by shuffle instead of broadcast.
+NATION_MAX_ROWS = 10_000
+
+
+def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return broadcast_if_bounded(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
+                                NATION_MAX_ROWS)
+
 
 def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flight history (A4): one row per line item."""
+    """Flight history (A4): one row per line item.
+
+    Join order matters at scale: the dimensions are narrowed first (customer
+    and supplier get their nation names; orders gets carrier and destination
+    from its customer), so the line-item stream is shuffled once per key it
+    joins on (order, supplier, part) and never for the customer key.
+    """
     t = lambda n: read_table(spark, sf_dir, n)
-    li = t("lineitem")
-    o = t("orders").select("o_orderkey", "o_custkey")
-    c = t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    s = t("supplier").select("s_suppkey", "s_nationkey")
+    nation = _nation(spark, sf_dir)
+    cust = (t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+            .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("Dest")),
+                  "c_nationkey"))
+    ords = (t("orders").select("o_orderkey", "o_custkey")
+            .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+            .select("o_orderkey", F.col("c_mktsegment").alias("Carrier"), "Dest"))
+    sup = (t("supplier").select("s_suppkey", "s_nationkey")
+           .join(nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("Origin")),
+                 "s_nationkey")
+           .select("s_suppkey", "Origin"))
     p = t("part").select("p_partkey", "p_retailprice")
-    nation = t("nation")
-    n_origin = F.broadcast(nation.select(F.col("n_nationkey").alias("s_nationkey"),
-                                         F.col("n_name").alias("Origin")))
-    n_dest = F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"),
-                                       F.col("n_name").alias("Dest")))
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(p, F.col("l_partkey") == F.col("p_partkey"))
-         .join(n_origin, "s_nationkey")
-         .join(n_dest, "c_nationkey"))
+    li = t("lineitem")
+    j = (li.join(ords, li.l_orderkey == ords.o_orderkey)
+         .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(p, F.col("l_partkey") == F.col("p_partkey")))
     ship = F.col("l_shipdate").cast("date")
     flight_id = F.md5(F.concat_ws(
         "|", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"),
         _s(F.col("l_quantity").cast("int")), _s(ship)))
     return j.select(
         flight_id.alias("FlightId"),
-        F.col("c_mktsegment").alias("Carrier"),
-        "Origin", "Dest",
+        "Carrier", "Origin", "Dest",
         F.concat(F.lit("N"), _s("l_partkey")).alias("TailNum"),
         _s("l_suppkey").alias("FlightNum"),
         ship.alias("FlightDate"),
@@ -90,9 +104,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     value JSON text). ``error`` events carry truncated JSON; destination
     ``XXX`` has no route distance; carrier ``ZZ`` is unseen."""
     ev = read_table(spark, sf_dir, "events")
-    nation = read_table(spark, sf_dir, "nation")
-    no = F.broadcast(nation.select(F.col("n_nationkey").alias("_o_key"), F.col("n_name").alias("_o_name")))
-    nd = F.broadcast(nation.select(F.col("n_nationkey").alias("_d_key"), F.col("n_name").alias("_d_name")))
+    nation = _nation(spark, sf_dir)
+    no = nation.select(F.col("n_nationkey").alias("_o_key"), F.col("n_name").alias("_o_name"))
+    nd = nation.select(F.col("n_nationkey").alias("_d_key"), F.col("n_name").alias("_d_name"))
     j = (ev.join(no, (F.col("user_id") % 25) == F.col("_o_key"), "left")
            .join(nd, (F.col("event_id") % 26) == F.col("_d_key"), "left"))
     carrier = F.element_at(F.array(*[F.lit(x) for x in REQUEST_CARRIERS]),
