@@ -39,42 +39,55 @@ def _tf(toks: Column, term: str) -> Column:
 
 def corpus_stats(df: DataFrame, text_col: str, terms: list[str]) -> dict:
     """N, avgdl and df per term over the whole table (one aggregation job)."""
-    toks = tokens(text_col, lower=True)
-    aggs = [F.count(F.lit(1)).alias("N"), F.avg(F.size(toks)).alias("avgdl")]
-    aggs += [F.sum(F.array_contains(toks, t).cast("long")).alias(f"df{i}") for i, t in enumerate(terms)]
-    row = df.agg(*aggs).first()
+    tk = df.select(tokens(text_col, lower=True).alias("_tk"))
+    aggs = [F.count(F.lit(1)).alias("N"), F.avg(F.size("_tk")).alias("avgdl")]
+    aggs += [F.sum(F.array_contains("_tk", t).cast("long")).alias(f"df{i}") for i, t in enumerate(terms)]
+    row = tk.agg(*aggs).first()
     return {"N": row["N"], "avgdl": row["avgdl"] or 0.0,
             "df": [row[f"df{i}"] or 0 for i in range(len(terms))]}
 
 
-def bm25_score(text_col: str, terms: list[str], stats: dict, k1: float = K1, b: float = B) -> Column:
-    """Per-row BM25 score of ``text_col`` for the query terms (0 if no match)."""
-    toks = tokens(text_col, lower=True)
+def bm25_score(toks: Column, terms: list[str], stats: dict, k1: float = K1, b: float = B,
+               tfs: list[Column] | None = None) -> Column:
+    """Per-row BM25 score of a token-array column for the query terms (0 if
+    no match). ``tfs`` may pass precomputed term-frequency columns."""
     dl = F.size(toks).cast("double")
     avgdl = stats["avgdl"] or 1.0
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / F.lit(avgdl))
     total = F.lit(0.0)
-    for term, dfreq in zip(terms, stats["df"]):
+    for i, (term, dfreq) in enumerate(zip(terms, stats["df"])):
         idf = math.log(1.0 + (stats["N"] - dfreq + 0.5) / (dfreq + 0.5))
-        tf = _tf(toks, term).cast("double")
+        tf = tfs[i] if tfs is not None else _tf(toks, term).cast("double")
         total = total + F.lit(idf) * tf * F.lit(k1 + 1.0) / (tf + norm)
     return F.coalesce(total, F.lit(0.0))
 
 
-def match_predicate(text_col: str, terms: list[str]) -> Column:
-    """True when the field shares at least one token with the query."""
-    return F.arrays_overlap(tokens(text_col, lower=True), F.array(*[F.lit(t) for t in terms]))
+def match_predicate(toks: Column, terms: list[str]) -> Column:
+    """True when the token array shares at least one token with the query."""
+    return F.arrays_overlap(toks, F.array(*[F.lit(t) for t in terms]))
 
 
-def match_relevance(df: DataFrame, text_col: str, query: str, id_cols=(), digits: int | None = 6,
-                    score_col: str = "score") -> DataFrame:
-    """Rows whose ``text_col`` matches ``query``, with their BM25 score."""
+def scored(df: DataFrame, text_col: str, query: str, score_col: str = "score",
+           digits: int | None = 6) -> DataFrame:
+    """Rows of ``df`` whose ``text_col`` matches ``query``, plus their score.
+    Each text is tokenised once, in its own projection."""
     terms = _query_terms(query)
     if not terms:
         return df.where(F.lit(False)).withColumn(score_col, F.lit(0.0))
     stats = corpus_stats(df, text_col, terms)
-    score = bm25_score(text_col, terms, stats)
+    with_tk = df.withColumn("_tk", tokens(text_col, lower=True))
+    hit = with_tk.where(match_predicate(F.col("_tk"), terms))
+    # one pass over the token array per term; each count is used twice below
+    tf_cols = [f"_tf{i}" for i in range(len(terms))]
+    hit = hit.select("*", *[_tf(F.col("_tk"), t).cast("double").alias(c) for t, c in zip(terms, tf_cols)])
+    score = bm25_score(F.col("_tk"), terms, stats, tfs=[F.col(c) for c in tf_cols])
     if digits is not None:
         score = F.round(score, digits)
-    cols = list(id_cols) + [text_col] if id_cols else ["*"]
-    return df.where(match_predicate(text_col, terms)).select(*cols, score.alias(score_col))
+    return hit.withColumn(score_col, score).drop("_tk", *tf_cols)
+
+
+def match_relevance(df: DataFrame, text_col: str, query: str, id_cols=(), digits: int | None = 6,
+                    score_col: str = "score") -> DataFrame:
+    """Rows whose ``text_col`` matches ``query``, with their BM25 score."""
+    cols = list(id_cols) + [text_col] if id_cols else list(df.columns)
+    return scored(df.select(*cols), text_col, query, score_col, digits)

@@ -15,6 +15,7 @@ from typing import Any, Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolake.operators import relevance
+from aerolake.operators.rollups import tokens
 
 
 def _given(v: Any) -> bool:
@@ -80,15 +81,18 @@ def searched(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterable[s
     exact = {k: v for k, v in criteria.items() if k not in text}
     out = df.where(criteria_predicate(exact))
     score = F.lit(0.0)
-    for field in text:
+    tmp = []
+    for i, field in enumerate(sorted(text)):
         query = criteria.get(field)
         if not _given(query):
             continue
         terms = relevance._query_terms(str(query))
         stats = relevance.corpus_stats(df, field, terms)  # statistics of the whole table
-        out = out.where(relevance.match_predicate(field, terms))
-        score = score + relevance.bm25_score(field, terms, stats)
-    return out.withColumn(score_col, F.round(score, 6))
+        tk = f"_tk{i}"
+        tmp.append(tk)
+        out = out.withColumn(tk, tokens(field, lower=True)).where(relevance.match_predicate(F.col(tk), terms))
+        score = score + relevance.bm25_score(F.col(tk), terms, stats)
+    return out.withColumn(score_col, F.round(score, 6)).drop(*tmp)
 
 
 def search_count(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterable[str] = (),
@@ -99,7 +103,8 @@ def search_count(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterab
     out = df.where(criteria_predicate(exact))
     for field in text:
         if _given(criteria.get(field)):
-            out = out.where(relevance.match_predicate(field, relevance._query_terms(str(criteria[field]))))
+            terms = relevance._query_terms(str(criteria[field]))
+            out = out.where(relevance.match_predicate(tokens(field, lower=True), terms))
     return out.agg(F.count(F.lit(1)).alias(alias))
 
 

@@ -171,8 +171,8 @@ def q_match_relevance(spark, sf):
 
 @register("match_relevance_documents")
 def q_match_relevance_documents(spark, sf):
-    docs = Tables(spark, sf).table("documents")
-    return relevance.match_relevance(docs, "text", DOCUMENT_QUERY, id_cols=["doc_id"]).drop("text")
+    docs = Tables(spark, sf).table("documents").select("doc_id", "text")
+    return relevance.scored(docs, "text", DOCUMENT_QUERY).drop("text")
 
 
 @register("flights_page_keyset")
@@ -327,8 +327,7 @@ def q_score_batch(spark, sf):
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     t = Tables(spark, sf)
-    model = ml.train_classifier(ml.training_frame(t.flights))
-    path = ml.save_model(model, shared_path(spark, "models", "delay_classifier", unique=True))
+    path = ml.save_model(_trained(t), shared_path(spark, "models", "delay_classifier", unique=True))
     return _ts_text(ml.score(ml.load_model(path), t.enriched.drop("event_id", "ts")))
 
 
