@@ -118,11 +118,11 @@ def results_for_day(results: DataFrame, iso_date: str, ts_col: str = "Timestamp"
     return day_range_text(results, ts_col, dates.iso_day(d), dates.day_after(d))
 
 
-def response_messages(scored: DataFrame) -> DataFrame:
+def response_messages(scored: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Response records (SNK3, PRJ4, SCA3): key = UUID, value = JSON of the
-    result fields (null fields left out)."""
+    result fields (null fields left out), plus ``keep`` columns."""
     return scored.select(F.col("UUID").alias("key"),
-                         messages.to_message(*schemas.RESPONSE_FIELDS).alias("value"))
+                         messages.to_message(*schemas.RESPONSE_FIELDS).alias("value"), *(keep or []))
 
 
 def parse_responses(msgs: DataFrame, value_col: str = "value") -> DataFrame:

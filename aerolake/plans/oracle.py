@@ -332,3 +332,5 @@ ORACLE_SQL["request_response_stream"] = _with("first_reply") + (
     "AND f.rs_ts <= r.rq_ts + INTERVAL 20 SECOND AS hit FROM r LEFT JOIN first_reply f ON r.UUID = f.UUID) "
     "SELECT UUID, CASE WHEN hit THEN 'OK' ELSE 'TIMEOUT' END AS status, "
     "CASE WHEN hit THEN prediction END AS prediction FROM m")
+
+ORACLE_SQL["response_lookup_stream"] = ORACLE_SQL["response_lookup"]

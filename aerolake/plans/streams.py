@@ -16,7 +16,7 @@ from aerolake.plans.context import Tables
 from aerolake.session import shared_path
 from aerolake.streaming import correlate as corr
 from aerolake.streaming import scoring as sc
-from aerolake.streaming.topics import publish, read_topic, topic_records
+from aerolake.streaming.topics import as_text, publish, read_topic, topic_records
 
 AVAILABLE_NOW = {"availableNow": True}
 SENTINEL_UUID = "~end-of-input"
@@ -121,3 +121,19 @@ def q_request_response_stream(spark, sf):
     out = corr.correlate(rq_stream, rs_stream, limit_seconds=20)
     res = spark.read.parquet(_run_to_parquet(spark, out, "request_response"))
     return res.where(F.col("UUID") != SENTINEL_UUID)
+
+
+@register("response_lookup_stream")
+def q_response_lookup_stream(spark, sf):
+    """The reader side of the response topic (SRC7 + FIL8) as a stream: decode
+    each record, keep the first whose JSON value carries the wanted UUID."""
+    from aerolake.functions.labels import delay_class
+    from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text
+    t = Tables(spark, sf)
+    scored = t.enriched.withColumn("prediction", delay_class("DepDelay"))
+    msgs = rq.response_messages(scored, keep=["Timestamp"])
+    topic = _stage(spark, "responses", topic_records(msgs, "key", "value", "Timestamp"))
+    texts = as_text(read_topic(spark, "parquet", topic)).select("key", "value")
+    hit = rq.response_lookup(texts, _md5_text(LOOKUP_UUID_EVENT))
+    out = spark.read.parquet(_run_to_parquet(spark, hit, "response_lookup"))
+    return _ts_text(rq.parse_responses(out))

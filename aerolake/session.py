@@ -44,24 +44,29 @@ def get_session(master: str | None = None, app: str = "aerolake",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a folder of its own
-    (tests); on a cluster a machine-local folder would be lost with the host.
+    Read from the session; only a local-mode session without that setting
+    gets a folder of its own (tests). On a cluster a machine-local folder
+    would be lost with the host, so a missing setting is an error there.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
-    if root:
-        return root
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-        configured = tempfile.mkdtemp(prefix="aerolake-ckpt-")
-    sc.setCheckpointDir(configured)
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="aerolake-ckpt-"))
     return sc.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder; ``unique`` adds a fresh leaf."""
+    """A path under the shared checkpoint folder; ``unique`` adds a fresh leaf.
+    Paths without ``unique`` (fingerprint-keyed tables and models) are shared
+    by every application that uses the same folder."""
     base = checkpoint_root(spark).rstrip("/")
     leaf = list(parts) + ([uuid.uuid4().hex] if unique else [])
     return "/".join([base, "aerolake", *leaf]) if leaf else base

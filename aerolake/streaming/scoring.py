@@ -60,6 +60,15 @@ def store_writer(path: str, fmt: str = "parquet") -> BatchWriter:
     return write
 
 
+def format_writer(fmt: str, options: dict[str, str] | None = None) -> BatchWriter:
+    """Batch writer that appends to an external store named by its format
+    (e.g. a document-store connector); at least once on replay, so readers
+    drop duplicates on UUID."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format(fmt).options(**(options or {})).mode("append").save()
+    return write
+
+
 def json_writer(path: str) -> BatchWriter:
     return store_writer(path, "json")
 
