@@ -18,7 +18,7 @@ from aerolake.functions.labels import prediction_label
 from aerolake.operators import joins, ml, relevance, rollups, search
 from aerolake.operators import requests as rq
 from aerolake.plans.context import Tables
-from aerolake.session import shared_path
+from aerolake.session import shared_path, spread
 from aerolake.sources.tables import append_table, read_jsonl, write_jsonl
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -114,7 +114,7 @@ def q_airline_profile(spark, sf):
 
 @register("word_count")
 def q_word_count(spark, sf):
-    return rollups.word_count(Tables(spark, sf).table("documents"))
+    return rollups.word_count(spread(Tables(spark, sf).table("documents").select("text")))
 
 
 # --- Lookups, search, paging (FIL*, SRT2-4, LIM*) -------------------------
@@ -171,7 +171,7 @@ def q_match_relevance(spark, sf):
 
 @register("match_relevance_documents")
 def q_match_relevance_documents(spark, sf):
-    docs = Tables(spark, sf).table("documents").select("doc_id", "text")
+    docs = spread(Tables(spark, sf).table("documents").select("doc_id", "text"))
     return relevance.scored(docs, "text", DOCUMENT_QUERY).drop("text")
 
 

@@ -82,3 +82,15 @@ def ensure_dir(path: str) -> str:
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
     return path
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give CPU-heavy per-row work (JSON parsing, tokenising) every core.
+
+    A small input can arrive as one partition (one Parquet row group); it is
+    then spread round-robin over ``min_partitions`` (default: the cluster's
+    parallelism). A large input already has more partitions than cores and is
+    returned unchanged, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

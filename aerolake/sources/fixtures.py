@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake.operators.joins import broadcast_if_bounded
+from aerolake.session import spread
 from aerolake.sources.tables import read_table
 
 # A dimension above this many rows is joined by shuffle instead of broadcast.
@@ -103,7 +104,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction requests as sent on the request topic: (event_id, ts, event_type,
     value JSON text). ``error`` events carry truncated JSON; destination
     ``XXX`` has no route distance; carrier ``ZZ`` is unseen."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = spread(read_table(spark, sf_dir, "events"))
     nation = _nation(spark, sf_dir)
     no = nation.select(F.col("n_nationkey").alias("_o_key"), F.col("n_name").alias("_o_name"))
     nd = nation.select(F.col("n_nationkey").alias("_d_key"), F.col("n_name").alias("_d_name"))
