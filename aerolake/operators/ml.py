@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import FeatureHasher, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
@@ -23,7 +23,7 @@ INDEXED = ["Carrier", "Origin", "Dest", "Route"]
 INDEX_COLS = [f"{c}_index" for c in INDEXED]
 NUMERIC = ["DepDelay", "Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
 LABEL = "ArrDelayBucket"
-SCORE_DROP = ["rawPrediction", "probability", "features", *INDEX_COLS]
+SCORE_DROP = ["rawPrediction", "probability", "features", *INDEX_COLS, *[f"{c}_rank" for c in INDEX_COLS]]
 
 
 def training_frame(flights: DataFrame) -> DataFrame:
@@ -49,17 +49,33 @@ def assemble_features(train: DataFrame, df: DataFrame | None = None) -> DataFram
 
 
 def train_classifier(train: DataFrame, num_trees: int = 10, max_depth: int = 5, seed: int = 1,
-                     max_bins: int | None = None) -> PipelineModel:
-    """Fit indexers + assembler + random forest (ML3). ``maxBins`` defaults to
-    the largest category count plus one (the "keep" slot)."""
+                     max_bins: int | None = None, max_categories: int = 1024) -> PipelineModel:
+    """Fit indexers + assembler + random forest (ML3).
+
+    Categorical index columns need ``maxBins`` >= their vocabulary (+1 for
+    the "keep" slot), and the forest's histograms grow with ``maxBins``. A
+    column whose vocabulary exceeds ``max_categories`` is therefore given to
+    the forest as an ordered number (its frequency rank) instead of a
+    category, so the bins stay small however many values it has.
+    """
     data = train.select(*INDEXED, *NUMERIC, LABEL).where(F.col(LABEL).isNotNull())
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         idx = _indexer().fit(data)
-        widest = max(len(labels) for labels in idx.labelsArray) + 1
+        sizes = {c: len(labels) + 1 for c, labels in zip(INDEX_COLS, idx.labelsArray)}
+        wide = [c for c in INDEX_COLS if sizes[c] > max_categories]
+        stages = [idx]
+        inputs = NUMERIC + INDEX_COLS
+        if wide:
+            # An arithmetic expression drops the nominal metadata: numeric feature.
+            sql = "SELECT *, " + ", ".join(f"{c} + 0.0 AS {c}_rank" for c in wide) + " FROM __THIS__"
+            stages.append(SQLTransformer(statement=sql))
+            inputs = NUMERIC + [f"{c}_rank" if c in wide else c for c in INDEX_COLS]
+        widest = max([sizes[c] for c in INDEX_COLS if c not in wide] + [2])
+        assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
         rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees,
                                     maxDepth=max_depth, maxBins=max(max_bins or 32, widest), seed=seed)
-        return Pipeline(stages=[idx, _assembler(), rf]).fit(data)
+        return Pipeline(stages=stages + [assembler, rf]).fit(data)
     finally:
         data.unpersist()
 

@@ -82,3 +82,13 @@ def test_regressor_predicts_every_task(spark):
     out = ml.predict_delay(model, t.tasks)
     assert out.count() == t.tasks.count()
     assert out.where("Delay IS NULL").count() == 0
+
+
+def test_wide_category_becomes_numeric(spark):
+    t = Tables(spark, SF_SMALL)
+    model = ml.train_classifier(ml.training_frame(t.flights), num_trees=3, max_categories=100)
+    rf = model.stages[-1]
+    assert rf.getMaxBins() < 100  # Route (250 values here) is no longer categorical
+    out = ml.score(model, t.enriched)
+    assert out.where("prediction IS NULL").count() == 0
+    assert "Route_index_rank" not in out.columns
