@@ -113,3 +113,25 @@ def test_correlate_window_and_duplicates(spark):
     sc.run_to_end(q)
     got = {(r.UUID, r.status, r.prediction) for r in spark.read.parquet(root + "/out").collect()}
     assert got == {("a", "OK", 1.0), ("b", "TIMEOUT", None), ("c", "TIMEOUT", None), ("end", "OK", 0.0)}
+
+
+def test_console_and_format_writer(spark, setup, capsys):
+    t, model, topic = setup
+    root = shared_path(spark, "test_console", unique=True)
+    q = sc.start_console_sink(_stream(spark, topic, model).select("UUID", "prediction"), NOW)
+    sc.run_to_end(q)
+    w = sc.format_writer("parquet", {"path": root + "/ext"})
+    batch = ml.score(model, t.enriched)
+    w(batch, 0)
+    assert spark.read.parquet(root + "/ext").count() == batch.count()
+
+
+def test_await_any_returns_when_a_query_ends(spark, setup):
+    t, model, topic = setup
+    root = shared_path(spark, "test_await", unique=True)
+    spark.streams.resetTerminated()  # forget queries ended by earlier tests
+    q = sc.start_store_sink(_stream(spark, topic, model), root + "/out", root + "/ck", NOW)
+    sc.await_any(spark, timeout=120)
+    q.awaitTermination()
+    spark.streams.resetTerminated()
+    assert sc.read_store(spark, root + "/out").count() == t.enriched.count()
