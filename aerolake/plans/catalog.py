@@ -9,12 +9,13 @@ SQL oracle in ``oracle.py`` uses the same ones.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake import schemas
-from aerolake.functions.labels import prediction_label
+from aerolake.functions.labels import delay_class, prediction_label
 from aerolake.operators import joins, ml, relevance, rollups, search
 from aerolake.operators import requests as rq
 from aerolake.plans.context import Tables
@@ -182,7 +183,6 @@ def q_flights_page_keyset(spark, sf):
 
 @register("delay_bucket")
 def q_delay_bucket(spark, sf):
-    from aerolake.functions.labels import delay_class
     fl = Tables(spark, sf).flights
     return fl.select("FlightId", "ArrDelay", delay_class("ArrDelay").alias("ArrDelayBucket"))
 
@@ -260,7 +260,6 @@ def q_batch_results_for_day(spark, sf):
 
 
 def _rule_scored(t: Tables) -> DataFrame:
-    from aerolake.functions.labels import delay_class
     return t.enriched.withColumn("prediction", delay_class("DepDelay"))
 
 
@@ -278,7 +277,6 @@ def q_response_lookup(spark, sf):
 
 
 def _md5_text(n: int) -> str:
-    import hashlib
     return hashlib.md5(str(n).encode()).hexdigest()
 
 

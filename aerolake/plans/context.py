@@ -33,7 +33,7 @@ class Tables:
         by date (lookups by day read few row groups)."""
         return materialize(self.spark, "flights", self.paths(*FLIGHT_INPUTS),
                            lambda: fixtures.flights(self.spark, self.sf_dir),
-                           cluster_by=["FlightDate", "FlightId"])
+                           cluster_by=["FlightDate", "FlightId"], partition_by="FlightDate")
 
     @cached_property
     def flights_view(self) -> DataFrame:

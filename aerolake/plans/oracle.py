@@ -7,8 +7,6 @@ to exist as views.
 
 from __future__ import annotations
 
-import math
-import re
 
 from aerolake.operators.relevance import B, K1
 from aerolake.operators.rollups import python_tokens

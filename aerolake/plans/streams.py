@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake import schemas
 from aerolake.operators import requests as rq
-from aerolake.plans.catalog import register
+from aerolake.functions.labels import delay_class
+from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text, register
 from aerolake.plans.context import Tables
 from aerolake.session import shared_path
 from aerolake.streaming import correlate as corr
@@ -127,8 +128,6 @@ def q_request_response_stream(spark, sf):
 def q_response_lookup_stream(spark, sf):
     """The reader side of the response topic (SRC7 + FIL8) as a stream: decode
     each record, keep the first whose JSON value carries the wanted UUID."""
-    from aerolake.functions.labels import delay_class
-    from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text
     t = Tables(spark, sf)
     scored = t.enriched.withColumn("prediction", delay_class("DepDelay"))
     msgs = rq.response_messages(scored, keep=["Timestamp"])

@@ -11,6 +11,7 @@ inputs give a new table and a stale one is never read.
 from __future__ import annotations
 
 import hashlib
+import threading
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,26 +39,50 @@ def _complete(spark: SparkSession, path: str) -> bool:
         return False
 
 
+# Inputs above this size get their derived table Hive-partitioned by the
+# ``partition_by`` column (one folder per value, e.g. per day), so equality and
+# range predicates on it prune folders at planning time instead of opening
+# every file's footer. Below it, folders would hold tiny files.
+PARTITION_MIN_BYTES = 256 << 30
+TARGET_FILE_BYTES = 128 << 20
+
+_locks: dict[str, threading.Lock] = {}
+_locks_guard = threading.Lock()
+
+
+def _lock(path: str) -> threading.Lock:
+    with _locks_guard:
+        return _locks.setdefault(path, threading.Lock())
+
+
 def materialize(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
-                cluster_by: list[str] | None = None, files: int | None = None) -> DataFrame:
+                cluster_by: list[str] | None = None, files: int | None = None,
+                partition_by: str | None = None,
+                partition_min_bytes: int = PARTITION_MIN_BYTES) -> DataFrame:
     """Read the derived table ``name`` for these inputs, building it first if
     needed. ``cluster_by`` range-partitions the rows so each file covers a
     narrow key range (good min/max statistics); ``files`` sets the file count,
-    by default enough files for every core and ~128 MB per file."""
+    by default enough files for every core and ~128 MB per file. With
+    ``partition_by`` and inputs of at least ``partition_min_bytes``, the table
+    is also written one folder per value of that column."""
     path = shared_path(spark, "tables", f"{name}-{fingerprint(spark, inputs)}")
-    if not _complete(spark, path):
-        df = build()
-        if cluster_by:
-            n = files or _file_count(spark, inputs)
-            df = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-        df.write.mode("overwrite").parquet(path)
+    with _lock(path):
+        if not _complete(spark, path):
+            total = _input_bytes(spark, inputs)
+            df = build()
+            if cluster_by:
+                n = files or max(spark.sparkContext.defaultParallelism, int(total // TARGET_FILE_BYTES) + 1)
+                df = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+            w = df.write.mode("overwrite")
+            if partition_by and total >= partition_min_bytes:
+                w = w.partitionBy(partition_by)
+            w.parquet(path)
     return spark.read.parquet(path)
 
 
-def _file_count(spark: SparkSession, inputs: list[str], target_bytes: int = 128 << 20) -> int:
+def _input_bytes(spark: SparkSession, inputs: list[str]) -> int:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inputs)
-    total = files.agg(F.sum("length")).first()[0] or 0
-    return max(spark.sparkContext.defaultParallelism, int(total // target_bytes) + 1)
+    return int(files.agg(F.sum("length")).first()[0] or 0)
 
 
 def cached_model(spark: SparkSession, name: str, inputs: list[str], train: Callable[[], object]):
@@ -65,9 +90,10 @@ def cached_model(spark: SparkSession, name: str, inputs: list[str], train: Calla
     it first if needed (the scoring jobs load, as a deployed scorer does)."""
     from pyspark.ml import PipelineModel
     path = shared_path(spark, "models", f"{name}-{fingerprint(spark, inputs)}")
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - missing or incomplete artifact
-        model = train()
-        model.write().overwrite().save(path)
-        return model
+    with _lock(path):
+        try:
+            return PipelineModel.load(path)
+        except Exception:  # noqa: BLE001 - missing or incomplete artifact
+            model = train()
+            model.write().overwrite().save(path)
+            return model

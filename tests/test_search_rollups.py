@@ -194,3 +194,23 @@ def test_jsonl_roundtrip_file_count(spark, scratch):
     assert len(parts) == 1
     assert sorted(map(tuple, read_jsonl(spark, scratch + "/j", schemas.ROUTE_DISTANCE).collect()),
                   key=str) == sorted([("A", "B", 1.0), ("C", "D", None)], key=str)
+
+
+def test_partitioned_fact_table_prunes_by_date(spark, scratch):
+    import contextlib
+    import datetime as dt
+    import io
+    from aerolake.plans.context import Tables
+    from aerolake.sources.materialize import materialize
+    from conftest import SF_SMALL
+    t = Tables(spark, SF_SMALL)
+    part = materialize(spark, "flights_by_day_test", t.paths("lineitem", "part"), lambda: t.flights_view,
+                       cluster_by=["FlightDate", "FlightId"], partition_by="FlightDate", partition_min_bytes=0)
+    day = dt.date(1995, 1, 2)
+    q = part.where(F.col("FlightDate") == F.lit(day))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    assert "PartitionFilters: [isnotnull(FlightDate" in buf.getvalue()
+    assert q.count() == t.flights.where(F.col("FlightDate") == F.lit(day)).count()
+    assert part.count() == t.flights.count()
