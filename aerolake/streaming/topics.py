@@ -27,11 +27,10 @@ def publish(records: DataFrame, fmt: str = "parquet", path: str | None = None,
             options: dict[str, str] | None = None, mode: str = "append") -> None:
     """Batch publish of topic records (SNK8): ``format("kafka")`` with a
     ``topic`` option on a cluster, or an append to a topic folder."""
-    w = records.write.format(fmt).options(**(options or {}))
     if fmt == "kafka":
-        w.save()
-    else:
-        w.mode(mode).save(path)
+        records.select("key", "value").write.format(fmt).options(**(options or {})).save()
+        return
+    records.write.format(fmt).options(**(options or {})).mode(mode).save(path)
 
 
 def read_topic(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
