@@ -13,7 +13,8 @@ from aerolake import schemas
 from aerolake.operators import requests as rq
 from aerolake.functions.labels import delay_class
 from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text, register
-from aerolake.plans.context import Tables
+from aerolake.plans.context import FLIGHT_INPUTS, Tables
+from aerolake.sources.materialize import materialize_path
 from aerolake.session import shared_path
 from aerolake.streaming import correlate as corr
 from aerolake.streaming import scoring as sc
@@ -29,13 +30,21 @@ def _stage(spark: SparkSession, name: str, df: DataFrame) -> str:
     return path
 
 
+REQUEST_INPUTS = ["events", "nation"]
+
+
 def _request_topic(spark: SparkSession, t: Tables) -> str:
-    return _stage(spark, "requests", topic_records(t.keyed_requests, "UUID", "value", "rq_ts"))
+    """The request topic as published by clients: one record per event."""
+    return materialize_path(spark, "topic_requests", t.paths(*REQUEST_INPUTS),
+                            lambda: topic_records(t.keyed_requests, "UUID", "value", "rq_ts"))
 
 
 def _message_topic(spark: SparkSession, t: Tables) -> str:
-    recs = rq.request_messages(t.enriched, keep=["Timestamp"])
-    return _stage(spark, "request_messages", topic_records(recs, "key", "value", "Timestamp"))
+    """The enriched request messages (what the scorer consumes)."""
+    def build():
+        recs = rq.request_messages(t.enriched, keep=["Timestamp"])
+        return topic_records(recs, "key", "value", "Timestamp")
+    return materialize_path(spark, "topic_request_messages", t.paths(*REQUEST_INPUTS, *FLIGHT_INPUTS), build)
 
 
 def _run_to_parquet(spark: SparkSession, df: DataFrame, name: str) -> str:
@@ -108,15 +117,23 @@ def q_request_response_stream(spark, sf):
     t = Tables(spark, sf)
     reqs = t.keyed_requests.select("UUID", "rq_ts")
     resp = t.responses.select("UUID", F.col("rs_ts").cast("timestamp").alias("rs_ts"), "prediction")
+
     # A finite replay ends with one marker pair dated after all input, so the
     # watermark passes every request's limit and unmatched ones are emitted.
-    last = reqs.agg(F.max("rq_ts")).first()[0] or dt.datetime(1970, 1, 1)
-    end = last + dt.timedelta(days=1)
-    marker_rq = spark.createDataFrame([(SENTINEL_UUID, end)], "UUID string, rq_ts timestamp")
-    marker_rs = spark.createDataFrame([(SENTINEL_UUID, end, None)],
-                                      "UUID string, rs_ts timestamp, prediction double")
-    rq_path = _stage(spark, "rq", reqs.unionByName(marker_rq))
-    rs_path = _stage(spark, "rs", resp.unionByName(marker_rs))
+    def end_time():
+        last = reqs.agg(F.max("rq_ts")).first()[0] or dt.datetime(1970, 1, 1)
+        return last + dt.timedelta(days=1)
+
+    def with_rq_marker():
+        marker = spark.createDataFrame([(SENTINEL_UUID, end_time())], "UUID string, rq_ts timestamp")
+        return reqs.unionByName(marker)
+
+    def with_rs_marker():
+        marker = spark.createDataFrame([(SENTINEL_UUID, end_time(), None)],
+                                       "UUID string, rs_ts timestamp, prediction double")
+        return resp.unionByName(marker)
+    rq_path = materialize_path(spark, "topic_rq_keys", t.paths("events"), with_rq_marker)
+    rs_path = materialize_path(spark, "topic_responses", t.paths("events"), with_rs_marker)
     rq_stream = spark.readStream.schema(reqs.schema).parquet(rq_path)
     rs_stream = spark.readStream.schema(resp.schema).parquet(rs_path)
     out = corr.correlate(rq_stream, rs_stream, limit_seconds=20)

@@ -80,6 +80,16 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], build: Callab
     return spark.read.parquet(path)
 
 
+def materialize_path(spark: SparkSession, name: str, inputs: list[str],
+                     build: Callable[[], DataFrame]) -> str:
+    """Like ``materialize`` but returns the folder (for a streaming reader)."""
+    path = shared_path(spark, "tables", f"{name}-{fingerprint(spark, inputs)}")
+    with _lock(path):
+        if not _complete(spark, path):
+            build().write.mode("overwrite").parquet(path)
+    return path
+
+
 def _input_bytes(spark: SparkSession, inputs: list[str]) -> int:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inputs)
     return int(files.agg(F.sum("length")).first()[0] or 0)
@@ -90,10 +100,19 @@ def cached_model(spark: SparkSession, name: str, inputs: list[str], train: Calla
     it first if needed (the scoring jobs load, as a deployed scorer does)."""
     from pyspark.ml import PipelineModel
     path = shared_path(spark, "models", f"{name}-{fingerprint(spark, inputs)}")
+    key = (spark.sparkContext.applicationId, path)
     with _lock(path):
+        if key in _loaded:
+            return _loaded[key]
         try:
-            return PipelineModel.load(path)
+            model = PipelineModel.load(path)
         except Exception:  # noqa: BLE001 - missing or incomplete artifact
             model = train()
             model.write().overwrite().save(path)
-            return model
+        _loaded[key] = model
+        return model
+
+
+# Models loaded in this application, by artifact path (a path names one fit:
+# it carries the fingerprint of the training inputs).
+_loaded: dict[tuple[str, str], object] = {}
