@@ -18,18 +18,12 @@ from aerolake.sources.materialize import materialize_path
 from aerolake.session import shared_path
 from aerolake.streaming import correlate as corr
 from aerolake.streaming import scoring as sc
-from aerolake.streaming.topics import as_text, publish, read_topic, topic_records
+from aerolake.streaming.topics import as_text, read_topic, topic_records
 
 AVAILABLE_NOW = {"availableNow": True}
 SENTINEL_UUID = "~end-of-input"
 
 
-def _stage(spark: SparkSession, name: str, df: DataFrame) -> str:
-    path = shared_path(spark, "topics", name, unique=True)
-    publish(df, "parquet", path)
-    return path
-
-
 REQUEST_INPUTS = ["events", "nation"]
 
 
@@ -146,9 +140,12 @@ def q_response_lookup_stream(spark, sf):
     """The reader side of the response topic (SRC7 + FIL8) as a stream: decode
     each record, keep the first whose JSON value carries the wanted UUID."""
     t = Tables(spark, sf)
-    scored = t.enriched.withColumn("prediction", delay_class("DepDelay"))
-    msgs = rq.response_messages(scored, keep=["Timestamp"])
-    topic = _stage(spark, "responses", topic_records(msgs, "key", "value", "Timestamp"))
+
+    def build():
+        scored = t.enriched.withColumn("prediction", delay_class("DepDelay"))
+        msgs = rq.response_messages(scored, keep=["Timestamp"])
+        return topic_records(msgs, "key", "value", "Timestamp")
+    topic = materialize_path(spark, "topic_response_messages", t.paths(*REQUEST_INPUTS, *FLIGHT_INPUTS), build)
     texts = as_text(read_topic(spark, "parquet", topic)).select("key", "value")
     hit = rq.response_lookup(texts, _md5_text(LOOKUP_UUID_EVENT))
     out = spark.read.parquet(_run_to_parquet(spark, hit, "response_lookup"))
