@@ -15,7 +15,7 @@ from aerolake.functions.labels import delay_class
 from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text, register
 from aerolake.plans.context import FLIGHT_INPUTS, Tables
 from aerolake.sources.materialize import materialize_path
-from aerolake.session import shared_path
+from aerolake.session import shared_path, state_partitions
 from aerolake.streaming import correlate as corr
 from aerolake.streaming import scoring as sc
 from aerolake.streaming.topics import as_text, read_topic, topic_records
@@ -41,10 +41,15 @@ def _message_topic(spark: SparkSession, t: Tables) -> str:
     return materialize_path(spark, "topic_request_messages", t.paths(*REQUEST_INPUTS, *FLIGHT_INPUTS), build)
 
 
-def _run_to_parquet(spark: SparkSession, df: DataFrame, name: str) -> str:
+def _run_to_parquet(spark: SparkSession, df: DataFrame, name: str, partitions: int | None = None) -> str:
     root = shared_path(spark, "streams", name, unique=True)
-    q = (df.writeStream.format("parquet").option("checkpointLocation", f"{root}/_checkpoint")
-         .outputMode("append").trigger(availableNow=True).start(f"{root}/out"))
+    w = (df.writeStream.format("parquet").option("checkpointLocation", f"{root}/_checkpoint")
+         .outputMode("append").trigger(availableNow=True))
+    if partitions:
+        with state_partitions(spark, partitions):
+            q = w.start(f"{root}/out")
+    else:
+        q = w.start(f"{root}/out")
     sc.run_to_end(q)
     return f"{root}/out"
 
@@ -131,7 +136,10 @@ def q_request_response_stream(spark, sf):
     rq_stream = spark.readStream.schema(reqs.schema).parquet(rq_path)
     rs_stream = spark.readStream.schema(resp.schema).parquet(rs_path)
     out = corr.correlate(rq_stream, rs_stream, limit_seconds=20)
-    res = spark.read.parquet(_run_to_parquet(spark, out, "request_response"))
+    # State holds only requests and replies inside the limit plus the
+    # watermark delay: a few partitions per core are plenty.
+    parts = spark.sparkContext.defaultParallelism
+    res = spark.read.parquet(_run_to_parquet(spark, out, "request_response", partitions=parts))
     return res.where(F.col("UUID") != SENTINEL_UUID)
 
 

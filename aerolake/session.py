@@ -94,3 +94,24 @@ def spread(df, min_partitions: int | None = None):
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+class state_partitions:
+    """Start a stateful streaming query with its own partition count.
+
+    A stateful query fixes its number of state partitions at its first start
+    (it is kept in the checkpoint). Size it by the state it holds, not by the
+    batch volume: ``with state_partitions(spark, n): query = writer.start()``.
+    """
+
+    def __init__(self, spark: SparkSession, n: int):
+        self.spark, self.n, self.old = spark, int(n), None
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False
