@@ -38,14 +38,26 @@ def _indexer() -> StringIndexer:
                          stringOrderType="frequencyDesc")
 
 
-def _assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=NUMERIC + INDEX_COLS, outputCol="features", handleInvalid="keep")
+def _assembler(handle_invalid: str = "keep") -> VectorAssembler:
+    """``keep``: a missing number becomes NaN and the row is still scored (the
+    reference's setting); ``skip``: the row is left out (quarantine it first
+    with ``incomplete_rows`` to keep it)."""
+    return VectorAssembler(inputCols=NUMERIC + INDEX_COLS, outputCol="features", handleInvalid=handle_invalid)
 
 
-def assemble_features(train: DataFrame, df: DataFrame | None = None) -> DataFrame:
+def incomplete_rows(df: DataFrame) -> DataFrame:
+    """Rows that ``handleInvalid="skip"`` would drop: a numeric feature is null or NaN."""
+    bad = None
+    for c in NUMERIC:
+        cond = F.col(c).isNull() | F.isnan(F.col(c))
+        bad = cond if bad is None else (bad | cond)
+    return df.where(bad)
+
+
+def assemble_features(train: DataFrame, df: DataFrame | None = None, handle_invalid: str = "keep") -> DataFrame:
     """Indexed and assembled feature vectors (ML1)."""
     idx = _indexer().fit(train)
-    return _assembler().transform(idx.transform(train if df is None else df))
+    return _assembler(handle_invalid).transform(idx.transform(train if df is None else df))
 
 
 def train_classifier(train: DataFrame, num_trees: int = 10, max_depth: int = 5, seed: int = 1,

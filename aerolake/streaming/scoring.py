@@ -21,9 +21,10 @@ from typing import Callable
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from aerolake import schemas
 from aerolake.operators import ml
 from aerolake.operators import requests as rq
 from aerolake.streaming.topics import as_text
@@ -36,10 +37,53 @@ def parse_stream(topic: DataFrame) -> DataFrame:
     return rq.parse_requests(as_text(topic), keep=["key", "timestamp"])
 
 
-def score_stream(topic: DataFrame, model: PipelineModel) -> DataFrame:
-    """Request records -> scored rows: the request fields plus ``prediction``."""
-    flat = rq.flatten(parse_stream(topic), keep=[])
-    return ml.score(model, flat)
+def score_stream(topic: DataFrame, model: PipelineModel, drop_corrupt: bool = False) -> DataFrame:
+    """Request records -> scored rows: the request fields plus ``prediction``.
+
+    By default a malformed message is scored as a row of nulls, as the
+    reference does; with ``drop_corrupt`` only well-formed messages are scored
+    (route the others with ``corrupt_records`` to a quarantine sink)."""
+    parsed = parse_stream(topic)
+    if drop_corrupt:
+        parsed = rq.valid_only(parsed)
+    return ml.score(model, rq.flatten(parsed, keep=[]))
+
+
+def corrupt_records(topic: DataFrame) -> DataFrame:
+    """Malformed request messages (key, topic time, raw text) for quarantine."""
+    parsed = parse_stream(topic)
+    bad = parsed.where(F.col(f"flight.{schemas.CORRUPT_COLUMN}").isNotNull())
+    return bad.select("key", "timestamp", F.col(f"flight.{schemas.CORRUPT_COLUMN}").alias("raw"))
+
+
+def start_scoring_with_quarantine(topic: DataFrame, model: PipelineModel, writers: dict[str, BatchWriter],
+                                  quarantine: BatchWriter, checkpoint_root: str,
+                                  trigger: dict | None = None, name: str = "fanout_q") -> StreamingQuery:
+    """One query: each micro-batch is parsed once; malformed messages go to
+    ``quarantine``, the rest are scored once and written to every sink."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write_all(batch: DataFrame, batch_id: int) -> None:
+        parsed = rq.parse_requests(as_text(batch), keep=["key", "timestamp"])
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            bad = parsed.where(F.col(f"flight.{schemas.CORRUPT_COLUMN}").isNotNull())
+            quarantine(bad.select("key", "timestamp", F.col(f"flight.{schemas.CORRUPT_COLUMN}").alias("raw")),
+                       batch_id)
+            scored = ml.score(model, rq.flatten(rq.valid_only(parsed), keep=[]))
+            scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                first, *rest = list(writers.values())
+                first(scored, batch_id)
+                if rest:
+                    with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+                        for f in [pool.submit(w, scored, batch_id) for w in rest]:
+                            f.result()
+            finally:
+                scored.unpersist()
+        finally:
+            parsed.unpersist()
+    return _writer(topic, name, checkpoint_root, trigger).foreachBatch(write_all).start()
 
 
 def _writer(df: DataFrame, name: str, checkpoint_root: str, trigger: dict | None):

@@ -92,3 +92,15 @@ def test_wide_category_becomes_numeric(spark):
     out = ml.score(model, t.enriched)
     assert out.where("prediction IS NULL").count() == 0
     assert "Route_index_rank" not in out.columns
+
+
+def test_assembler_skip_and_quarantine(spark):
+    t = Tables(spark, SF_SMALL)
+    train = ml.training_frame(t.flights)
+    reqs = rq.with_route(t.enriched)
+    kept = ml.assemble_features(train, reqs)
+    skipped = ml.assemble_features(train, reqs, handle_invalid="skip")
+    missing = ml.incomplete_rows(reqs).count()
+    assert missing > 0  # requests with an unknown route have no distance
+    assert kept.count() == reqs.count()
+    assert skipped.count() == reqs.count() - missing

@@ -135,3 +135,25 @@ def test_await_any_returns_when_a_query_ends(spark, setup):
     q.awaitTermination()
     spark.streams.resetTerminated()
     assert sc.read_store(spark, root + "/out").count() == t.enriched.count()
+
+
+def test_quarantine_malformed_messages(spark, setup):
+    t, model, _ = setup
+    root = shared_path(spark, "test_quarantine", unique=True)
+    raw = t.keyed_requests
+    publish(topic_records(raw, "UUID", "value", "rq_ts"), "parquet", root + "/topic")
+    topic = read_topic(spark, "parquet", root + "/topic")
+    q = sc.start_scoring_with_quarantine(topic, model, {"store": sc.store_writer(root + "/scored")},
+                                         sc.store_writer(root + "/quarantine"), root + "/ck", NOW)
+    sc.run_to_end(q)
+    n_bad = t.parsed.where(F.col("flight._corrupt_record").isNotNull()).count()
+    scored = spark.read.parquet(root + "/scored")
+    bad = spark.read.parquet(root + "/quarantine")
+    assert bad.count() == n_bad > 0
+    assert scored.count() == raw.count() - n_bad
+    assert bad.where(F.col("raw").endswith("}")).count() == 0  # truncated messages only
+    # the plain stream keeps the reference's behaviour: every message scored
+    plain = sc.score_stream(spark.read.parquet(root + "/topic"), model)
+    assert plain.count() == raw.count()
+    assert sc.score_stream(spark.read.parquet(root + "/topic"), model, drop_corrupt=True).count() == raw.count() - n_bad
+    assert sc.corrupt_records(spark.read.parquet(root + "/topic")).count() == n_bad
