@@ -9,7 +9,7 @@ join from the runtime size of the finished shuffle stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from aerolake.functions.labels import STATUS_WAIT, status_column
 
@@ -58,14 +58,15 @@ def request_status(requests: DataFrame, responses: DataFrame, key: str = "UUID")
 def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
     """String category -> index by descending frequency, ties alphabetical,
     as ``StringIndexer(stringOrderType="frequencyDesc")`` orders its labels
-    (JOIN5). All columns are counted in one aggregation over a stacked frame.
-    The ranking window holds one category vocabulary (the distinct values of a
-    column, which a fitted indexer model keeps in memory anyway), not rows.
+    (JOIN5). All columns are counted in one aggregation over a stacked frame;
+    the ranking is spread over all tasks (``ranking.ranked``), so even a
+    column with a huge vocabulary is never gathered into one task.
     """
+    from aerolake.operators.ranking import ranked
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("_kv")).select("_kv.column", "_kv.value").where(F.col("value").isNotNull())
     counts = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("double"))
+    out = ranked(counts, "column", [F.desc("n"), F.asc("value")])
+    return out.withColumn("idx", F.col("idx").cast("double"))
 

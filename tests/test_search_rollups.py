@@ -214,3 +214,15 @@ def test_partitioned_fact_table_prunes_by_date(spark, scratch):
     assert "PartitionFilters: [isnotnull(FlightDate" in buf.getvalue()
     assert q.count() == t.flights.where(F.col("FlightDate") == F.lit(day)).count()
     assert part.count() == t.flights.count()
+
+
+def test_ranked_equals_window(spark):
+    from pyspark.sql import Window
+    from aerolake.operators.ranking import ranked
+    rows = [("g%d" % (i % 3), i % 17, "v%03d" % i) for i in range(500)] + [("hot", 1, "h%04d" % i) for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, n int, v string")
+    order = [F.desc("n"), F.asc("v")]
+    got = {(r.g, r.v): r.idx for r in ranked(df, "g", order, partitions=7).collect()}
+    w = Window.partitionBy("g").orderBy(*order)
+    want = {(r.g, r.v): r.idx for r in df.withColumn("idx", F.row_number().over(w) - 1).collect()}
+    assert got == want
