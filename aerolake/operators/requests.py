@@ -112,9 +112,15 @@ def rule_results(tasks: DataFrame) -> DataFrame:
 
 
 def results_for_day(results: DataFrame, iso_date: str, ts_col: str = "Timestamp") -> DataFrame:
-    """Results whose time-stamp text lies between the day and the next day,
-    compared as text (FIL5, SCA9)."""
+    """Results of one day (FIL5, SCA9). A text time stamp is compared as text
+    between the day and the next day, as stored results are; a TIMESTAMP
+    column gets the half-open range [day, day + 1)."""
     d = F.lit(iso_date)
+    kind = results.schema[ts_col].dataType.simpleString()
+    if kind.startswith("timestamp"):
+        start = dates.iso_day(d).cast(kind)
+        end = dates.day_after(d).cast(kind)
+        return results.where((F.col(ts_col) >= start) & (F.col(ts_col) < end))
     return day_range_text(results, ts_col, dates.iso_day(d), dates.day_after(d))
 
 

@@ -226,3 +226,17 @@ def test_ranked_equals_window(spark):
     w = Window.partitionBy("g").orderBy(*order)
     want = {(r.g, r.v): r.idx for r in df.withColumn("idx", F.row_number().over(w) - 1).collect()}
     assert got == want
+
+
+def test_results_for_day_text_and_timestamp(spark):
+    import datetime as dt
+    from aerolake.operators import requests as rq
+    rows = [("2024-01-15T00:00:00",), ("2024-01-15T23:59:59",), ("2024-01-16",), ("2024-01-16T00:00:00",),
+            ("2024-01-14T23:59:59",)]
+    text = spark.createDataFrame(rows, "Timestamp string")
+    got = sorted(r[0] for r in rq.results_for_day(text, "2024-01-15T10:30:00").collect())
+    # text comparison includes the bare next date, as the stored-results reader does
+    assert got == ["2024-01-15T00:00:00", "2024-01-15T23:59:59", "2024-01-16"]
+    ts = spark.createDataFrame([(dt.datetime(2024, 1, 15, 0, 0),), (dt.datetime(2024, 1, 15, 23, 59, 59),),
+                                (dt.datetime(2024, 1, 16, 0, 0),)], "Timestamp timestamp")
+    assert rq.results_for_day(ts, "2024-01-15").count() == 2
