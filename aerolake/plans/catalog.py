@@ -125,6 +125,15 @@ def q_flight_lookup(spark, sf):
     return search.lookup_first(Tables(spark, sf).flights, LOOKUP, tie=["FlightId"])
 
 
+@register("flight_lookup_many")
+def q_flight_lookup_many(spark, sf):
+    """FIL1 for every key at once: the first flight of each
+    (Carrier, FlightDate, FlightNum) present in the history."""
+    fl = Tables(spark, sf).flights
+    keys = ["Carrier", "FlightDate", "FlightNum"]
+    return search.lookup_many(fl, fl.select(*keys), keys, tie=["FlightId"])
+
+
 @register("list_flights")
 def q_list_flights(spark, sf):
     return search.list_matches(Tables(spark, sf).flights, ROUTE_DAY, order=["DepTime", "ArrTime", "FlightId"])

@@ -332,3 +332,7 @@ ORACLE_SQL["request_response_stream"] = _with("first_reply") + (
     "CASE WHEN hit THEN prediction END AS prediction FROM m")
 
 ORACLE_SQL["response_lookup_stream"] = ORACLE_SQL["response_lookup"]
+
+ORACLE_SQL["flight_lookup_many"] = _with("flights") + (
+    f"SELECT {FLIGHT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY Carrier, FlightDate, FlightNum "
+    "ORDER BY FlightId) AS rn FROM flights) WHERE rn = 1")
