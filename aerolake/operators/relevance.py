@@ -25,7 +25,7 @@ K1 = 1.2
 B = 0.75
 
 
-def _query_terms(query: str) -> list[str]:
+def query_terms(query: str) -> list[str]:
     seen: list[str] = []
     for t in python_tokens(query, lower=True):
         if t not in seen:
@@ -63,7 +63,10 @@ def bm25_score(toks: Column, terms: list[str], stats: dict, k1: float = K1, b: f
 
 
 def match_predicate(toks: Column, terms: list[str]) -> Column:
-    """True when the token array shares at least one token with the query."""
+    """True when the token array shares at least one token with the query
+    (a query without tokens matches nothing)."""
+    if not terms:
+        return F.lit(False)
     return F.arrays_overlap(toks, F.array(*[F.lit(t) for t in terms]))
 
 
@@ -71,7 +74,7 @@ def scored(df: DataFrame, text_col: str, query: str, score_col: str = "score",
            digits: int | None = 6) -> DataFrame:
     """Rows of ``df`` whose ``text_col`` matches ``query``, plus their score.
     Each text is tokenised once, in its own projection."""
-    terms = _query_terms(query)
+    terms = query_terms(query)
     if not terms:
         return df.where(F.lit(False)).withColumn(score_col, F.lit(0.0))
     stats = corpus_stats(df, text_col, terms)

@@ -86,7 +86,7 @@ def searched(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterable[s
         query = criteria.get(field)
         if not _given(query):
             continue
-        terms = relevance._query_terms(str(query))
+        terms = relevance.query_terms(str(query))
         stats = relevance.corpus_stats(df, field, terms)  # statistics of the whole table
         tk = f"_tk{i}"
         tmp.append(tk)
@@ -103,7 +103,7 @@ def search_count(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterab
     out = df.where(criteria_predicate(exact))
     for field in text:
         if _given(criteria.get(field)):
-            terms = relevance._query_terms(str(criteria[field]))
+            terms = relevance.query_terms(str(criteria[field]))
             out = out.where(relevance.match_predicate(tokens(field, lower=True), terms))
     return out.agg(F.count(F.lit(1)).alias(alias))
 

@@ -240,3 +240,10 @@ def test_results_for_day_text_and_timestamp(spark):
     ts = spark.createDataFrame([(dt.datetime(2024, 1, 15, 0, 0),), (dt.datetime(2024, 1, 15, 23, 59, 59),),
                                 (dt.datetime(2024, 1, 16, 0, 0),)], "Timestamp timestamp")
     assert rq.results_for_day(ts, "2024-01-15").count() == 2
+
+
+def test_blank_text_query_matches_nothing(spark):
+    df = spark.createDataFrame([("N1", "red plate"), ("N2", "blue bolt")], "TailNum string, Owner string")
+    assert search.search_count(df, {"Owner": "   "}, ["Owner"]).first()[0] == 0
+    assert search.search(df, {"Owner": " \t"}, ["Owner"], tie=["TailNum"], text_fields=["Owner"]).count() == 0
+    assert search.search(df, {"Owner": ""}, ["Owner"], tie=["TailNum"], text_fields=["Owner"]).count() == 2
