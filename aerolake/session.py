@@ -48,7 +48,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     gets a folder of its own (tests). On a cluster a machine-local folder
     would be lost with the host, so a missing setting is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if not sc.getCheckpointDir():
@@ -92,8 +98,12 @@ def spread(df, min_partitions: int | None = None):
     parallelism). A large input already has more partitions than cores and is
     returned unchanged, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave the plan as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 class state_partitions:
