@@ -35,11 +35,12 @@ def lookup_first(df: DataFrame, criteria: Mapping[str, Any], tie: Iterable[str])
     return df.where(criteria_predicate(criteria)).orderBy(*tie).limit(1)
 
 
-def lookup_many(df: DataFrame, keys: DataFrame, key_cols: list[str], tie: list[str]) -> DataFrame:
-    """The many-key form of ``lookup_first``: first match for every key row.
-    A join plus a min over a struct of the tie columns (partial aggregation,
-    so a popular key costs one partial row per task)."""
-    matched = df.join(keys.select(*key_cols).distinct(), key_cols, "left_semi")
+def lookup_many(df: DataFrame, keys: DataFrame | None, key_cols: list[str], tie: list[str]) -> DataFrame:
+    """The many-key form of ``lookup_first``: first match for every key row
+    (``keys=None``: for every key present in ``df``). A semi join plus a min
+    over a struct led by the tie columns (partial aggregation, so a popular
+    key costs one partial row per task)."""
+    matched = df if keys is None else df.join(keys.select(*key_cols).distinct(), key_cols, "left_semi")
     others = [c for c in df.columns if c not in key_cols and c not in tie]
     first = matched.groupBy(*key_cols).agg(F.min(F.struct(*tie, *others)).alias("_m"))
     return first.select(*key_cols, *[F.col(f"_m.{c}").alias(c) for c in tie + others])

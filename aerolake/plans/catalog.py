@@ -131,7 +131,7 @@ def q_flight_lookup_many(spark, sf):
     (Carrier, FlightDate, FlightNum) present in the history."""
     fl = Tables(spark, sf).flights
     keys = ["Carrier", "FlightDate", "FlightNum"]
-    return search.lookup_many(fl, fl.select(*keys), keys, tie=["FlightId"])
+    return search.lookup_many(fl, None, keys, tie=["FlightId"])
 
 
 @register("list_flights")
