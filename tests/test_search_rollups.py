@@ -247,3 +247,18 @@ def test_blank_text_query_matches_nothing(spark):
     assert search.search_count(df, {"Owner": "   "}, ["Owner"]).first()[0] == 0
     assert search.search(df, {"Owner": " \t"}, ["Owner"], tie=["TailNum"], text_fields=["Owner"]).count() == 0
     assert search.search(df, {"Owner": ""}, ["Owner"], tie=["TailNum"], text_fields=["Owner"]).count() == 2
+
+
+def test_hot_keys_stay_exact(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    # one UUID holds a third of all replies
+    replies = [("hot", t0 + dt.timedelta(seconds=i), float(i % 4)) for i in range(600)]
+    replies += [(f"u{i}", t0 + dt.timedelta(seconds=i), 1.0) for i in range(1200)]
+    resp = spark.createDataFrame(replies, "UUID string, rs_ts timestamp, prediction double")
+    first = {r.UUID: (r.rs_ts, r.prediction) for r in joins.first_reply(resp).collect()}
+    assert first["hot"] == (t0, 0.0) and len(first) == 1201
+    # one word is a third of all tokens
+    text = ["the " * 200 + " ".join(f"w{i}" for i in range(400))] * 3
+    wc = {r.word: r.n for r in rollups.word_count(spark.createDataFrame([(t,) for t in text], "text string")).collect()}
+    assert wc["the"] == 600 and wc["w0"] == 3 and len(wc) == 401

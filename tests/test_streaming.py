@@ -157,3 +157,14 @@ def test_quarantine_malformed_messages(spark, setup):
     assert plain.count() == raw.count()
     assert sc.score_stream(spark.read.parquet(root + "/topic"), model, drop_corrupt=True).count() == raw.count() - n_bad
     assert sc.corrupt_records(spark.read.parquet(root + "/topic")).count() == n_bad
+
+
+def test_scoring_stream_has_no_shuffle(spark, setup):
+    import contextlib
+    import io
+    t, model, topic = setup
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        _stream(spark, topic, model).explain()
+    plan = buf.getvalue()
+    assert "Exchange" not in plan and "BatchEvalPython" not in plan
