@@ -311,9 +311,12 @@ def q_delay_regression(spark, sf):
 
 @register("assemble_features")
 def q_assemble_features(spark, sf):
+    """The assembled feature vector of every flight, one column per slot
+    (numeric features, then the four frequency-rank indexes)."""
     train = ml.training_frame(Tables(spark, sf).flights)
-    out = ml.assemble_features(train)
-    return ml.features_as_array(out.select("FlightId", "features", ml.LABEL))
+    out = ml.features_as_array(ml.assemble_features(train).select("FlightId", "features", ml.LABEL))
+    slots = ml.NUMERIC + ml.INDEX_COLS
+    return out.select("FlightId", ml.LABEL, *[F.col("features")[i].alias(f"f_{c}") for i, c in enumerate(slots)])
 
 
 def _trained(t: Tables):

@@ -336,3 +336,17 @@ ORACLE_SQL["response_lookup_stream"] = ORACLE_SQL["response_lookup"]
 ORACLE_SQL["flight_lookup_many"] = _with("flights") + (
     f"SELECT {FLIGHT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY Carrier, FlightDate, FlightNum "
     "ORDER BY FlightId) AS rn FROM flights) WHERE rn = 1")
+
+_RANKS = ", ".join(
+    f"r_{c} AS (SELECT v, cast(row_number() OVER (ORDER BY n DESC, v) - 1 AS double) AS i FROM "
+    f"(SELECT {c} AS v, count(*) AS n FROM feat WHERE {c} IS NOT NULL GROUP BY {c}))"
+    for c in ["Carrier", "Origin", "Dest", "Route"])
+ORACLE_SQL["assemble_features"] = _with("flights") + (
+    ", feat AS (SELECT *, Origin || '-' || Dest AS Route FROM flights), " + _RANKS + " "
+    "SELECT f.FlightId, " + delay_class_sql("f.ArrDelay") + " AS ArrDelayBucket, "
+    "f.DepDelay AS f_DepDelay, f.Distance AS f_Distance, "
+    "cast(dayofyear(f.FlightDate) AS double) AS f_DayOfYear, cast(dayofmonth(f.FlightDate) AS double) AS f_DayOfMonth, "
+    "cast(isodow(f.FlightDate) - 1 AS double) AS f_DayOfWeek, "
+    "rc.i AS f_Carrier_index, ro.i AS f_Origin_index, rd.i AS f_Dest_index, rr.i AS f_Route_index "
+    "FROM feat f JOIN r_Carrier rc ON f.Carrier = rc.v JOIN r_Origin ro ON f.Origin = ro.v "
+    "JOIN r_Dest rd ON f.Dest = rd.v JOIN r_Route rr ON f.Route = rr.v")
