@@ -168,7 +168,7 @@ def _bm25(table: str, field: str, query: str) -> tuple[str, str, str]:
     total = "cast(0 AS double)"
     for i, t in enumerate(terms):
         tf = f"cast(len(list_filter(tk, lambda x: x = {_lit(t)})) AS double)"
-        idf = f"ln(1.0 + (N - df{i} + 0.5) / (df{i} + 0.5))"
+        idf = f"ln(1.0 + (cast(N AS double) - cast(df{i} AS double) + 0.5) / (cast(df{i} AS double) + 0.5))"
         norm = f"({K1} * ((1.0 - {B}) + {B} * cast(len(tk) AS double) / avgdl))"
         total = f"({total} + {idf} * {tf} * {K1 + 1.0} / ({tf} + {norm}))"
     match = "list_has_any(tk, [" + ", ".join(_lit(t) for t in terms) + "])"
