@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -76,17 +77,33 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], build: Callab
             w = df.write.mode("overwrite")
             if partition_by and total >= partition_min_bytes:
                 w = w.partitionBy(partition_by)
-            w.parquet(path)
+            _write_or_wait(spark, path, lambda: w.parquet(path))
     return spark.read.parquet(path)
 
 
+def _write_or_wait(spark: SparkSession, path: str, write: Callable[[], None],
+                   wait_seconds: float = 900.0, poll: float = 5.0) -> None:
+    """Run ``write``; if it fails because another application is building the
+    same table at the same time, use that build once it completes."""
+    try:
+        write()
+    except Exception:
+        deadline = time.monotonic() + wait_seconds
+        while time.monotonic() < deadline:
+            if _complete(spark, path):
+                return
+            time.sleep(poll)
+        raise
+
+
 def materialize_path(spark: SparkSession, name: str, inputs: list[str],
                      build: Callable[[], DataFrame]) -> str:
     """Like ``materialize`` but returns the folder (for a streaming reader)."""
     path = shared_path(spark, "tables", f"{name}-{fingerprint(spark, inputs)}")
     with _lock(path):
         if not _complete(spark, path):
-            build().write.mode("overwrite").parquet(path)
+            df = build()
+            _write_or_wait(spark, path, lambda: df.write.mode("overwrite").parquet(path))
     return path
 
 
