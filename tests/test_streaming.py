@@ -168,3 +168,17 @@ def test_scoring_stream_has_no_shuffle(spark, setup):
         _stream(spark, topic, model).explain()
     plan = buf.getvalue()
     assert "Exchange" not in plan and "BatchEvalPython" not in plan
+
+
+def test_await_any_raises_failure(spark, setup):
+    t, model, topic = setup
+    root = shared_path(spark, "test_await_fail", unique=True)
+    spark.streams.resetTerminated()
+
+    def boom(df, batch_id):
+        raise ValueError("store down")
+    _stream(spark, topic, model).writeStream.foreachBatch(boom).trigger(availableNow=True) \
+        .option("checkpointLocation", root).start()
+    with pytest.raises(Exception):
+        sc.await_any(spark, timeout=120)
+    spark.streams.resetTerminated()
