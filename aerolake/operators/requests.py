@@ -16,7 +16,7 @@ from aerolake.functions.labels import delay_class
 from aerolake.operators.joins import enrich_distance
 from aerolake.operators.search import day_range_text
 
-# Fields a client sends (form fields of the request page) and their types.
+# Fields a client sends (the form fields of a prediction request).
 FORM_FIELDS = ["DepDelay", "Carrier", "FlightDate", "Dest", "FlightNum", "Origin"]
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss"
 
