@@ -111,10 +111,23 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(base).drop(*SCORE_DROP)
 
 
-def train_metrics(train_df: DataFrame, num_trees: int = 10, seed: int = 1, test_fraction: float = 0.2) -> DataFrame:
+def hash_split(df: DataFrame, key: str, test_fraction: float, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Train/test split by a hash of the row key: deterministic on retry and
+    across runs, no per-partition sort (``randomSplit`` sorts every partition
+    to be repeatable), and a given key always lands on the same side."""
+    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
+    cut = int(round(test_fraction * 10_000))
+    return df.where(bucket >= cut), df.where(bucket < cut)
+
+
+def train_metrics(train_df: DataFrame, num_trees: int = 10, seed: int = 1, test_fraction: float = 0.2,
+                  key: str | None = "FlightId") -> DataFrame:
     """Hold-out accuracy of the classifier against the majority class (one row)."""
     data = train_df.where(F.col(LABEL).isNotNull())
-    train, test = data.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
+    if key and key in data.columns:
+        train, test = hash_split(data, key, test_fraction, seed)
+    else:
+        train, test = data.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
     model = train_classifier(train, num_trees=num_trees, seed=seed)
     pred = model.transform(test.select(*INDEXED, *NUMERIC, LABEL)).select(LABEL, "prediction")
     pred = pred.persist(StorageLevel.MEMORY_AND_DISK)

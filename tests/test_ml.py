@@ -104,3 +104,14 @@ def test_assembler_skip_and_quarantine(spark):
     assert missing > 0  # requests with an unknown route have no distance
     assert kept.count() == reqs.count()
     assert skipped.count() == reqs.count() - missing
+
+
+def test_hash_split_deterministic_and_complete(spark):
+    t = Tables(spark, SF_SMALL)
+    fl = t.flights
+    a1, b1 = ml.hash_split(fl, "FlightId", 0.2)
+    a2, b2 = ml.hash_split(fl, "FlightId", 0.2)
+    assert a1.count() + b1.count() == fl.count()
+    assert a1.join(b1, "FlightId").count() == 0
+    assert sorted(r[0] for r in b1.select("FlightId").collect()) == sorted(r[0] for r in b2.select("FlightId").collect())
+    assert 0.15 < b1.count() / fl.count() < 0.25
