@@ -41,3 +41,23 @@ def test_cli_help():
     out = subprocess.run([sys.executable, "-m", "aerolake.jobs", "--help"], cwd=REPO,
                          capture_output=True, text=True, timeout=120)
     assert out.returncode == 0 and "rollup" in out.stdout
+
+
+def test_cli_train_and_score_end_to_end(spark):
+    t = Tables(spark, SF_SMALL)
+    root = shared_path(spark, "test_cli", unique=True)
+    t.flights.write.parquet(root + "/flights")
+    publish(topic_records(rq.request_messages(t.enriched, keep=["Timestamp"]), "key", "value", "Timestamp"),
+            "parquet", root + "/topic")
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
+    base = [sys.executable, "-m", "aerolake.jobs"]
+    r = subprocess.run(base + ["train", "--flights", root + "/flights", "--model", root + "/model", "--trees", "3"],
+                       cwd=REPO, env=env, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    r = subprocess.run(base + ["score", "--model", root + "/model", "--source-format", "parquet",
+                               "--source-path", root + "/topic", "--sink", "store=" + root + "/out",
+                               "--sink", "json=" + root + "/out_json", "--checkpoint", root + "/ck",
+                               "--available-now"],
+                       cwd=REPO, env=env, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert spark.read.parquet(root + "/out").count() == t.enriched.count()
