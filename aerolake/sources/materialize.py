@@ -21,9 +21,31 @@ from pyspark.errors import AnalysisException
 from aerolake.session import shared_path
 
 
+# Fingerprints are reused for this many seconds, as Spark reuses the file
+# listing of a catalog table until it is refreshed; ``refresh()`` forgets them.
+FINGERPRINT_TTL_SECONDS = 300.0
+_fingerprints: dict[tuple, tuple[float, str]] = {}
+_complete_paths: set[str] = set()
+
+
+def refresh() -> None:
+    """Forget cached fingerprints (after the inputs changed in place)."""
+    _fingerprints.clear()
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Hash of (file count, total bytes, latest modification, path hash) of
     all files under ``paths``: one small aggregation, file contents unread."""
+    key = (spark.sparkContext.applicationId, tuple(paths))
+    hit = _fingerprints.get(key)
+    if hit and time.monotonic() - hit[0] < FINGERPRINT_TTL_SECONDS:
+        return hit[1]
+    fp = _fingerprint(spark, paths)
+    _fingerprints[key] = (time.monotonic(), fp)
+    return fp
+
+
+def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
                     F.max("modificationTime").cast("string").alias("mtime"),
@@ -33,11 +55,15 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
+    """A finished table has a success marker; once finished it never changes."""
+    if path in _complete_paths:
+        return True
     try:
         spark.read.text(f"{path}/_SUCCESS")
-        return True
     except AnalysisException:
         return False
+    _complete_paths.add(path)
+    return True
 
 
 # Inputs above this size get their derived table Hive-partitioned by the

@@ -158,6 +158,8 @@ def test_fingerprint_changes_with_inputs(spark, scratch):
     a = fingerprint(spark, [p])
     assert fingerprint(spark, [p]) == a
     spark.range(5).write.mode("append").parquet(p)
+    from aerolake.sources import materialize as M
+    M.refresh()  # inputs changed in place: forget the cached fingerprint
     assert fingerprint(spark, [p]) != a
     n = materialize(spark, "test_tbl", [p], lambda: spark.read.parquet(p), cluster_by=["id"]).count()
     assert n == 15
