@@ -1,7 +1,8 @@
 """The registered queries: name -> (spark, sf_dir) -> DataFrame.
 
-Each query reads the driver's tables in full (through the fixture views) and
-exercises one operator of SURVEY section 2. Parameters (lookup keys, search
+Each query reads the driver's tables in full (through the fixture views, or
+tables Spark derives from them and stores per input fingerprint) and exercises
+one operator of SURVEY section 2. Parameters (lookup keys, search
 criteria, page bounds) are fixed values that exist in the driver's data; the
 SQL oracle in ``oracle.py`` uses the same ones.
 """
