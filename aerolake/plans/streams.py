@@ -111,9 +111,8 @@ def q_stream_fanout(spark, sf):
     return _ts_text(sc.read_store(spark, f"{root}/store").drop("batch_id"))
 
 
-@register("request_response_stream")
-def q_request_response_stream(spark, sf):
-    t = Tables(spark, sf)
+def correlation_inputs(spark: SparkSession, t: Tables) -> tuple[str, str]:
+    """Stored request keys and replies for the correlation stream."""
     reqs = t.keyed_requests.select("UUID", "rq_ts")
     resp = t.responses.select("UUID", F.col("rs_ts").cast("timestamp").alias("rs_ts"), "prediction")
 
@@ -133,9 +132,19 @@ def q_request_response_stream(spark, sf):
         return resp.unionByName(marker)
     rq_path = materialize_path(spark, "topic_rq_keys", t.paths("events"), with_rq_marker)
     rs_path = materialize_path(spark, "topic_responses", t.paths("events"), with_rs_marker)
-    rq_stream = spark.readStream.schema(reqs.schema).parquet(rq_path)
-    rs_stream = spark.readStream.schema(resp.schema).parquet(rs_path)
-    out = corr.correlate(rq_stream, rs_stream, limit_seconds=20)
+    return rq_path, rs_path
+
+
+def correlation_stream(spark: SparkSession, t: Tables) -> DataFrame:
+    rq_path, rs_path = correlation_inputs(spark, t)
+    rq_stream = spark.readStream.schema("UUID string, rq_ts timestamp").parquet(rq_path)
+    rs_stream = spark.readStream.schema("UUID string, rs_ts timestamp, prediction double").parquet(rs_path)
+    return corr.correlate(rq_stream, rs_stream, limit_seconds=20)
+
+
+@register("request_response_stream")
+def q_request_response_stream(spark, sf):
+    out = correlation_stream(spark, Tables(spark, sf))
     # State holds only requests and replies inside the limit plus the
     # watermark delay: a few partitions per core are plenty.
     parts = spark.sparkContext.defaultParallelism
