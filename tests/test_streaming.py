@@ -182,3 +182,19 @@ def test_await_any_raises_failure(spark, setup):
     with pytest.raises(Exception):
         sc.await_any(spark, timeout=120)
     spark.streams.resetTerminated()
+
+
+def test_correlation_restart_adds_nothing(spark):
+    from aerolake.plans.streams import SENTINEL_UUID, correlation_stream
+    t = Tables(spark, SF_SMALL)
+    root = shared_path(spark, "test_corr_restart", unique=True)
+    counts = []
+    for _ in range(2):
+        q = (correlation_stream(spark, t).writeStream.format("parquet").trigger(availableNow=True)
+             .option("checkpointLocation", root + "/ck").start(root + "/out"))
+        sc.run_to_end(q)
+        counts.append(spark.read.parquet(root + "/out").count())
+    n = t.table("events").count()
+    assert counts[0] == counts[1] == n + 1  # every request once, plus the end marker
+    out = spark.read.parquet(root + "/out").where(F.col("UUID") != SENTINEL_UUID)
+    assert out.select("UUID").distinct().count() == n
