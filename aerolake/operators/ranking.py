@@ -28,8 +28,10 @@ def ranked(df: DataFrame, group: str, order: list[Column], out: str = "idx",
     spark = df.sparkSession
     checkpoint_root(spark)  # make sure a (shared) checkpoint folder is set
     keys = [F.col(group)] + list(order)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE sizes the range partitions from the data,
+    # so a small input is not cut into the cluster's full shuffle width.
+    spread = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ordered = spread.sortWithinPartitions(*keys)
     ordered = ordered.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fixed = ordered.checkpoint(eager=True)
