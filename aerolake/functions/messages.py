@@ -24,6 +24,13 @@ def parse_request(text_col="value", keep_corrupt: bool = True) -> Column:
     return F.from_json(_c(text_col), schema, opts)
 
 
+# Time stamps in JSON keep their microseconds (Spark's default JSON format cuts
+# them to milliseconds); the default parser reads this format back exactly.
+JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+JSON_OPTIONS = {"timestampFormat": JSON_TIMESTAMP_FORMAT}
+
+
 def to_message(*cols) -> Column:
-    """Columns -> JSON object text; null fields are left out."""
-    return F.to_json(F.struct(*[_c(c) for c in cols]))
+    """Columns -> JSON object text; null fields are left out, time stamps keep
+    their microseconds."""
+    return F.to_json(F.struct(*[_c(c) for c in cols]), JSON_OPTIONS)

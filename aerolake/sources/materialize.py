@@ -21,6 +21,15 @@ from pyspark.errors import AnalysisException
 from aerolake.session import shared_path
 
 
+# Version of the derivations: part of every stored artifact's name, so a
+# change to how a table, topic or model is derived never reuses an old build.
+ARTIFACT_VERSION = "2"
+
+
+def _artifact(spark: SparkSession, kind: str, name: str, inputs: list[str]) -> str:
+    return shared_path(spark, kind, f"{name}-v{ARTIFACT_VERSION}-{fingerprint(spark, inputs)}")
+
+
 # Fingerprints are reused for this many seconds, as Spark reuses the file
 # listing of a catalog table until it is refreshed; ``refresh()`` forgets them.
 FINGERPRINT_TTL_SECONDS = 300.0
@@ -92,7 +101,7 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], build: Callab
     by default enough files for every core and ~128 MB per file. With
     ``partition_by`` and inputs of at least ``partition_min_bytes``, the table
     is also written one folder per value of that column."""
-    path = shared_path(spark, "tables", f"{name}-{fingerprint(spark, inputs)}")
+    path = _artifact(spark, "tables", name, inputs)
     with _lock(path):
         if not _complete(spark, path):
             total = _input_bytes(spark, inputs)
@@ -125,7 +134,7 @@ def _write_or_wait(spark: SparkSession, path: str, write: Callable[[], None],
 def materialize_path(spark: SparkSession, name: str, inputs: list[str],
                      build: Callable[[], DataFrame]) -> str:
     """Like ``materialize`` but returns the folder (for a streaming reader)."""
-    path = shared_path(spark, "tables", f"{name}-{fingerprint(spark, inputs)}")
+    path = _artifact(spark, "tables", name, inputs)
     with _lock(path):
         if not _complete(spark, path):
             df = build()
@@ -142,7 +151,7 @@ def cached_model(spark: SparkSession, name: str, inputs: list[str], train: Calla
     """Load the stored model ``name`` for these inputs, training and saving
     it first if needed (the scoring jobs load, as a deployed scorer does)."""
     from pyspark.ml import PipelineModel
-    path = shared_path(spark, "models", f"{name}-{fingerprint(spark, inputs)}")
+    path = _artifact(spark, "models", name, inputs)
     key = (spark.sparkContext.applicationId, path)
     with _lock(path):
         if key in _loaded:

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from aerolake import schemas
 from aerolake.operators import ml
 from aerolake.operators import requests as rq
+from aerolake.functions.messages import JSON_OPTIONS
 from aerolake.streaming.topics import as_text
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -99,7 +100,8 @@ def _writer(df: DataFrame, name: str, checkpoint_root: str, trigger: dict | None
 def start_json_sink(df: DataFrame, path: str, checkpoint_root: str, trigger: dict | None = None,
                     name: str = "json_sink") -> StreamingQuery:
     """Append JSON files (SNK4)."""
-    return _writer(df, name, checkpoint_root, trigger).format("json").outputMode("append").start(path)
+    return (_writer(df, name, checkpoint_root, trigger).format("json").options(**JSON_OPTIONS)
+            .outputMode("append").start(path))
 
 
 def store_writer(path: str, fmt: str = "parquet") -> BatchWriter:
@@ -119,7 +121,10 @@ def format_writer(fmt: str, options: dict[str, str] | None = None) -> BatchWrite
 
 
 def json_writer(path: str) -> BatchWriter:
-    return store_writer(path, "json")
+    """Batch writer of JSON files per batch id (time stamps keep microseconds)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{path.rstrip('/')}/batch_id={batch_id}")
+    return write
 
 
 def topic_writer(fmt: str = "parquet", path: str | None = None,

@@ -84,3 +84,13 @@ def test_to_message_drops_nulls(spark):
 def test_message_text_cast(spark):
     df = spark.createDataFrame([(bytearray(b'{"a":1}'),)], "value binary")
     assert df.select(messages.message_text("value")).first()[0] == '{"a":1}'
+
+
+def test_message_time_stamp_keeps_microseconds(spark):
+    import datetime as dt
+    from aerolake import schemas
+    ts = dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
+    df = spark.createDataFrame([("u1", ts)], "UUID string, Timestamp timestamp")
+    text = df.select(messages.to_message("UUID", "Timestamp").alias("v"))
+    back = text.select(F.from_json("v", schemas.REQUEST).alias("m")).select("m.Timestamp").first()[0]
+    assert back == ts
