@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from aerolake.operators import joins, requests as rq, rollups
+from aerolake.operators import joins, rollups
 from aerolake.plans.context import Tables
 from conftest import SF_SMALL
 
