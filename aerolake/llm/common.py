@@ -72,11 +72,22 @@ def spread_by_size(df: DataFrame, rows: int, per_task: int) -> int:
 _WIDE = r"\s\x1c-\x1f\x85᠎​"
 _ODD_SPACE = re.compile(
     rb"(?:[\s\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8b\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80) ")
+#: Last bytes of what _ODD_SPACE may hold before a space: only texts with one are searched.
+_ODD_LAST = np.zeros(256, bool)
+_ODD_LAST[[*range(0x09, 0x0E), *range(0x1C, 0x21), *range(0x80, 0x8C), 0x8E, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
 _CUT = re.compile(rf"(?<=[^{_WIDE}]) ")
 
 
-#: Latin letters, then ASCII signs: always two pre-tokens ("'" may open a contraction, "<" a special token).
-_WORD_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:;=-@\\[-`{-~]+)")
+#: Latin letters (but İ, whose lower case ends in a mark), then ASCII signs: two pre-tokens
+#: ("'" may open a contraction, "<" a special token).
+_WORD_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:;=-@\\[-`{-~]+)")
+
+
+#: A word that both vocabularies take as one pre-token, and that normalization only lower-cases.
+_WORD = re.compile("[A-Za-zß-öø-ÿ]+")
+#: Each byte's character in the byte-level vocabularies (bytes without a visible character move up from 256).
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_VISIBLE}))}
 
 
 class _Codes(dict):
@@ -110,6 +121,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.spaces, self.max_entries = spaces, max_entries
         self._clear()
 
@@ -132,9 +144,10 @@ class Encoder:
         self.codes, self.lens, self.offs, self.uses = codes, lens, ends - lens, np.zeros(len(kept), np.int64)
 
     def _fragments(self, text: bytes) -> list:
-        if not self.spaces:
-            return text.split()
-        if _ODD_SPACE.search(text):
+        if not self.spaces:  # the vocabulary lower-cases all but its special tokens
+            return (text if b"<|" in text else text.lower()).split()
+        raw = np.frombuffer(text, np.uint8)
+        if _ODD_LAST[raw[:-1][raw[1:] == 0x20]].any() and _ODD_SPACE.search(text):
             parts = [p.encode() for p in _CUT.split(text.decode("utf-8", "replace"))]
         else:
             parts = text.split(b" ")
@@ -151,18 +164,21 @@ class Encoder:
         from the ids of both, so that only distinct words meet the tokenizer."""
         if not self.codes.pending:
             return
-        both, texts, order, k = [], [], [], 0
+        both, texts, order, words, word_order, k = [], [], [], [], [], 0
         while k < len(self.codes.pending):  # grows by words that were only met with signs
             key = self.codes.pending[k]
             text = self._text(key)
             if m := _WORD_SIGNS.fullmatch(text, self.spaces) if type(key) is bytes else None:
                 signs = m[2].encode()
                 both.append((self.codes[key], self.codes[m[1].encode()], self.codes[(signs,) if self.spaces else signs]))
+            elif type(key) is bytes and _WORD.fullmatch(text, self.spaces):
+                word_order.append(self.codes[key])
+                words.append(text.encode() if self.spaces else text.lower().encode())
             else:
                 order.append(self.codes[key])
                 texts.append(text)
             k += 1
-        self._add(order, texts)
+        self._add(order + word_order, chain(self._ids(texts), self._word_ids(words)))
         if both:
             to, word, signs = np.array(both, np.int64).T
             self.lens[to] = self.lens[word] + self.lens[signs]
@@ -177,17 +193,27 @@ class Encoder:
             self.pool = np.concatenate([self.pool, flat])
         self.codes.pending = []
 
-    def _add(self, order: list, texts: list):
-        lens, flat = [], [np.zeros(0, np.uint32)]
+    def _ids(self, texts: list):
         for i in range(0, len(texts), 4096):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
-            lens.extend(map(len, found))
-            flat.append(np.array(list(chain.from_iterable(found)), np.uint32))
+            for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False):
+                yield e.ids
+
+    def _word_ids(self, words: list):
+        """A word needs no normalizing or splitting: it goes to the library's BPE model."""
+        merge, chars = self.model.tokenize, _BYTE_CHARS
+        for w in words:
+            yield [t.id for t in merge(w.decode("latin-1").translate(chars))]
+
+    def _add(self, order: list, found):
+        lens, flat = [], []
+        for ids in found:
+            lens.append(len(ids))
+            flat.extend(ids)
         more = np.zeros(len(self.codes) - len(self.lens), np.int64)
         self.lens, self.offs = np.concatenate([self.lens, more]), np.concatenate([self.offs, more])
         lens = np.array(lens, np.int64)
         self.lens[order], self.offs[order] = lens, len(self.pool) + np.cumsum(lens) - lens
-        self.pool = np.concatenate([self.pool, *flat])
+        self.pool = np.concatenate([self.pool, np.array(flat, np.uint32)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in a row as uint32, number of ids of each text)."""
