@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, tokenfile
+from . import langid, packing, quality, simhash, tokenfile
 from .common import documents
 
 
@@ -26,11 +26,16 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing,
     op3_quality_rules,
     op4_token_id_output,
     op7_simhash_near_dedup,
+    op10_language_id,
 )}
 
 ORACLE_SQL: dict[str, str] = {
