@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, simhash, tokenfile
+from . import decontam, langid, packing, quality, simhash, tokenfile
 from .common import documents
 
 
@@ -13,6 +13,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, test item) where the document holds 0.8 or more of the item's shingles."""
+    return decontam.find(documents(spark, sf_dir), decontam.benchmark(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).drop("rejected_by")
 
@@ -32,6 +37,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing,
+    op2_benchmark_decontamination,
     op3_quality_rules,
     op4_token_id_output,
     op7_simhash_near_dedup,
