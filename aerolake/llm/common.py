@@ -67,6 +67,31 @@ def spread_by_size(df: DataFrame, rows: int, per_task: int) -> int:
     return max(1, -(-rows // per_task))
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def _distinct(data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(number of each string among the distinct ones, the distinct ones), of strings in a row."""
+    offsets = np.zeros(len(lens) + 1, np.int32)
+    np.cumsum(lens, out=offsets[1:])
+    found = pa.BinaryArray.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary.to_pylist()
+
+
+def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(number of each word, words of each text, the distinct words by number): the runs
+    between ASCII white space, of all texts in a row."""
+    raw = np.frombuffer(b" ".join(texts), np.uint8)
+    space = _SPACE[raw]
+    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    limits = np.cumsum([0] + [len(t) + 1 for t in texts])
+    counts = np.diff(np.searchsorted(starts, limits)) if len(texts) else np.zeros(0, np.int64)
+    codes, words = _distinct(raw[~space], ends - starts)
+    return codes, counts, words
+
+
 # Any character that some definition of white space holds, followed by a space: there
 # the space does not open a pre-token by itself, so the text isn't cut.
 _WIDE = r"\s\x1c-\x1f\x85᠎​"
@@ -114,7 +139,7 @@ class Encoder:
     forgets the fragments met only once: it saves time and never changes a result.
     """
 
-    def __init__(self, path: str, spaces: bool, max_entries: int = 700_000):
+    def __init__(self, path: str, spaces: bool, max_entries: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -143,16 +168,32 @@ class Encoder:
         self.pool = self.pool[np.repeat(self.offs[kept] - (ends - lens), lens) + np.arange(int(lens.sum()))]
         self.codes, self.lens, self.offs, self.uses = codes, lens, ends - lens, np.zeros(len(kept), np.int64)
 
-    def _fragments(self, text: bytes) -> list:
+    def _fragments(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each fragment, fragments of each text)."""
+        number = lambda keys: np.array(list(map(self.codes.__getitem__, keys)), np.int64)
         if not self.spaces:  # the vocabulary lower-cases all but its special tokens
-            return (text if b"<|" in text else text.lower()).split()
-        raw = np.frombuffer(text, np.uint8)
-        if _ODD_LAST[raw[:-1][raw[1:] == 0x20]].any() and _ODD_SPACE.search(text):
-            parts = [p.encode() for p in _CUT.split(text.decode("utf-8", "replace"))]
-        else:
-            parts = text.split(b" ")
-        parts[0] = (parts[0],)  # the only one without a space before it
-        return parts
+            codes, counts, words = word_codes([t if b"<|" in t else t.lower() for t in texts])
+            return number(words)[codes], counts
+        odd = {}
+        for i, t in enumerate(texts):
+            raw = np.frombuffer(t, np.uint8)
+            if _ODD_LAST[raw[:-1][raw[1:] == 0x20]].any() and _ODD_SPACE.search(t):
+                first, *rest = [p.encode() for p in _CUT.split(t.decode("utf-8", "replace"))]
+                odd[i] = number([(first,), *rest])
+        plain = [b"" if i in odd else t for i, t in enumerate(texts)]
+        raw = np.frombuffer(b" ".join(plain) + b" ", np.uint8)
+        space = raw == 0x20
+        at = np.flatnonzero(space)
+        codes, words = _distinct(raw[~space], np.diff(at, prepend=-1) - 1)
+        codes = number(words)[codes]
+        ends = np.searchsorted(at, np.cumsum([len(t) + 1 for t in plain]) - 1) + 1  # fragments up to each text's last
+        counts = np.diff(ends, prepend=0)
+        codes[ends - counts] = number((t.split(b" ", 1)[0],) for t in plain)  # no space before a text's first
+        if odd:
+            parts = np.split(codes, ends[:-1])
+            parts = [odd.get(i, p) for i, p in enumerate(parts)]
+            codes, counts = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return codes, counts
 
     def _text(self, key) -> str:
         if type(key) is tuple:
@@ -217,15 +258,12 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in a row as uint32, number of ids of each text)."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.codes) > self.max_entries:
             self._forget()
-        codes, counts, get = [], [], self.codes.__getitem__
-        for t in texts:
-            parts = self._fragments(t) if t else []
-            counts.append(len(parts))
-            codes.extend(map(get, parts))
+        codes, counts = self._fragments(texts)
         self._encode_pending()
-        codes = np.array(codes, np.int64)
         self.uses = np.concatenate([self.uses, np.zeros(len(self.lens) - len(self.uses), np.int64)])
         self.uses += np.bincount(codes, minlength=len(self.uses))
         lens = self.lens[codes]
@@ -233,7 +271,7 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         ids = self.pool[np.repeat(self.offs[codes] - (ends - lens), lens) + np.arange(total)]
         edge = np.concatenate([[0], ends])
-        at = np.cumsum([0, *counts])
+        at = np.concatenate([[0], np.cumsum(counts)])
         return ids, edge[at[1:]] - edge[at[:-1]]
 
 

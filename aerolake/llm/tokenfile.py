@@ -34,31 +34,46 @@ from . import common
 END_ID = 2
 VOCABULARY = 49_408
 MAGIC = b"RPTK0001"
-FILE_TOKENS = 1 << 21
+FILE_TOKENS = 3 << 19
 SHARD_BYTES = 24 << 20
 #: Grammar limits of a file: 16-bit symbols hold the vocabulary and these rules.
 MAX_RULES = (1 << 16) - VOCABULARY
-ROUNDS = 6
+ROUNDS = 4
 MIN_COUNT = 8
 _HASH_BITS = 20
 
 
 def _frequent_pairs(seq: np.ndarray, last: np.ndarray, limit: int):
-    """(left, right, places) of the most frequent pairs: counted in hash cells first, so
-    that only places in a frequent cell are counted pair by pair."""
+    """(pairs, places, which pair): the most frequent pairs and where they are.
+
+    All pairs are counted in hash cells; the ``limit`` heaviest cells hold every pair that
+    is more frequent than the lightest of them. Of such a cell the pair met first or last,
+    whichever is the more frequent, is taken if it reaches that count by itself."""
     left, right = seq[:-1], seq[1:]
-    cell = (left * np.uint32(2654435761) ^ right * np.uint32(2246822519)) >> np.uint32(32 - _HASH_BITS)
-    weight = np.bincount(cell, minlength=1 << _HASH_BITS)
-    places = np.flatnonzero((weight[cell] >= MIN_COUNT) & ~last[:-1])
+    cell = ((left * np.uint32(2654435761) ^ right * np.uint32(2246822519)) >> np.uint32(32 - _HASH_BITS)).astype(np.int64)
+    weight = np.bincount(cell, minlength=1 << _HASH_BITS).astype(np.int32)
+    least = max(MIN_COUNT, int(np.partition(weight, -limit)[-limit]))
+    heavy = np.flatnonzero(weight >= least)
+    dense = np.full(1 << _HASH_BITS, -1, np.int32)
+    dense[heavy] = np.arange(len(heavy))
+    slot = dense[cell]
+    places = np.flatnonzero((slot >= 0) & ~last[:-1])
+    slot = slot[places]
     key = left[places].astype(np.uint64) << np.uint64(32) | right[places]
-    pairs, where, count = np.unique(key, return_inverse=True, return_counts=True)
-    best = np.argsort(-count, kind="stable")[:limit]
-    best = best[count[best] >= MIN_COUNT]
-    rank = np.full(len(pairs), -1, np.int64)
-    rank[best] = np.arange(len(best))
-    symbol = rank[where]
-    hit = symbol >= 0
-    return (pairs[best] >> np.uint64(32)).astype(np.uint32), pairs[best].astype(np.uint32), places[hit], symbol[hit]
+    best, count = np.zeros(len(heavy), np.uint64), np.zeros(len(heavy), np.int64)
+    for step in (1, -1):
+        chosen = np.zeros(len(heavy), np.uint64)
+        chosen[slot[::step]] = key[::step]
+        n = np.bincount(slot[key == chosen[slot]], minlength=len(heavy))
+        best, count = np.where(n > count, chosen, best), np.maximum(n, count)
+    taken = np.flatnonzero(count >= least)
+    taken = taken[np.argsort(-count[taken], kind="stable")][:limit]
+    rank = np.full(len(heavy), -1, np.int64)
+    rank[taken] = np.arange(len(taken))
+    symbol = rank[slot]
+    hit = (symbol >= 0) & (key == best[slot])
+    pairs = np.stack([best[taken] >> np.uint64(32), best[taken] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    return pairs, places[hit], symbol[hit]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, rounds: int = ROUNDS, max_rules: int = MAX_RULES):
@@ -68,13 +83,13 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, rounds:
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
     rules = np.zeros((0, 2), np.uint32)
-    size = np.concatenate([np.ones(base, np.int64)])
+    size = np.ones(base, np.int64)
     for _ in range(rounds):
         room = min(max_rules - len(rules), max(1, max_rules // 3))
         if room <= 0 or len(seq) < 2:
             break
-        left, right, places, symbol = _frequent_pairs(seq, last, room)
-        if not len(left):
+        pairs, places, symbol = _frequent_pairs(seq, last, room)
+        if not len(pairs):
             break
         # Neighbouring hits overlap: of each run of them every second one is replaced.
         fresh = np.concatenate([[True], np.diff(places) != 1])
@@ -86,8 +101,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, rounds:
         keep = np.ones(len(seq), bool)
         keep[places + 1] = False
         seq, last = seq[keep], last[keep]
-        rules = np.concatenate([rules, np.stack([left, right], 1)])
-        size = np.concatenate([size, size[left] + size[right]])
+        rules = np.concatenate([rules, pairs])
+        size = np.concatenate([size, size[pairs].sum(1)])
     firsts = np.concatenate([[0], np.flatnonzero(last) + 1])
     return rules, size[base:], seq, firsts
 
