@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, quality, simhash, tokenfile
+from . import decontam, langid, packing, pii, quality, simhash, tokenfile
 from .common import documents
 
 
@@ -26,6 +26,10 @@ def op4_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(documents(spark, sf_dir))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -40,6 +44,7 @@ QUERIES = {f.__name__: f for f in (
     op2_benchmark_decontamination,
     op3_quality_rules,
     op4_token_id_output,
+    op6_pii,
     op7_simhash_near_dedup,
     op10_language_id,
 )}
