@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, pii, quality, simhash, tokenfile
+from . import decontam, langid, lm, packing, pii, quality, simhash, tokenfile
 from .common import documents
 
 
@@ -26,6 +26,10 @@ def op4_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(documents(spark, sf_dir))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ QUERIES = {f.__name__: f for f in (
     op2_benchmark_decontamination,
     op3_quality_rules,
     op4_token_id_output,
+    op5_lm_scoring,
     op6_pii,
     op7_simhash_near_dedup,
     op10_language_id,
