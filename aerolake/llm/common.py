@@ -195,30 +195,32 @@ class Encoder:
             codes, counts = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
         return codes, counts
 
-    def _text(self, key) -> str:
-        if type(key) is tuple:
-            return key[0].decode("utf-8", "replace")
-        return " " * self.spaces + key.decode("utf-8", "replace")
-
     def _encode_pending(self):
         """Add the ids of the new fragments; a word with signs after it is put together
         from the ids of both, so that only distinct words meet the tokenizer."""
         if not self.codes.pending:
             return
-        both, texts, order, words, word_order, k = [], [], [], [], [], 0
-        while k < len(self.codes.pending):  # grows by words that were only met with signs
-            key = self.codes.pending[k]
-            text = self._text(key)
-            if m := _WORD_SIGNS.fullmatch(text, self.spaces) if type(key) is bytes else None:
-                signs = m[2].encode()
-                both.append((self.codes[key], self.codes[m[1].encode()], self.codes[(signs,) if self.spaces else signs]))
-            elif type(key) is bytes and _WORD.fullmatch(text, self.spaces):
-                word_order.append(self.codes[key])
-                words.append(text.encode() if self.spaces else text.lower().encode())
+        pending, both, texts, order, words, word_order = self.codes.pending, [], [], [], [], []
+        code = len(self.codes) - len(pending)
+        for key in pending:  # grows by words that were only met with signs
+            if type(key) is not bytes:
+                texts.append(key[0].decode("utf-8", "replace"))
+                order.append(code)
+            elif key.isalpha():  # ASCII letters
+                words.append(key if self.spaces else key.lower())
+                word_order.append(code)
             else:
-                order.append(self.codes[key])
-                texts.append(text)
-            k += 1
+                text = key.decode("utf-8", "replace")
+                if _WORD.fullmatch(text):
+                    words.append(key if self.spaces else text.lower().encode())
+                    word_order.append(code)
+                elif m := _WORD_SIGNS.fullmatch(text):
+                    signs = m[2].encode()
+                    both.append((code, self.codes[m[1].encode()], self.codes[(signs,) if self.spaces else signs]))
+                else:
+                    texts.append(" " * self.spaces + text)
+                    order.append(code)
+            code += 1
         self._add(order + word_order, chain(self._ids(texts), self._word_ids(words)))
         if both:
             to, word, signs = np.array(both, np.int64).T
@@ -241,9 +243,10 @@ class Encoder:
 
     def _word_ids(self, words: list):
         """A word needs no normalizing or splitting: it goes to the library's BPE model."""
-        merge, chars = self.model.tokenize, _BYTE_CHARS
+        merge, space = self.model.tokenize, _BYTE_CHARS[0x20] * self.spaces
         for w in words:
-            yield [t.id for t in merge(w.decode("latin-1").translate(chars))]
+            chars = w.decode() if w.isascii() else w.decode("latin-1").translate(_BYTE_CHARS)
+            yield [t.id for t in merge(space + chars)]
 
     def _add(self, order: list, found):
         lens, flat = [], []

@@ -38,7 +38,7 @@ FILE_TOKENS = 3 << 19
 SHARD_BYTES = 24 << 20
 #: Grammar limits of a file: 16-bit symbols hold the vocabulary and these rules.
 MAX_RULES = (1 << 16) - VOCABULARY
-ROUNDS = 4
+ROUNDS = 3
 MIN_COUNT = 8
 _HASH_BITS = 20
 
@@ -149,11 +149,14 @@ class TokenFile:
             offs = np.cumsum(lens) - lens
             flat = np.zeros(int(lens.sum()), np.uint32)
             flat[:self.base] = np.arange(self.base)
-            for r, (a, b) in enumerate(self.rules.tolist()):
-                at = offs[self.base + r]
-                flat[at:at + lens[a]] = flat[offs[a]:offs[a] + lens[a]]
-                flat[at + lens[a]:at + lens[a] + lens[b]] = flat[offs[b]:offs[b] + lens[b]]
             self._flat = offs, lens, flat
+            newest, done = np.maximum.accumulate(self.rules.max(1)) if len(self.rules) else [], 0
+            while done < len(self.rules):  # rules in a row that only use symbols before them
+                stop = max(done + 1, int(np.searchsorted(newest, self.base + done)))
+                at = offs[self.base + done]
+                more = self.expand(self.rules[done:stop].ravel())
+                flat[at:at + len(more)] = more
+                done = stop
         return self._flat
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
