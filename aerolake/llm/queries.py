@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, packing, pii, quality, simhash, tokenfile
+from . import counting, decontam, langid, lm, packing, pii, quality, simhash, tokenfile
 from .common import documents
 
 
@@ -39,6 +39,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counting.count_tokens(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -51,6 +55,7 @@ QUERIES = {f.__name__: f for f in (
     op5_lm_scoring,
     op6_pii,
     op7_simhash_near_dedup,
+    op8_token_counts,
     op10_language_id,
 )}
 
