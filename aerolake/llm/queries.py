@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, decontam, langid, lm, packing, pii, quality, simhash, tokenfile
+from . import counting, decontam, langid, licences, lm, packing, pii, quality, simhash, tokenfile
 from .common import documents
 
 
@@ -43,6 +43,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_tokens(documents(spark, sf_dir))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence notice found: doc_id, paragraph, family, probability, template, similarity."""
+    return licences.scan(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ QUERIES = {f.__name__: f for f in (
     op6_pii,
     op7_simhash_near_dedup,
     op8_token_counts,
+    op9_license_scans,
     op10_language_id,
 )}
 
