@@ -38,7 +38,7 @@ FILE_TOKENS = 3 << 19
 SHARD_BYTES = 24 << 20
 #: Grammar limits of a file: 16-bit symbols hold the vocabulary and these rules.
 MAX_RULES = (1 << 16) - VOCABULARY
-ROUNDS = 3
+ROUNDS = 6
 MIN_COUNT = 8
 _HASH_BITS = 20
 
