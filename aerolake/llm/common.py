@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import re
@@ -10,13 +12,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.session import shared_path
 
-#: ASCII white space, as bytes.split() takes it: the words of every operator are the runs between.
-SLICE_BYTES = 4 << 20
+#: Bytes of text that a task works on at a time.
+SLICE_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,13 +43,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES):
     """Cut a batch so that each part holds about ``limit`` bytes of text (a row at
     least). Yields (part, its texts as bytes; a null text is empty)."""
-    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
-        if size >= limit or i == len(texts) - 1:
-            yield batch.slice(at, i + 1 - at), [x or b"" for x in texts[at:i + 1]]
-            at, size = i + 1, 0
+    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        begun = int(size[at - 1]) if at else 0
+        end = min(batch.num_rows, int(np.searchsorted(size, begun + limit)) + 1)
+        yield batch.slice(at, end - at), [x or b"" for x in texts.slice(at, end - at).to_pylist()]
+        at = end
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -139,7 +143,7 @@ class Encoder:
     forgets the fragments met only once: it saves time and never changes a result.
     """
 
-    def __init__(self, path: str, spaces: bool, max_entries: int = 600_000):
+    def __init__(self, path: str, spaces: bool, max_entries: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -278,16 +282,25 @@ class Encoder:
         return ids, edge[at[1:]] - edge[at[:-1]]
 
 
-_ENCODERS: dict = {}
+_KEPT: dict = {}
+
+
+def kept(key: tuple, make):
+    """What a Python worker keeps over its tasks: one thing at a time. A worker that goes
+    on to another operator gives the memory of the one before back."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        gc.unfreeze()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+        gc.set_threshold(200_000, 50, 100)  # such memories hold many small objects, seldom garbage
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def encoder(path: str, spaces: bool) -> Encoder:
-    """One per Python worker, kept over its tasks."""
-    if (path, spaces) not in _ENCODERS:
-        gc.freeze()  # the memory holds many small objects, which a collection would walk again and again
-        gc.set_threshold(200_000, 50, 100)
-        _ENCODERS[path, spaces] = Encoder(path, spaces)
-    return _ENCODERS[path, spaces]
+    return kept(("encoder", path, spaces), lambda: Encoder(path, spaces))
 
 
 def vocabulary(name: str) -> str:

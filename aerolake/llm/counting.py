@@ -285,24 +285,14 @@ class Counter:
         return extra + np.bincount(owner, weights=found, minlength=len(texts)).astype(np.int64) if len(texts) else extra
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
-def counter(path: str) -> Counter:
-    """One per Python worker."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
-    return _COUNTERS[path]
-
-
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row."""
     path = path or common.vocabulary("byte_bpe_50k.json")
 
     def run(batches):
-        own = counter(path)
+        own = common.kept(("counter", path), lambda: Counter(path))
         for batch in batches:
-            for part, texts in common.slices(batch, limit=2 << 20):
+            for part, texts in common.slices(batch, limit=1 << 20):
                 n = own.count(texts)
                 yield pa.RecordBatch.from_arrays(
                     [common.column(part, "doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(n)], names=["doc_id", "n_bytes", "n_tokens"])

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +44,8 @@ EPOCHS = 5
 CHUNK = 32
 HOLD_OUT = 4, 2  # crc32(doc_id as text) mod 4 is 2
 
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+#: An ASCII letter, or a byte of any character beyond ASCII.
+_LETTERED = re.compile(rb"[A-Za-z\x80-\xff]")
 _ANY_LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -77,8 +77,6 @@ class Model:
     weights: np.ndarray = None
     lexicon_weights: np.ndarray = None
     moves: np.ndarray = None
-    _codes: dict = field(default_factory=dict, repr=False)
-    _scores: np.ndarray = None
 
     def word_features(self, words):
         features, n = ngram_features(words)
@@ -90,17 +88,9 @@ class Model:
         return sums / np.sqrt(n)[:, None] + member @ self.lexicon_weights
 
     def of_words(self, words: list[bytes]) -> np.ndarray:
-        """Emission scores; distinct words are scored once (the memory is emptied beyond a
-        size, which changes no result)."""
-        if self._scores is None or len(self._codes) > 300_000:
-            self._codes, self._scores = {}, np.zeros((0, len(self.langs)), np.float32)
-        codes, known = self._codes, len(self._codes)
-        at = np.array([codes.setdefault(w, len(codes)) for w in words], np.int64)
-        if len(codes) > known:
-            fresh = list(codes)[known:]
-            new = [self.emissions(*self.word_features(fresh[i:i + 20_000])) for i in range(0, len(fresh), 20_000)]
-            self._scores = np.concatenate([self._scores, *[x.astype(np.float32) for x in new]])
-        return self._scores[at]
+        """Emission scores of distinct words."""
+        parts = [self.emissions(*self.word_features(words[i:i + 10_000])) for i in range(0, len(words), 10_000)]
+        return np.concatenate([np.zeros((0, len(self.langs))), *parts])
 
 
 def _marginals(psi: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,15 +222,13 @@ def _joined(scores: np.ndarray, counts: np.ndarray, moves: np.ndarray, chunk: in
     return out / out.sum(1, keepdims=True)
 
 
-def label_words(model: Model, texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """(words of each text, their number, probability of each language for all words in a row)."""
-    words = [t.lower().split() for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    if not counts.sum():
-        return words, counts, np.zeros((0, len(model.langs)))
-    flat = [w for own in words for w in own]
-    some = counts[counts > 0]
-    return words, counts, _joined(model.of_words(flat).astype(np.float64), some, np.exp(model.moves))
+def label_words(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """(number of each word among the distinct ones, words of each text, the distinct words,
+    probability of each language for all words in a row)."""
+    codes, counts, words = common.word_codes([t.lower() for t in texts])
+    if not len(codes):
+        return codes, counts, words, np.zeros((0, len(model.langs)))
+    return codes, counts, words, _joined(model.of_words(words)[codes], counts[counts > 0], np.exp(model.moves))
 
 
 def label_texts(model: Model | None, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
@@ -248,12 +236,8 @@ def label_texts(model: Model | None, texts: list[bytes]) -> tuple[list[str], np.
     lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
     if model is None:
         return lang, score
-    words, counts, p = label_words(model, texts)
-    raw = np.frombuffer(b"".join([w for own in words for w in own]), np.uint8)
-    lens = np.array([len(w) for own in words for w in own], np.int64)
-    at = np.concatenate([[0], np.cumsum(_LETTER[raw], dtype=np.int64)])
-    ends = np.cumsum(lens)
-    lettered = (at[ends] - at[ends - lens]) > 0 if len(lens) else np.zeros(0, bool)
+    codes, counts, words, p = label_words(model, texts)
+    lettered = np.array([bool(_LETTERED.search(w)) for w in words], bool)[codes] if len(codes) else np.zeros(0, bool)
     total = np.concatenate([np.zeros((1, len(model.langs))), np.cumsum(p * lettered[:, None], axis=0)])
     number = np.concatenate([[0], np.cumsum(lettered)])
     ends = np.cumsum(counts)
@@ -296,7 +280,7 @@ def _labelled(docs: DataFrame, model: Model | None, keep_rows: bool, min_score:
     def run(batches):
         own = shipped.value
         for batch in batches:
-            for part, texts in common.slices(batch):
+            for part, texts in common.slices(batch, limit=1 << 20):
                 lang, score = label_texts(own, texts)
                 if keep_rows:
                     good = [x != UNKNOWN and s >= min_score for x, s in zip(lang, score)]
