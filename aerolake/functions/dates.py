@@ -25,8 +25,11 @@ def date_parts(date_col) -> dict[str, Column]:
 
 
 def iso_day(text_col) -> Column:
-    """ISO date or date-time text -> its calendar day (DATE); null if unparsable."""
-    return F.to_date(F.try_to_timestamp(_c(text_col)))
+    """ISO date or date-time text -> the calendar day it is written with (DATE), whatever
+    its offset from UTC; null if unparsable."""
+    text = F.trim(_c(text_col).cast("string"))
+    day = F.regexp_extract(text, r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:$|[T ])", 1)
+    return F.when(F.try_to_timestamp(text).isNotNull(), day.try_cast("date"))
 
 
 def day_after(text_col) -> Column:

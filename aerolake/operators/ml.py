@@ -7,7 +7,6 @@ scoring is a per-row JVM transform (no Python in the scoring path).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -61,35 +60,35 @@ def assemble_features(train: DataFrame, df: DataFrame | None = None, handle_inva
 
 
 def train_classifier(train: DataFrame, num_trees: int = 10, max_depth: int = 5, seed: int = 1,
-                     max_bins: int | None = None, max_categories: int = 1024) -> PipelineModel:
+                     max_bins: int = 4096, as_rank: tuple[str, ...] = ()) -> PipelineModel:
     """Fit indexers + assembler + random forest (ML3).
 
-    Categorical index columns need ``maxBins`` >= their vocabulary (+1 for
-    the "keep" slot), and the forest's histograms grow with ``maxBins``. A
-    column whose vocabulary exceeds ``max_categories`` is therefore given to
-    the forest as an ordered number (its frequency rank) instead of a
-    category, so the bins stay small however many values it has.
+    The four text columns are categories, and the forest needs a bin for each value
+    of the widest (+1 for the "keep" slot). If one has more values than ``max_bins``
+    allows, that is an error naming the column, never a silent change of the model.
+    Columns named in ``as_rank`` are given to the forest as a number instead, their
+    frequency rank, at any size. ``StringIndexer`` keeps each column's distinct
+    values on the driver.
     """
+    unknown = set(as_rank) - set(INDEXED)
+    if unknown:
+        raise ValueError(f"not a category column: {sorted(unknown)}")
     data = train.select(*INDEXED, *NUMERIC, LABEL).where(F.col(LABEL).isNotNull())
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        idx = _indexer().fit(data)
-        sizes = {c: len(labels) + 1 for c, labels in zip(INDEX_COLS, idx.labelsArray)}
-        wide = [c for c in INDEX_COLS if sizes[c] > max_categories]
-        stages = [idx]
-        inputs = NUMERIC + INDEX_COLS
-        if wide:
-            # An arithmetic expression drops the nominal metadata: numeric feature.
-            sql = "SELECT *, " + ", ".join(f"{c} + 0.0 AS {c}_rank" for c in wide) + " FROM __THIS__"
-            stages.append(SQLTransformer(statement=sql))
-            inputs = NUMERIC + [f"{c}_rank" if c in wide else c for c in INDEX_COLS]
-        widest = max([sizes[c] for c in INDEX_COLS if c not in wide] + [2])
-        assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
-        rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees,
-                                    maxDepth=max_depth, maxBins=max(max_bins or 32, widest), seed=seed)
-        return Pipeline(stages=stages + [assembler, rf]).fit(data)
-    finally:
-        data.unpersist()
+    idx = _indexer().fit(data)
+    sizes = {c: len(labels) + 1 for c, labels in zip(INDEXED, idx.labelsArray) if c not in as_rank}
+    for c, n in sizes.items():
+        if n > max_bins:
+            raise ValueError(f"{c} has {n - 1} values, more than max_bins={max_bins} can hold: "
+                             f"raise max_bins or name {c} in as_rank")
+    stages, inputs = [idx], NUMERIC + [f"{c}_index_rank" if c in as_rank else f"{c}_index" for c in INDEXED]
+    if as_rank:
+        # An arithmetic expression drops the nominal metadata: numeric feature.
+        sql = "SELECT *, " + ", ".join(f"{c}_index + 0.0 AS {c}_index_rank" for c in as_rank) + " FROM __THIS__"
+        stages.append(SQLTransformer(statement=sql))
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees,
+                                maxDepth=max_depth, maxBins=max([32, *sizes.values()]), seed=seed)
+    return Pipeline(stages=stages + [assembler, rf]).fit(data)
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -111,12 +110,13 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(base).drop(*SCORE_DROP)
 
 
-def hash_split(df: DataFrame, key: str, test_fraction: float, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def hash_split(df: DataFrame, key: str, test_fraction: float) -> tuple[DataFrame, DataFrame]:
     """Train/test split by a hash of the row key: deterministic on retry and
     across runs, no per-partition sort (``randomSplit`` sorts every partition
-    to be repeatable), and a given key always lands on the same side."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
-    cut = int(round(test_fraction * 10_000))
+    to be repeatable), and a given key always lands on the same side. The first
+    four hex digits of the key's MD5 are compared with the fraction's."""
+    bucket = F.substring(F.md5(F.col(key).cast("string")), 1, 4)
+    cut = F.lit(f"{int(round(test_fraction * 65536)):04x}" if test_fraction < 1 else "g")
     return df.where(bucket >= cut), df.where(bucket < cut)
 
 
@@ -125,37 +125,23 @@ def train_metrics(train_df: DataFrame, num_trees: int = 10, seed: int = 1, test_
     """Hold-out accuracy of the classifier against the majority class (one row)."""
     data = train_df.where(F.col(LABEL).isNotNull())
     if key and key in data.columns:
-        train, test = hash_split(data, key, test_fraction, seed)
+        train, test = hash_split(data, key, test_fraction)
     else:
         train, test = data.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
     model = train_classifier(train, num_trees=num_trees, seed=seed)
     pred = model.transform(test.select(*INDEXED, *NUMERIC, LABEL)).select(LABEL, "prediction")
-    pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        acc = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction",
-                                                metricName="accuracy").evaluate(pred)
-        by_class = pred.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
-        stats = by_class.agg(F.sum("n").alias("n_test"), F.max("n").alias("n_major")).first()
-    finally:
-        pred.unpersist()
-    spark = train_df.sparkSession
-    return spark.createDataFrame(
-        [(int(stats["n_test"]), float(acc), float(stats["n_major"]) / float(stats["n_test"]), num_trees)],
-        "n_test long, accuracy double, majority_rate double, num_trees int")
+    by_class = pred.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(LABEL) == F.col("prediction")).cast("long")).alias("hit"))
+    return by_class.agg(F.sum("n").alias("n_test"), (F.sum("hit") / F.sum("n")).alias("accuracy"),
+                        (F.max("n") / F.sum("n")).alias("majority_rate"), F.lit(num_trees).alias("num_trees"))
 
 
 def fit_line(df: DataFrame, x: str = "DepDelay", y: str = "ArrDelay", digits: int = 6) -> DataFrame:
-    """Least-squares line y = slope * x + intercept (one-feature ML4 form),
-    solved exactly from the normal equations."""
-    data = VectorAssembler(inputCols=[x], outputCol="_x", handleInvalid="skip").transform(
-        df.select(x, y).where(F.col(y).isNotNull()))
-    model = LinearRegression(featuresCol="_x", labelCol=y, solver="normal", regParam=0.0,
-                             standardization=False).fit(data)
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [(round(float(model.coefficients[0]), digits), round(float(model.intercept), digits),
-          int(model.summary.numInstances))],
-        "slope double, intercept double, n long")
+    """Least-squares line y = slope * x + intercept (one-feature ML4 form), exact
+    and lazy: one aggregation over the rows that have both values."""
+    has = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("NOT isnan(x) AND NOT isnan(y)")
+    return has.agg(F.round(F.regr_slope("y", "x"), digits).alias("slope"),
+                   F.round(F.regr_intercept("y", "x"), digits).alias("intercept"),
+                   F.regr_count("y", "x").alias("n"))
 
 
 REGRESSION_CATEGORICAL = ["Origin", "Dest", "FlightNum"]
@@ -165,18 +151,31 @@ REGRESSION_NUMERIC = ["Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
 def train_regressor(train: DataFrame, label: str = "ArrDelay", num_features: int = 1 << 10) -> PipelineModel:
     """Delay-minutes regression (ML4): hashed categories + numbers -> ridge
     regression solved from the normal equations: one pass that sums a
-    fixed-size (num_features^2) Gram matrix per task, whatever the row count."""
+    fixed-size (num_features^2) Gram matrix per task, whatever the row count.
+
+    ``num_features`` is the number of hash slots, 4096 at most for this solver;
+    categories that share a slot share a weight. Rows without a label can't train;
+    a missing feature counts as absent, as in ``predict_delay``.
+    ``regressor_report`` tells how many rows and categories that concerns."""
     hasher = FeatureHasher(inputCols=REGRESSION_CATEGORICAL + REGRESSION_NUMERIC,
                            categoricalCols=REGRESSION_CATEGORICAL, outputCol="features",
                            numFeatures=num_features)
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="Delay",
                           regParam=0.01, elasticNetParam=0.0, solver="normal")
-    cols = REGRESSION_CATEGORICAL + REGRESSION_NUMERIC + [label]
-    data = train.select(*cols).na.drop(subset=cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=[hasher, lr]).fit(data)
-    finally:
-        data.unpersist()
+    data = train.select(*REGRESSION_CATEGORICAL, *REGRESSION_NUMERIC, label).where(F.col(label).isNotNull())
+    return Pipeline(stages=[hasher, lr]).fit(data)
+
+
+def regressor_report(train: DataFrame, label: str = "ArrDelay", num_features: int = 1 << 10) -> DataFrame:
+    """One row: rows, rows left out for want of a label, rows with a missing
+    feature, distinct categories, and hash slots they share."""
+    features = REGRESSION_CATEGORICAL + REGRESSION_NUMERIC
+    missing = F.greatest(*[F.col(c).isNull().cast("int") for c in features])
+    rows = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).isNull().cast("long")).alias("n_without_label"),
+                     F.sum(missing.cast("long")).alias("n_incomplete"))
+    values = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in REGRESSION_CATEGORICAL])).alias("x"))
+    distinct = values.select("x.c", "x.v").where("v IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias("n_categories"))
+    return rows.join(distinct, F.lit(True)).withColumn("slots", F.lit(num_features))
 
 
 def predict_delay(model: PipelineModel, df: DataFrame) -> DataFrame:

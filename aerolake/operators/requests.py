@@ -25,7 +25,9 @@ def parse_requests(raw: DataFrame, value_col: str = "value", keep: list[str] | N
     """Request text -> typed fields (SCA2), permissive: a malformed message
     gives nulls and a non-null ``_corrupt_record``."""
     keep = [c for c in (keep if keep is not None else raw.columns) if c != value_col]
-    return raw.select(*keep, messages.parse_request(value_col).alias("flight"))
+    # Exploding a one-element array keeps a later filter on the result above the
+    # parse: without it the optimizer parses once to filter and again to project.
+    return raw.select(*keep, F.explode(F.array(messages.parse_request(value_col))).alias("flight"))
 
 
 def valid_only(parsed: DataFrame) -> DataFrame:

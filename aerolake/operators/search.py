@@ -70,14 +70,16 @@ def search(df: DataFrame, criteria: Mapping[str, Any], sort_keys: list[str], tie
     token occurs and contribute their BM25 score. Order: ``sort_keys``
     ascending with missing values last, then score descending, then ``tie``.
     """
-    filtered = searched(df, criteria, text_fields, score_col)
+    filtered = searched(df, criteria, text_fields, score_col, digits=None)
     order = _sort_columns(filtered, sort_keys) + [F.col(score_col).desc()] + [F.col(t).asc() for t in tie]
-    return filtered.orderBy(*order).offset(int(start)).limit(int(size))
+    page = filtered.orderBy(*order).offset(int(start)).limit(int(size))
+    return page.withColumn(score_col, F.round(score_col, 6))  # shown rounded, sorted in full
 
 
 def searched(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterable[str] = (),
-             score_col: str = "score") -> DataFrame:
-    """All rows a search matches, with their relevance score."""
+             score_col: str = "score", digits: int | None = 6) -> DataFrame:
+    """All rows a search matches, with their relevance score (in full if
+    ``digits`` is None)."""
     text = set(text_fields)
     exact = {k: v for k, v in criteria.items() if k not in text}
     out = df.where(criteria_predicate(exact))
@@ -93,7 +95,7 @@ def searched(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterable[s
         tmp.append(tk)
         out = out.withColumn(tk, tokens(field, lower=True)).where(relevance.match_predicate(F.col(tk), terms))
         score = score + relevance.bm25_score(F.col(tk), terms, stats)
-    return out.withColumn(score_col, F.round(score, 6)).drop(*tmp)
+    return out.withColumn(score_col, score if digits is None else F.round(score, digits)).drop(*tmp)
 
 
 def search_count(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterable[str] = (),
@@ -112,18 +114,18 @@ def search_count(df: DataFrame, criteria: Mapping[str, Any], text_fields: Iterab
 def keyset_page(df: DataFrame, sort_keys: list[str], after: Mapping[str, Any] | None,
                 size: int = 20) -> DataFrame:
     """Deep paging without an offset: rows strictly after ``after`` in the
-    (non-null) ``sort_keys`` order, first ``size`` of them. Cost is that of a
-    top-k whatever the page depth."""
+    ``sort_keys`` order, first ``size`` of them. A missing value sorts last, as
+    in ``search``, and a null in ``after`` means that its row had none. Cost is
+    that of a top-k whatever the page depth."""
     out = df
     if after:
-        cond = None
+        cond = F.lit(False)
         for i, k in enumerate(sort_keys):
-            eq_prefix = reduce(lambda a, b: a & b,
-                               [F.col(p) == F.lit(after[p]) for p in sort_keys[:i]], F.lit(True))
-            term = eq_prefix & (F.col(k) > F.lit(after[k]))
-            cond = term if cond is None else (cond | term)
+            same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(after[p])) for p in sort_keys[:i]], F.lit(True))
+            if after[k] is not None:  # nothing sorts after a missing value
+                cond = cond | (same & ((F.col(k) > F.lit(after[k])) | F.col(k).isNull()))
         out = out.where(cond)
-    return out.orderBy(*[F.col(k).asc() for k in sort_keys]).limit(int(size))
+    return out.orderBy(*[F.col(k).asc_nulls_last() for k in sort_keys]).limit(int(size))
 
 
 def day_range_text(df: DataFrame, col: str, day_from: Column, day_to: Column) -> DataFrame:

@@ -19,7 +19,7 @@ from aerolake import schemas
 from aerolake.functions.labels import delay_class, prediction_label
 from aerolake.operators import joins, ml, relevance, rollups, search
 from aerolake.operators import requests as rq
-from aerolake.plans.context import Tables
+from aerolake.plans.context import ROUTE_MAX_ROWS, Tables
 from aerolake.session import shared_path, spread
 from aerolake.sources.tables import append_table, read_jsonl, write_jsonl
 
@@ -229,7 +229,7 @@ def q_date_features(spark, sf):
 def q_enrich_distance(spark, sf):
     t = Tables(spark, sf)
     base = t.valid.select("event_id", "flight.Origin", "flight.Dest")
-    return joins.enrich_distance(base, t.distances)
+    return joins.enrich_distance(base, t.distances, max_rows=ROUTE_MAX_ROWS)
 
 
 def _request_messages(t: Tables) -> DataFrame:

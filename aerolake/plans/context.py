@@ -11,6 +11,8 @@ from aerolake.sources import fixtures
 from aerolake.sources.materialize import cached_model, materialize
 from aerolake.sources.tables import read_table
 
+#: Routes up to which the stored route table (three short columns) is broadcast: some 10 MB.
+ROUTE_MAX_ROWS = 200_000
 FLIGHT_INPUTS = ["lineitem", "orders", "customer", "supplier", "part", "nation"]
 
 
@@ -33,7 +35,7 @@ class Tables:
         by date (lookups by day read few row groups)."""
         return materialize(self.spark, "flights", self.paths(*FLIGHT_INPUTS),
                            lambda: fixtures.flights(self.spark, self.sf_dir),
-                           cluster_by=["FlightDate", "FlightId"], partition_by="FlightDate")
+                           cluster_by=["FlightDate", "FlightId"], lookup_by=["TailNum", "FlightNum"])
 
     @cached_property
     def flights_view(self) -> DataFrame:
@@ -69,7 +71,9 @@ class Tables:
 
     @cached_property
     def distances(self) -> DataFrame:
-        return rollups.route_distance(self.flights, ordered=False)
+        """The route table, stored once: requests read it, not the flight history."""
+        return materialize(self.spark, "route_distance", self.paths(*FLIGHT_INPUTS),
+                           lambda: rollups.route_distance(self.flights, ordered=False))
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -85,7 +89,8 @@ class Tables:
         from the event (deterministic stand-ins for now() and uuid4())."""
         return rq.enrich(self.valid, self.distances,
                          ts=F.col("ts").cast("timestamp"),
-                         uuid=F.md5(F.col("event_id").cast("string")))
+                         uuid=F.md5(F.col("event_id").cast("string")),
+                         distance_max_rows=ROUTE_MAX_ROWS)
 
     @cached_property
     def tasks(self) -> DataFrame:

@@ -31,7 +31,7 @@ SELECT md5(concat_ws('|', cast(l_orderkey AS varchar(20)), cast(l_linenumber AS
        cast(l_suppkey AS varchar(20)) AS FlightNum,
        cast(l_shipdate AS date) AS FlightDate,
        cast(year(l_shipdate) AS int) AS Year, cast(month(l_shipdate) AS int) AS Month,
-       lpad(cast((l_partkey * 7) % 2400 AS varchar(4)), 4, '0') AS DepTime,
+       CASE WHEN l_linenumber <> 7 THEN lpad(cast((l_partkey * 7) % 2400 AS varchar(4)), 4, '0') END AS DepTime,
        lpad(cast((l_partkey * 7 + l_linenumber * 100) % 2400 AS varchar(4)), 4, '0') AS ArrTime,
        l_quantity - 25 AS DepDelay,
        l_quantity - 25 + l_linenumber * 4 - 12 AS ArrDelay,
@@ -66,14 +66,18 @@ SELECT event_id, ts, event_type,
 FROM events LEFT JOIN nation no ON user_id % 25 = no.n_nationkey
             LEFT JOIN nation nd ON event_id % 26 = nd.n_nationkey""")
 
-view("responses", """
+_PROMPT = "FROM events WHERE event_id % 10 <> 0 AND event_id % 7 <> 0 AND event_id %"
+view("responses", f"""
 SELECT md5(cast(event_id AS varchar(20))) AS UUID,
        ts + CASE WHEN event_id % 7 = 0 THEN INTERVAL '30' SECOND ELSE INTERVAL '2' SECOND END AS rs_ts,
        cast(event_id % 4 AS double) AS prediction
 FROM events WHERE event_id % 10 <> 0
 UNION ALL
-SELECT md5(cast(event_id AS varchar(20))), ts + INTERVAL '3' SECOND, cast(event_id % 4 AS double)
-FROM events WHERE event_id % 11 = 0 AND event_id % 10 <> 0 AND event_id % 7 <> 0""")
+SELECT md5(cast(event_id AS varchar(20))), ts + INTERVAL '3' SECOND, cast(event_id % 4 AS double) {_PROMPT} 11 = 0
+UNION ALL
+SELECT md5(cast(event_id AS varchar(20))), ts + INTERVAL '15' SECOND, cast((event_id + 1) % 4 AS double) {_PROMPT} 13 = 0
+UNION ALL
+SELECT md5(cast(event_id AS varchar(20))), ts - INTERVAL '3' SECOND, cast((event_id + 2) % 4 AS double) {_PROMPT} 17 = 0""")
 
 
 def _jx(field: str) -> str:
@@ -139,6 +143,8 @@ def _with(*names: str) -> str:
 
 def _lit(v) -> str:
     import datetime as dt
+    if v is None:
+        return "NULL"
     if isinstance(v, dt.date):
         return f"DATE '{v.isoformat()}'"
     if isinstance(v, str):
@@ -186,8 +192,9 @@ def _bm25_select(table_view: str, field: str, query: str, cols: str, where: str
 def _keyset_where(keys: list[str], after: dict) -> str:
     ors = []
     for i, k in enumerate(keys):
-        eqs = [f"{p} = {_lit(after[p])}" for p in keys[:i]]
-        ors.append("(" + " AND ".join(eqs + [f"{k} > {_lit(after[k])}"]) + ")")
+        same = [f"{p} IS NOT DISTINCT FROM {_lit(after[p])}" for p in keys[:i]]
+        if after[k] is not None:
+            ors.append("(" + " AND ".join(same + [f"({k} > {_lit(after[k])} OR {k} IS NULL)"]) + ")")
     return " OR ".join(ors)
 
 
@@ -277,7 +284,7 @@ ORACLE_SQL: dict[str, str] = {
         + _bm25("documents", "text", C.DOCUMENT_QUERY)[2]),
     "flights_page_keyset": _with("flights") + (
         f"SELECT {FLIGHT_COLS} FROM flights WHERE {_keyset_where(C.KEYSET_SORT, C.KEYSET_AFTER)} "
-        f"ORDER BY {', '.join(C.KEYSET_SORT)} LIMIT {C.KEYSET_SIZE}"),
+        f"ORDER BY {', '.join(k + ' NULLS LAST' for k in C.KEYSET_SORT)} LIMIT {C.KEYSET_SIZE}"),
     "delay_bucket": _with("flights") + (
         f"SELECT FlightId, ArrDelay, {delay_class_sql('ArrDelay')} AS ArrDelayBucket FROM flights"),
     "category_index": _with("flights") + (
@@ -324,12 +331,12 @@ ORACLE_SQL: dict[str, str] = {
 ORACLE_SQL["stream_parse"] = _with("parsed") + (
     "SELECT md5(cast(event_id AS varchar)) AS key, Origin, Dest, Carrier, FlightNum, FlightDate, DepDelay, "
     "UUID, is_valid FROM parsed")
-ORACLE_SQL["request_response_stream"] = _with("first_reply") + (
+ORACLE_SQL["request_response_stream"] = _with("responses") + (
     ", r AS (SELECT md5(cast(event_id AS varchar)) AS UUID, ts AS rq_ts FROM events), "
-    "m AS (SELECT r.UUID, f.prediction, f.rs_ts IS NOT NULL AND f.rs_ts >= r.rq_ts "
-    "AND f.rs_ts <= r.rq_ts + INTERVAL 20 SECOND AS hit FROM r LEFT JOIN first_reply f ON r.UUID = f.UUID) "
-    "SELECT UUID, CASE WHEN hit THEN 'OK' ELSE 'TIMEOUT' END AS status, "
-    "CASE WHEN hit THEN prediction END AS prediction FROM m")
+    "inside AS (SELECT r.UUID, r.rq_ts, s.prediction, s.rs_ts IS NOT NULL AS hit, row_number() OVER "
+    "(PARTITION BY r.UUID, r.rq_ts ORDER BY s.rs_ts, s.prediction) AS rn FROM r LEFT JOIN responses s "
+    "ON r.UUID = s.UUID AND s.rs_ts >= r.rq_ts AND s.rs_ts <= r.rq_ts + INTERVAL 20 SECOND) "
+    "SELECT UUID, CASE WHEN hit THEN 'OK' ELSE 'TIMEOUT' END AS status, prediction FROM inside WHERE rn = 1")
 
 ORACLE_SQL["response_lookup_stream"] = ORACLE_SQL["response_lookup"]
 

@@ -68,5 +68,3 @@ TOPIC = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# Flat form of a topic read back as text.
-KEY_VALUE = T.StructType([T.StructField("key", S), T.StructField("value", S)])

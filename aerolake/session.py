@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,18 +77,6 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([base, "aerolake", *leaf]) if leaf else base
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places Python itself opens a path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-    return path
-
-
 def spread(df, min_partitions: int | None = None):
     """Give CPU-heavy per-row work (JSON parsing, tokenising) every core.
 

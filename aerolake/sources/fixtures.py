@@ -65,7 +65,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship.alias("FlightDate"),
         F.year("l_shipdate").cast("int").alias("Year"),
         F.month("l_shipdate").cast("int").alias("Month"),
-        F.lpad(_s((F.col("l_partkey") * 7) % 2400), 4, "0").alias("DepTime"),
+        F.when(F.col("l_linenumber") != 7, F.lpad(_s((F.col("l_partkey") * 7) % 2400), 4, "0")).alias("DepTime"),
         F.lpad(_s((F.col("l_partkey") * 7 + F.col("l_linenumber") * 100) % 2400), 4, "0").alias("ArrTime"),
         (F.col("l_quantity") - 25).alias("DepDelay"),
         (F.col("l_quantity") - 25 + F.col("l_linenumber") * 4 - 12).cast("double").alias("ArrDelay"),
@@ -128,17 +128,22 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies on the response topic: (UUID, rs_ts, prediction). Every 10th
-    request has no reply, every 7th a late one (30 s), and requests with
-    event_id % 11 = 0 get a second reply 3 s after the request."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    request has no reply, every 7th a late one (30 s); the others are answered
+    after 2 s. Of those, event_id % 11 = 0 get a second reply after 3 s,
+    event_id % 13 = 0 another one after 15 s, and event_id % 17 = 0 a stale one
+    dated 3 s before the request."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts").where(F.col("event_id") % 10 != 0)
+    e = F.col("event_id")
     uuid = F.md5(_s("event_id")).alias("UUID")
-    pred = (F.col("event_id") % 4).cast("double").alias("prediction")
-    first = ev.where(F.col("event_id") % 10 != 0).select(
-        uuid,
-        F.when(F.col("event_id") % 7 == 0, F.col("ts") + F.expr("INTERVAL 30 SECONDS"))
-         .otherwise(F.col("ts") + F.expr("INTERVAL 2 SECONDS")).alias("rs_ts"),
-        pred)
-    second = ev.where((F.col("event_id") % 11 == 0) & (F.col("event_id") % 10 != 0)
-                      & (F.col("event_id") % 7 != 0)).select(
-        uuid, (F.col("ts") + F.expr("INTERVAL 3 SECONDS")).alias("rs_ts"), pred)
-    return first.unionByName(second)
+
+    def reply(rows: DataFrame, after, shift: int) -> DataFrame:
+        return rows.select(uuid, after.alias("rs_ts"), ((e + shift) % 4).cast("double").alias("prediction"))
+
+    def later(seconds: int):
+        return F.col("ts") + F.expr(f"INTERVAL {seconds} SECONDS")
+
+    prompt = ev.where(e % 7 != 0)
+    return (reply(ev, F.when(e % 7 == 0, later(30)).otherwise(later(2)), 0)
+            .unionByName(reply(prompt.where(e % 11 == 0), later(3), 0))
+            .unionByName(reply(prompt.where(e % 13 == 0), later(15), 1))
+            .unionByName(reply(prompt.where(e % 17 == 0), later(-3), 2)))

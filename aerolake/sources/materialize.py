@@ -3,16 +3,20 @@
 A derived table (the flight fact table built from the driver's tables) is
 written once per *input fingerprint* and read by every later query: this cuts
 lineage (a lost executor re-reads files instead of re-running the joins) and
-lets Parquet statistics prune row groups. The fingerprint is computed by
-Spark from the input files' paths, sizes and modification times, so changed
-inputs give a new table and a stale one is never read.
+lets Parquet statistics prune row groups. The fingerprint holds the input
+files' paths, sizes and modification times and is taken anew on each use, so
+changed inputs give a new table and a stale one is never read.
+
+Each build writes a folder of its own; a pointer then names the build to read.
+Two applications may build at the same time: neither touches the other's files,
+and all readers follow the pointer that was published first.
 """
 
 from __future__ import annotations
 
 import hashlib
 import threading
-import time
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,65 +27,44 @@ from aerolake.session import shared_path
 
 # Version of the derivations: part of every stored artifact's name, so a
 # change to how a table, topic or model is derived never reuses an old build.
-ARTIFACT_VERSION = "2"
+ARTIFACT_VERSION = "3"
 
 
 def _artifact(spark: SparkSession, kind: str, name: str, inputs: list[str]) -> str:
     return shared_path(spark, kind, f"{name}-v{ARTIFACT_VERSION}-{fingerprint(spark, inputs)}")
 
 
-# Fingerprints are reused for this many seconds, as Spark reuses the file
-# listing of a catalog table until it is refreshed; ``refresh()`` forgets them.
-FINGERPRINT_TTL_SECONDS = 300.0
-_fingerprints: dict[tuple, tuple[float, str]] = {}
-_complete_paths: set[str] = set()
-
-
-def refresh() -> None:
-    """Forget cached fingerprints (after the inputs changed in place)."""
-    _fingerprints.clear()
-
-
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Hash of (file count, total bytes, latest modification, path hash) of
-    all files under ``paths``: one small aggregation, file contents unread."""
-    key = (spark.sparkContext.applicationId, tuple(paths))
-    hit = _fingerprints.get(key)
-    if hit and time.monotonic() - hit[0] < FINGERPRINT_TTL_SECONDS:
-        return hit[1]
-    fp = _fingerprint(spark, paths)
-    _fingerprints[key] = (time.monotonic(), fp)
-    return fp
-
-
-def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
-                    F.max("modificationTime").cast("string").alias("mtime"),
-                    F.expr("bit_xor(xxhash64(path))").alias("paths")).first()
-    text = "|".join(str(row[c]) for c in ["n", "bytes", "mtime", "paths"])
-    return hashlib.sha1(text.encode()).hexdigest()[:16]
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    """A finished table has a success marker; once finished it never changes."""
-    if path in _complete_paths:
-        return True
+    """Hash of the paths, sizes and modification times of all files under ``paths``.
+    Single files are asked for by their status; folders are listed by Spark (one
+    small aggregation, file contents unread)."""
+    texts, folders = [], []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        status = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+        if status.isDirectory():
+            folders.append(path)
+        else:
+            texts.append(f"{path}|{status.getLen()}|{status.getModificationTime()}")
+    if folders:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+        row = files.agg(F.count(F.lit(1)), F.sum("length"),
+                        F.expr("bit_xor(xxhash64(path, length, modificationTime))")).first()
+        texts.append("|".join(map(str, row)))
+    return hashlib.sha1("\n".join(texts).encode()).hexdigest()[:16]
+
+
+def _published(spark: SparkSession, path: str) -> str | None:
+    """The build that the pointer names, if one is complete."""
     try:
-        spark.read.text(f"{path}/_SUCCESS")
+        names = [r["value"] for r in spark.read.text(f"{path}/current").collect()]
     except AnalysisException:
-        return False
-    _complete_paths.add(path)
-    return True
+        return None
+    return f"{path}/{min(names)}" if names else None
 
 
-# Inputs above this size get their derived table Hive-partitioned by the
-# ``partition_by`` column (one folder per value, e.g. per day), so equality and
-# range predicates on it prune folders at planning time instead of opening
-# every file's footer. Below it, folders would hold tiny files.
-PARTITION_MIN_BYTES = 256 << 30
-TARGET_FILE_BYTES = 128 << 20
-
+#: Builds found complete: a build never changes once its pointer is published.
+_builds: dict[str, str] = {}
 _locks: dict[str, threading.Lock] = {}
 _locks_guard = threading.Lock()
 
@@ -91,60 +74,56 @@ def _lock(path: str) -> threading.Lock:
         return _locks.setdefault(path, threading.Lock())
 
 
+#: Rows that one reduce task of a clustered build gets, about 128 MB of Parquet,
+#: and the most reduce tasks of a build: map outputs stay countable at any size.
+ROWS_PER_FILE = 2_000_000
+MAX_FILES = 20_000
+
+
+def _build(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    if path not in _builds:
+        with _lock(path):
+            build = _published(spark, path)
+            if build is None:
+                name = f"build-{uuid.uuid4().hex}"
+                write(f"{path}/{name}")
+                try:
+                    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(f"{path}/current")
+                except AnalysisException:
+                    pass  # another application published its build first
+                build = _published(spark, path)
+            _builds[path] = build
+    return _builds[path]
+
+
 def materialize(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
                 cluster_by: list[str] | None = None, files: int | None = None,
-                partition_by: str | None = None,
-                partition_min_bytes: int = PARTITION_MIN_BYTES) -> DataFrame:
+                lookup_by: list[str] | None = None) -> DataFrame:
     """Read the derived table ``name`` for these inputs, building it first if
     needed. ``cluster_by`` range-partitions the rows so each file covers a
-    narrow key range (good min/max statistics); ``files`` sets the file count,
-    by default enough files for every core and ~128 MB per file. With
-    ``partition_by`` and inputs of at least ``partition_min_bytes``, the table
-    is also written one folder per value of that column."""
+    narrow key range (good min/max statistics), in one layout at every size;
+    ``files`` sets the file count. ``lookup_by`` columns get Parquet Bloom
+    filters, so a lookup by a value outside the clustering skips row groups."""
     path = _artifact(spark, "tables", name, inputs)
-    with _lock(path):
-        if not _complete(spark, path):
-            total = _input_bytes(spark, inputs)
-            df = build()
-            if cluster_by:
-                n = files or max(spark.sparkContext.defaultParallelism, int(total // TARGET_FILE_BYTES) + 1)
-                df = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-            w = df.write.mode("overwrite")
-            if partition_by and total >= partition_min_bytes:
-                w = w.partitionBy(partition_by)
-            _write_or_wait(spark, path, lambda: w.parquet(path))
-    return spark.read.parquet(path)
-
-
-def _write_or_wait(spark: SparkSession, path: str, write: Callable[[], None],
-                   wait_seconds: float = 900.0, poll: float = 5.0) -> None:
-    """Run ``write``; if it fails because another application is building the
-    same table at the same time, use that build once it completes."""
-    try:
-        write()
-    except Exception:
-        deadline = time.monotonic() + wait_seconds
-        while time.monotonic() < deadline:
-            if _complete(spark, path):
-                return
-            time.sleep(poll)
-        raise
+
+    def write(to: str) -> None:
+        df = build()
+        if cluster_by:
+            n = files or min(MAX_FILES, max(spark.sparkContext.defaultParallelism, df.count() // ROWS_PER_FILE + 1))
+            df = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+        w = df.write
+        for c in lookup_by or []:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        w.parquet(to)
+
+    return spark.read.parquet(_build(spark, path, write))
 
 
 def materialize_path(spark: SparkSession, name: str, inputs: list[str],
                      build: Callable[[], DataFrame]) -> str:
     """Like ``materialize`` but returns the folder (for a streaming reader)."""
     path = _artifact(spark, "tables", name, inputs)
-    with _lock(path):
-        if not _complete(spark, path):
-            df = build()
-            _write_or_wait(spark, path, lambda: df.write.mode("overwrite").parquet(path))
-    return path
-
-
-def _input_bytes(spark: SparkSession, inputs: list[str]) -> int:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inputs)
-    return int(files.agg(F.sum("length")).first()[0] or 0)
+    return _build(spark, path, lambda to: build().write.parquet(to))
 
 
 def cached_model(spark: SparkSession, name: str, inputs: list[str], train: Callable[[], object]):

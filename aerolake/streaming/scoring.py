@@ -188,14 +188,20 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> None:
 
 
 def read_store(spark: SparkSession, path: str, schema=None, fmt: str = "parquet",
-               key: str = "UUID") -> DataFrame:
+               key: str = "UUID", key_value: str | None = None) -> DataFrame:
     """Read a store sink, one row per key (replays are already idempotent;
-    this also drops at-least-once duplicates)."""
+    this also drops at-least-once duplicates). Rows without a key can't be
+    duplicates of each other and all stay. ``key_value`` reads one key: its
+    filter reaches the scan, so only its few rows are shuffled."""
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
     df = r.load(path)
-    return df.dropDuplicates([key]) if key in df.columns else df
+    if key not in df.columns:
+        return df
+    if key_value is not None:
+        return df.where(F.col(key) == F.lit(key_value)).dropDuplicates([key])
+    return df.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(df.where(F.col(key).isNull()))
 
 
 def run_to_end(queries: list[StreamingQuery] | StreamingQuery) -> None:

@@ -50,6 +50,27 @@ def test_coerce_like_python(spark):
     assert [r.f for r in rows] == [py(float, t) for t in texts]
 
 
+def test_numbers_with_suffixes_and_odd_space(spark):
+    texts = ["1d", "1f", "1D", "\t5", "5\n", " \x0b7", "nan", "+inf", "-Infinity", "1e400", ".5", "5.", "1e", "0x1", "\u00a06"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(coerce.try_int("t").alias("i"), coerce.try_double("t").alias("f")).collect()
+
+    def py(fn, t):
+        try:
+            return fn(t)
+        except ValueError:
+            return None
+    ascii_texts = [(t, r) for t, r in zip(texts, rows) if t.isascii()]
+    assert [r.i for _, r in ascii_texts] == [py(int, t) for t, _ in ascii_texts]
+    assert [str(r.f) for _, r in ascii_texts] == [str(py(float, t)) for t, _ in ascii_texts]
+
+
+def test_iso_day_is_the_day_as_written(spark):
+    df = spark.createDataFrame([("2016-12-25T23:30:00-05:00",), ("2016-12-25T00:10:00+09:00",), ("2016-12-25",), ("2016-12-25 10:00:00",), ("2016-13-01",), ("x",)], "s string")
+    day = dt.date(2016, 12, 25)
+    assert [r.d for r in df.select(dates.iso_day("s").alias("d")).collect()] == [day] * 4 + [None] * 2
+
+
 def test_date_parts_weekday_monday_zero(spark):
     df = spark.createDataFrame([(dt.date(2016, 12, 25),), (dt.date(2024, 1, 1),)], "d date")
     rows = df.select(*[c.alias(n) for n, c in dates.date_parts("d").items()]).collect()

@@ -84,14 +84,34 @@ def test_regressor_predicts_every_task(spark):
     assert out.where("Delay IS NULL").count() == 0
 
 
-def test_wide_category_becomes_numeric(spark):
+def test_category_encoding_is_explicit(spark):
     t = Tables(spark, SF_SMALL)
-    model = ml.train_classifier(ml.training_frame(t.flights), num_trees=3, max_categories=100)
-    rf = model.stages[-1]
-    assert rf.getMaxBins() < 100  # Route (250 values here) is no longer categorical
+    train = ml.training_frame(t.flights)
+    with pytest.raises(ValueError, match="Route"):
+        ml.train_classifier(train, num_trees=3, max_bins=100)
+    model = ml.train_classifier(train, num_trees=3, max_bins=100, as_rank=("Route",))
+    assert model.stages[-1].getMaxBins() < 100
     out = ml.score(model, t.enriched)
     assert out.where("prediction IS NULL").count() == 0
     assert "Route_index_rank" not in out.columns
+    # a limit that nothing reaches changes nothing
+    a = ml.score(ml.train_classifier(train, num_trees=3, max_bins=700), t.enriched).select("UUID", "prediction")
+    b = ml.score(ml.train_classifier(train, num_trees=3), t.enriched).select("UUID", "prediction")
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_regressor_keeps_rows_with_missing_features_and_reports(spark):
+    rows = [("A", "B", "1", 100.0, 5, 5, 1, 10.0), ("A", None, "2", None, 6, 6, 2, 20.0), ("C", "B", "3", 50.0, 7, 7, 3, None)] * 5
+    df = spark.createDataFrame(rows, "Origin string, Dest string, FlightNum string, Distance double, DayOfYear int, DayOfMonth int, DayOfWeek int, ArrDelay double")
+    r = ml.regressor_report(df, num_features=64).first()
+    assert (r.n, r.n_without_label, r.n_incomplete, r.n_categories, r.slots) == (15, 5, 5, 6, 64)
+    out = ml.predict_delay(ml.train_regressor(df, num_features=64), df)
+    assert out.count() == 15 and out.where("Delay IS NULL").count() == 0
+
+
+def test_fit_line_skips_missing_and_is_exact(spark):
+    df = spark.createDataFrame([(float(x), 2.0 * x + 1) for x in range(10)] + [(None, 3.0), (4.0, None), (float("nan"), 1.0)], "DepDelay double, ArrDelay double")
+    assert tuple(ml.fit_line(df).first()) == (2.0, 1.0, 10)
 
 
 def test_assembler_skip_and_quarantine(spark):

@@ -94,25 +94,58 @@ def test_failed_query_raises(spark, setup):
 
 def test_request_response_counts_sf001(spark):
     df = S.q_request_response_stream(spark, SF_MID)
-    counts = {r.status: r["count"] for r in df.groupBy("status").count().collect()}
-    assert counts == {"OK": 7714, "TIMEOUT": 2286}
+    assert df.count() == 10_000 == df.select("UUID").distinct().count()
+    assert df.where("status = 'OK'").count() == 7714
 
 
-def test_correlate_window_and_duplicates(spark):
+def _correlated(spark, requests, responses, per_batch=False):
+    """Run the stream; per_batch gives each reply a micro-batch of its own."""
     root = shared_path(spark, "test_corr", unique=True)
     t0 = dt.datetime(2024, 1, 1, 12, 0, 0)
-    s = lambda n: t0 + dt.timedelta(seconds=n)
-    rq_rows = [("a", s(0)), ("b", s(0)), ("c", s(0)), ("end", s(3600))]
-    rs_rows = [("a", s(2), 1.0), ("a", s(3), 1.0), ("b", s(30), 2.0), ("end", s(3600), 0.0)]
-    spark.createDataFrame(rq_rows, "UUID string, rq_ts timestamp").write.parquet(root + "/rq")
-    spark.createDataFrame(rs_rows, "UUID string, rs_ts timestamp, prediction double").write.parquet(root + "/rs")
-    a = spark.readStream.schema("UUID string, rq_ts timestamp").parquet(root + "/rq")
-    b = spark.readStream.schema("UUID string, rs_ts timestamp, prediction double").parquet(root + "/rs")
+    at = lambda n: t0 + dt.timedelta(seconds=n)
+    rq_rows = [(u, at(n)) for u, n in requests]
+    rs_rows = [(u, at(n), p) for u, n, p in responses]
+    groups = [[r] for r in rs_rows] if per_batch else [rs_rows]
+    for i, rows in enumerate(groups):
+        spark.createDataFrame(rows, "UUID string, rs_ts timestamp, prediction double").coalesce(1).write.mode("append").parquet(root + "/rs")
+        more = rq_rows if i == 0 else [("tick%d" % i, rows[0][1])]
+        spark.createDataFrame(more, "UUID string, rq_ts timestamp").coalesce(1).write.mode("append").parquet(root + "/rq")
+    opt = {"maxFilesPerTrigger": "1"} if per_batch else {}
+    a = spark.readStream.schema("UUID string, rq_ts timestamp").options(**opt).parquet(root + "/rq")
+    b = spark.readStream.schema("UUID string, rs_ts timestamp, prediction double").options(**opt).parquet(root + "/rs")
     q = (corr.correlate(a, b).writeStream.format("parquet").trigger(availableNow=True)
          .option("checkpointLocation", root + "/ck").start(root + "/out"))
     sc.run_to_end(q)
-    got = {(r.UUID, r.status, r.prediction) for r in spark.read.parquet(root + "/out").collect()}
-    assert got == {("a", "OK", 1.0), ("b", "TIMEOUT", None), ("c", "TIMEOUT", None), ("end", "OK", 0.0)}
+    rows = [(r.UUID, r.status, r.prediction) for r in spark.read.parquet(root + "/out").collect()]
+    return sorted((r for r in rows if not r[0].startswith(("tick", "end"))), key=str)
+
+
+def test_correlate_window_and_duplicates(spark):
+    got = _correlated(spark, [("a", 0), ("b", 0), ("c", 0), ("end", 3600)],
+                      [("a", 2, 1.0), ("a", 3, 1.0), ("b", 30, 2.0), ("end", 3600, 0.0)])
+    assert got == [("a", "OK", 1.0), ("b", "TIMEOUT", None), ("c", "TIMEOUT", None)]
+
+
+def test_correlate_gives_one_row_and_the_earliest_reply_inside(spark):
+    got = _correlated(spark, [("a", 0), ("b", 0), ("c", 0), ("d", 0), ("end", 3600)],
+                      [("a", 2, 1.0), ("a", 15, 3.0), ("b", 30, 2.0), ("b", 2, 0.0), ("c", -3, 3.0), ("c", 2, 1.0),
+                       ("d", 5, None), ("end", 3600, 0.0)])
+    assert got == [("a", "OK", 1.0), ("b", "OK", 0.0), ("c", "OK", 1.0), ("d", "OK", None)]
+
+
+def test_correlate_over_several_batches(spark):
+    got = _correlated(spark, [("a", 0), ("b", 0)],
+                      [("a", 2, 1.0), ("b", 4, 2.0), ("x", 8, 0.0), ("a", 15, 3.0), ("x", 40, 0.0), ("x", 90, 0.0), ("end", 3600, 0.0), ("end", 7200, 0.0)], per_batch=True)
+    assert got == [("a", "OK", 1.0), ("b", "OK", 2.0)]
+
+
+def test_read_store_keeps_rows_without_key(spark):
+    root = shared_path(spark, "test_nullkeys", unique=True)
+    rows = [(None, 1.0), (None, 2.0), ("u", 1.0), ("u", 1.0), ("v", 0.0)]
+    spark.createDataFrame(rows, "UUID string, prediction double").write.parquet(root)
+    got = sorted(map(tuple, sc.read_store(spark, root).collect()), key=str)
+    assert got == sorted([(None, 1.0), (None, 2.0), ("u", 1.0), ("v", 0.0)], key=str)
+    assert [tuple(r) for r in sc.read_store(spark, root, key_value="u").collect()] == [("u", 1.0)]
 
 
 def test_console_and_format_writer(spark, setup, capsys):
@@ -195,6 +228,6 @@ def test_correlation_restart_adds_nothing(spark):
         sc.run_to_end(q)
         counts.append(spark.read.parquet(root + "/out").count())
     n = t.table("events").count()
-    assert counts[0] == counts[1] == n + 1  # every request once, plus the end marker
+    assert counts[0] == counts[1] == n  # every request once; the end marker's limit has not passed
     out = spark.read.parquet(root + "/out").where(F.col("UUID") != SENTINEL_UUID)
     assert out.select("UUID").distinct().count() == n
