@@ -1,18 +1,29 @@
-"""spark-submit entry points for the three programs a deployment runs.
-
-    python -m aerolake.jobs rollup  --flights F --out DIR [--files N]
-    python -m aerolake.jobs train   --flights F --model DIR [--trees N --seed S]
-    python -m aerolake.jobs score   --model DIR --source-format kafka
-                                    --source-option kafka.bootstrap.servers=host:9092
-                                    --source-option subscribe=requests
-                                    --sink json=DIR --sink store=DIR
-                                    --sink topic=kafka:kafka.bootstrap.servers=host:9092,topic=responses
-                                    --checkpoint DIR [--fanout | --separate] [--available-now]
+"""spark-submit entry points for the programs a deployment runs.
+
+    python -m aerolake.jobs rollup     --flights F --out DIR [--files N]
+    python -m aerolake.jobs summaries  --flights F --airplanes A --out DIR
+    python -m aerolake.jobs train      --flights F --model DIR [--trees N --seed S]
+    python -m aerolake.jobs regress    --flights F --model DIR [--slots N]
+    python -m aerolake.jobs predict    --tasks DIR --model DIR --results DIR
+    python -m aerolake.jobs results    --results DIR --day 2024-01-15 --out DIR
+    python -m aerolake.jobs score      --model DIR --source-format kafka
+                                       --source-option kafka.bootstrap.servers=host:9092
+                                       --source-option subscribe=requests
+                                       --sink json=DIR --sink store=DIR
+                                       --sink topic=kafka:kafka.bootstrap.servers=host:9092,topic=responses
+                                       --checkpoint DIR [--fanout | --separate] [--available-now]
+                                       [--quarantine DIR]
+    python -m aerolake.jobs correlate  --requests DIR --responses DIR --out DIR --checkpoint DIR
+                                       [--limit-seconds N] [--available-now]
 
 ``rollup`` writes the route-distance table as JSON Lines (the reference's batch
-job); ``train`` fits and stores the classifier pipeline; ``score`` runs the
-scoring stream into the given sinks and blocks until a query ends, re-raising
-its failure. Hosts, topics and paths are arguments only.
+job); ``summaries`` writes the month, carrier, carrier-airplane and manufacturer
+tables that pages read by key; ``train`` and ``regress`` fit and store the models;
+``predict`` scores stored tasks into the result table, a folder for each day, and
+``results`` reads one day of it; ``score`` runs the scoring stream into the given
+sinks and blocks until a query ends, re-raising its failure (``--quarantine`` sets
+malformed messages apart); ``correlate`` matches replies to requests. Hosts, topics
+and paths are arguments only.
 """
 
 from __future__ import annotations
@@ -23,8 +34,11 @@ import sys
 from pyspark.sql import SparkSession
 
 from aerolake.operators import ml, rollups
+from aerolake.operators import requests as rq
+from aerolake import schemas
 from aerolake.session import get_session
 from aerolake.sources.tables import write_jsonl
+from aerolake.streaming import correlate as corr
 from aerolake.streaming import scoring as sc
 from aerolake.streaming.topics import read_topic
 
@@ -42,6 +56,45 @@ def run_train(spark: SparkSession, flights_path: str, model_path: str, trees: in
     return ml.save_model(model, model_path)
 
 
+def run_summaries(spark: SparkSession, flights_path: str, airplanes_path: str, out: str) -> str:
+    """The finished summaries (AGG4, AGG5, AGG7, SRC6), one table each under ``out``."""
+    flights, airplanes = spark.read.parquet(flights_path), spark.read.parquet(airplanes_path)
+    for name, df in {"months": rollups.flights_by_month(flights), "carriers": rollups.carrier_summary(flights),
+                     "carrier_airplanes": rollups.airplanes_per_carrier(flights),
+                     "manufacturers": rollups.manufacturer_totals(airplanes)}.items():
+        df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+    return out
+
+
+def run_regress(spark: SparkSession, flights_path: str, model_path: str, slots: int = 1 << 10) -> str:
+    """Fit the delay-minutes regression and store it (ML4)."""
+    flights = rq.with_date_parts(spark.read.parquet(flights_path))
+    return ml.save_model(ml.train_regressor(flights, num_features=slots), model_path)
+
+
+def run_predict(spark: SparkSession, tasks_path: str, model_path: str, results_path: str) -> str:
+    """Score stored tasks and append them to the result table (ML5)."""
+    tasks = spark.read.schema(schemas.TASK).parquet(tasks_path)
+    return rq.store_results(ml.score(ml.load_model(model_path), tasks), results_path)
+
+
+def run_results(spark: SparkSession, results_path: str, day: str, out: str) -> str:
+    """One day of the result table (FIL5)."""
+    rq.results_for_day(spark.read.parquet(results_path), day).write.mode("overwrite").parquet(out)
+    return out
+
+
+def run_correlate(spark: SparkSession, requests: str, responses: str, out: str, checkpoint: str,
+                  limit_seconds: int = 20, available_now: bool = False):
+    """Match replies to requests (JOIN4): (UUID, rq_ts) and (UUID, rs_ts, prediction)
+    folders in, (UUID, status, prediction) files out."""
+    a = spark.readStream.schema("UUID string, rq_ts timestamp").parquet(requests)
+    b = spark.readStream.schema("UUID string, rs_ts timestamp, prediction double").parquet(responses)
+    w = (corr.correlate(a, b, limit_seconds).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if available_now else w).start(out)
+
+
 def _kv(items: list[str]) -> dict[str, str]:
     out = {}
     for item in items:
@@ -76,13 +129,16 @@ def _sink_writers(specs: list[str]) -> dict[str, sc.BatchWriter]:
 
 def run_score(spark: SparkSession, model_path: str, source_format: str, source_options: dict[str, str],
               source_path: str | None, sinks: list[str], checkpoint: str, fanout: bool = True,
-              available_now: bool = False, console: bool = False) -> list:
+              available_now: bool = False, console: bool = False, quarantine: str | None = None) -> list:
     """Start the scoring stream (STR1) into the sinks; returns the queries."""
     model = ml.load_model(model_path)
-    scored = sc.score_stream(read_topic(spark, source_format, source_path, source_options), model)
+    topic = read_topic(spark, source_format, source_path, source_options)
+    scored = sc.score_stream(topic, model, drop_corrupt=quarantine is not None)
     trigger = {"availableNow": True} if available_now else None
     writers = _sink_writers(sinks)
-    if fanout:
+    if quarantine:
+        queries = [sc.start_scoring_with_quarantine(topic, model, writers, sc.json_writer(quarantine), checkpoint, trigger)]
+    elif fanout:
         queries = [sc.start_fanout(scored, writers, checkpoint, trigger)]
     else:
         queries = sc.start_separate(scored, writers, checkpoint, trigger)
@@ -103,7 +159,31 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--model", required=True)
     t.add_argument("--trees", type=int, default=10)
     t.add_argument("--seed", type=int, default=1)
+    m = sub.add_parser("summaries")
+    m.add_argument("--flights", required=True)
+    m.add_argument("--airplanes", required=True)
+    m.add_argument("--out", required=True)
+    g = sub.add_parser("regress")
+    g.add_argument("--flights", required=True)
+    g.add_argument("--model", required=True)
+    g.add_argument("--slots", type=int, default=1 << 10)
+    b = sub.add_parser("predict")
+    b.add_argument("--tasks", required=True)
+    b.add_argument("--model", required=True)
+    b.add_argument("--results", required=True)
+    d = sub.add_parser("results")
+    d.add_argument("--results", required=True)
+    d.add_argument("--day", required=True)
+    d.add_argument("--out", required=True)
+    c = sub.add_parser("correlate")
+    c.add_argument("--requests", required=True)
+    c.add_argument("--responses", required=True)
+    c.add_argument("--out", required=True)
+    c.add_argument("--checkpoint", required=True)
+    c.add_argument("--limit-seconds", type=int, default=20)
+    c.add_argument("--available-now", action="store_true")
     s = sub.add_parser("score")
+    s.add_argument("--quarantine")
     s.add_argument("--model", required=True)
     s.add_argument("--source-format", default="kafka")
     s.add_argument("--source-option", action="append", default=[])
@@ -122,9 +202,23 @@ def main(argv: list[str] | None = None) -> int:
         run_rollup(spark, a.flights, a.out, a.files)
     elif a.cmd == "train":
         run_train(spark, a.flights, a.model, a.trees, a.seed)
+    elif a.cmd == "summaries":
+        run_summaries(spark, a.flights, a.airplanes, a.out)
+    elif a.cmd == "regress":
+        run_regress(spark, a.flights, a.model, a.slots)
+    elif a.cmd == "predict":
+        run_predict(spark, a.tasks, a.model, a.results)
+    elif a.cmd == "results":
+        run_results(spark, a.results, a.day, a.out)
+    elif a.cmd == "correlate":
+        query = run_correlate(spark, a.requests, a.responses, a.out, a.checkpoint, a.limit_seconds, a.available_now)
+        if a.available_now:
+            sc.run_to_end(query)
+        else:
+            sc.await_any(spark)
     else:
         queries = run_score(spark, a.model, a.source_format, _kv(a.source_option), a.source_path,
-                            a.sink, a.checkpoint, a.fanout, a.available_now, a.console)
+                            a.sink, a.checkpoint, a.fanout, a.available_now, a.console, a.quarantine)
         if a.available_now:
             sc.run_to_end(queries)
         else:

@@ -39,6 +39,17 @@ def airline_profile(airlines: DataFrame, carriers: DataFrame) -> DataFrame:
                     airlines.Name, carriers.n_airplanes, carriers.n_flights)
 
 
+def airline_airplanes(airlines: DataFrame, airplanes: DataFrame) -> DataFrame:
+    """The airplanes of every airline with its name (JOIN2), flat: one row per
+    (airline, airplane) plus the fleet size; an airline without airplanes keeps
+    one row. Airlines are few, airplanes may be many of one airline: the join
+    moves no airplane row when Spark broadcasts the airlines, and AQE splits a
+    large airline otherwise."""
+    j = airplanes.join(airlines, airlines.CarrierCode == airplanes.Carrier, "full_outer")
+    return j.select(F.coalesce(airlines.CarrierCode, airplanes.Carrier).alias("CarrierCode"),
+                    airlines.Name, airplanes.TailNum, airplanes.n_airplanes)
+
+
 def first_reply(responses: DataFrame, key: str = "UUID", time_col: str = "rs_ts",
                 value_col: str = "prediction") -> DataFrame:
     """The earliest reply per key (ties by value). A min over a struct is a

@@ -113,11 +113,25 @@ def rule_results(tasks: DataFrame) -> DataFrame:
     return tasks.withColumn("prediction", delay_class("DepDelay"))
 
 
+RESULT_DAY_COLUMN = "Day"
+
+
+def store_results(results: DataFrame, path: str, ts_col: str = "Timestamp") -> str:
+    """Append batch results to the result table (ML5), a folder for each day of
+    their time stamp, so that a day's results are read without the others."""
+    day = dates.iso_day(F.col(ts_col).cast("string"))
+    results.withColumn(RESULT_DAY_COLUMN, day).write.mode("append").partitionBy(RESULT_DAY_COLUMN).parquet(path)
+    return path
+
+
 def results_for_day(results: DataFrame, iso_date: str, ts_col: str = "Timestamp") -> DataFrame:
     """Results of one day (FIL5, SCA9). A text time stamp is compared as text
     between the day and the next day, as stored results are; a TIMESTAMP
-    column gets the half-open range [day, day + 1)."""
+    column gets the half-open range [day, day + 1). The stored result table is
+    pruned to the folders of these two days."""
     d = F.lit(iso_date)
+    if RESULT_DAY_COLUMN in results.columns:
+        results = results.where(F.col(RESULT_DAY_COLUMN).between(dates.iso_day(d), dates.day_after(d))).drop(RESULT_DAY_COLUMN)
     kind = results.schema[ts_col].dataType.simpleString()
     if kind.startswith("timestamp"):
         start = dates.iso_day(d).cast(kind)

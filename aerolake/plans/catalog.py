@@ -21,7 +21,8 @@ from aerolake.operators import joins, ml, relevance, rollups, search
 from aerolake.operators import requests as rq
 from aerolake.plans.context import ROUTE_MAX_ROWS, Tables
 from aerolake.session import shared_path, spread
-from aerolake.sources.tables import append_table, read_jsonl, write_jsonl
+from aerolake.sources.tables import append_table, read_jsonl, register_views, write_jsonl
+from aerolake.streaming.topics import as_text, publish, topic_records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -47,9 +48,17 @@ AIRPLANE_FIELDS = ["TailNum", "Owner", "OwnerState", "Manufacturer", "Model", "M
 AIRPLANE_SEARCH = {"Owner": "red plate", "OwnerState": "S3"}
 AIRPLANE_TEXT_FIELDS = ["Owner"]
 AIRPLANE_PAGE = (10, 20)
+#: Every text field of an airplane can be matched by its words; the others by their whole value.
+AIRPLANE_TEXT_FIELDS_ALL = ["Owner", "Manufacturer", "Model", "EngineManufacturer", "EngineModel"]
+AIRPLANE_TEXT_SEARCH = {"Model": "economy copper", "Owner": "plate red", "OwnerState": "S3"}
+FLIGHT_TEXT_FIELDS = ["Carrier", "Origin", "Dest", "TailNum", "FlightNum"]
+FLIGHT_TEXT_SEARCH = {"Carrier": "building machinery", "Origin": "nation_3"}
 OWNER_QUERY = "red plate"
 DOCUMENT_QUERY = "the river of"
 KEYSET_SORT = ["FlightDate", "DepTime", "Carrier", "FlightNum", "FlightId"]
+#: The second page starts inside the flights without a departure time.
+KEYSET_AFTER_NULL = {"FlightDate": dt.date(1995, 6, 1), "DepTime": None, "Carrier": "BUILDING",
+                     "FlightNum": "50", "FlightId": "8"}
 KEYSET_AFTER = {"FlightDate": dt.date(1995, 6, 1), "DepTime": "1200", "Carrier": "BUILDING",
                 "FlightNum": "50", "FlightId": "8"}
 KEYSET_SIZE = 50
@@ -105,13 +114,39 @@ def q_airplanes_per_carrier(spark, sf):
 
 @register("all_airlines")
 def q_all_airlines(spark, sf):
-    return rollups.carrier_summary(Tables(spark, sf).flights)
+    """The stored airline list (SRC6)."""
+    return Tables(spark, sf).carriers
 
 
 @register("airline_profile")
 def q_airline_profile(spark, sf):
     t = Tables(spark, sf)
-    return joins.airline_profile(t.airlines, rollups.carrier_summary(t.flights))
+    return joins.airline_profile(t.airlines, t.carriers)
+
+
+@register("airline_airplanes")
+def q_airline_airplanes(spark, sf):
+    t = Tables(spark, sf)
+    return joins.airline_airplanes(t.airlines, t.carrier_airplanes)
+
+
+@register("month_counts_stored")
+def q_month_counts_stored(spark, sf):
+    """The stored month table, read as the month page does."""
+    return Tables(spark, sf).months
+
+
+@register("manufacturer_totals_stored")
+def q_manufacturer_totals_stored(spark, sf):
+    return Tables(spark, sf).manufacturers
+
+
+@register("views_sql")
+def q_views_sql(spark, sf):
+    """Plain SQL over registered tables (SRC2): ordered quantity and parts by ship year."""
+    register_views(spark, sf, ["lineitem"])
+    return spark.sql("SELECT year(l_shipdate) AS ship_year, count(*) AS n_items, count(DISTINCT l_partkey) AS n_parts "
+                     "FROM lineitem GROUP BY year(l_shipdate)")
 
 
 @register("word_count")
@@ -175,6 +210,20 @@ def q_search_airplanes_count(spark, sf):
     return search.search_count(Tables(spark, sf).airplanes, AIRPLANE_SEARCH, AIRPLANE_TEXT_FIELDS)
 
 
+@register("search_airplanes_text")
+def q_search_airplanes_text(spark, sf):
+    """Text match on several fields at once, in any case (FIL4)."""
+    return search.search(Tables(spark, sf).airplanes, AIRPLANE_TEXT_SEARCH, [], tie=["TailNum"],
+                         start=0, size=50, text_fields=AIRPLANE_TEXT_FIELDS_ALL)
+
+
+@register("search_flights_text")
+def q_search_flights_text(spark, sf):
+    """Flights by text match, so that the score orders them (SRT3)."""
+    return search.search(Tables(spark, sf).flights, FLIGHT_TEXT_SEARCH, ["FlightDate"], tie=["FlightId"],
+                         start=0, size=50, text_fields=FLIGHT_TEXT_FIELDS)
+
+
 @register("match_relevance")
 def q_match_relevance(spark, sf):
     return relevance.match_relevance(Tables(spark, sf).airplanes, "Owner", OWNER_QUERY, id_cols=["TailNum"])
@@ -191,6 +240,11 @@ def q_flights_page_keyset(spark, sf):
     return search.keyset_page(Tables(spark, sf).flights, KEYSET_SORT, KEYSET_AFTER, KEYSET_SIZE)
 
 
+@register("flights_page_keyset_null")
+def q_flights_page_keyset_null(spark, sf):
+    return search.keyset_page(Tables(spark, sf).flights, KEYSET_SORT, KEYSET_AFTER_NULL, KEYSET_SIZE)
+
+
 @register("delay_bucket")
 def q_delay_bucket(spark, sf):
     fl = Tables(spark, sf).flights
@@ -236,9 +290,16 @@ def _request_messages(t: Tables) -> DataFrame:
     return rq.request_messages(t.enriched)
 
 
+def _through_topic(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:
+    """Publish messages (key, value) to a topic and read it back as text."""
+    path = shared_path(spark, "topics", name, unique=True)
+    publish(topic_records(messages, "key", "value"), "parquet", path)
+    return as_text(spark.read.schema(schemas.TOPIC).parquet(path)).select("key", "value")
+
+
 @register("make_requests")
 def q_make_requests(spark, sf):
-    msgs = _request_messages(Tables(spark, sf))
+    msgs = _through_topic(spark, _request_messages(Tables(spark, sf)), "requests")
     parsed = msgs.select("key", F.from_json("value", schemas.REQUEST).alias("m"))
     cols = [c for c in rq.REQUEST_MESSAGE_FIELDS]
     return _ts_text(parsed.select("key", *[F.col(f"m.{c}").alias(c) for c in cols]))
@@ -266,7 +327,9 @@ def q_make_tasks(spark, sf):
 
 @register("batch_results_for_day")
 def q_batch_results_for_day(spark, sf):
-    return rq.results_for_day(rq.rule_results(Tables(spark, sf).tasks), RESULT_DAY)
+    """A day of the stored result table."""
+    stored = spark.read.parquet(Tables(spark, sf).results_path())
+    return with_class_flag(rq.results_for_day(stored, RESULT_DAY)).drop(*ml_work_columns(stored))
 
 
 def _rule_scored(t: Tables) -> DataFrame:
@@ -275,7 +338,7 @@ def _rule_scored(t: Tables) -> DataFrame:
 
 @register("response_messages")
 def q_response_messages(spark, sf):
-    msgs = rq.response_messages(_rule_scored(Tables(spark, sf)))
+    msgs = _through_topic(spark, rq.response_messages(_rule_scored(Tables(spark, sf))), "responses")
     return _ts_text(rq.parse_responses(msgs))
 
 
@@ -324,31 +387,61 @@ def _trained(t: Tables):
     return t.classifier()
 
 
+#: A prediction depends on the learned trees, which SQL can't say; that it is one of
+#: the four classes, and equal to another run's, it can.
+CLASSES = (0.0, 1.0, 2.0, 3.0)
+
+
+def with_class_flag(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
+    return scored.withColumn("in_classes", F.col(prediction).isin(*CLASSES)).drop(prediction)
+
+
+def ml_work_columns(df: DataFrame) -> list[str]:
+    return [c for c in ("Route",) if c in df.columns]
+
+
 @register("train_metrics")
 def q_train_metrics(spark, sf):
-    return ml.train_metrics(ml.training_frame(Tables(spark, sf).flights))
+    m = ml.train_metrics(ml.training_frame(Tables(spark, sf).flights))
+    return m.select("n_test", "majority_rate", "num_trees", (F.col("accuracy") > F.col("majority_rate")).alias("beats_majority"))
 
 
 @register("score_batch")
 def q_score_batch(spark, sf):
     t = Tables(spark, sf)
-    return _ts_text(ml.score(_trained(t), t.enriched.drop("event_id", "ts")))
+    return with_class_flag(_ts_text(ml.score(_trained(t), t.enriched.drop("event_id", "ts"))))
+
+
+def same_again(model, scored: DataFrame) -> DataFrame:
+    """Score rows once more and tell whether each prediction is the same."""
+    again = ml.score(model, scored.withColumnRenamed("prediction", "_first"))
+    return again.withColumn("same", F.col("prediction").eqNullSafe(F.col("_first"))).drop("_first")
 
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
+    """Scores of the model and of its saved and reloaded copy, row by row."""
     t = Tables(spark, sf)
-    path = ml.save_model(_trained(t), shared_path(spark, "models", "delay_classifier", unique=True))
-    return _ts_text(ml.score(ml.load_model(path), t.enriched.drop("event_id", "ts")))
+    model = _trained(t)
+    path = ml.save_model(model, shared_path(spark, "models", "delay_classifier", unique=True))
+    scored = ml.score(model, t.enriched.drop("event_id", "ts"))
+    return with_class_flag(_ts_text(same_again(ml.load_model(path), scored)))
 
 
 @register("score_tasks")
 def q_score_tasks(spark, sf):
-    t = Tables(spark, sf)
-    return ml.score(_trained(t), t.tasks)
+    """All rows of the stored result table."""
+    stored = spark.read.parquet(Tables(spark, sf).results_path())
+    return with_class_flag(stored).drop(rq.RESULT_DAY_COLUMN, *ml_work_columns(stored))
 
 
 @register("delay_regression_predict")
 def q_delay_regression_predict(spark, sf):
     t = Tables(spark, sf)
-    return ml.predict_delay(t.regressor(), t.tasks)
+    out = ml.predict_delay(t.regressor(), t.tasks)
+    return out.withColumn("has_delay", F.col("Delay").isNotNull() & ~F.isnan("Delay")).drop("Delay")
+
+
+@register("regression_report")
+def q_regression_report(spark, sf):
+    return ml.regressor_report(rq.with_date_parts(Tables(spark, sf).flights))

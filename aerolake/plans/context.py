@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake.operators import requests as rq, rollups
 from aerolake.sources import fixtures
-from aerolake.sources.materialize import cached_model, materialize
+from aerolake.sources.materialize import cached_model, materialize, materialize_path
 from aerolake.sources.tables import read_table
 
 #: Routes up to which the stored route table (three short columns) is broadcast: some 10 MB.
@@ -75,6 +75,32 @@ class Tables:
         return materialize(self.spark, "route_distance", self.paths(*FLIGHT_INPUTS),
                            lambda: rollups.route_distance(self.flights, ordered=False))
 
+    def _summary(self, name: str, inputs: list[str], build) -> DataFrame:
+        """A finished summary, stored once and read by key afterwards."""
+        return materialize(self.spark, name, self.paths(*inputs), build)
+
+    @cached_property
+    def carriers(self) -> DataFrame:
+        return self._summary("carrier_summary", FLIGHT_INPUTS, lambda: rollups.carrier_summary(self.flights))
+
+    @cached_property
+    def months(self) -> DataFrame:
+        return self._summary("month_counts", FLIGHT_INPUTS, lambda: rollups.flights_by_month(self.flights))
+
+    @cached_property
+    def carrier_airplanes(self) -> DataFrame:
+        return self._summary("carrier_airplanes", FLIGHT_INPUTS, lambda: rollups.airplanes_per_carrier(self.flights))
+
+    @cached_property
+    def manufacturers(self) -> DataFrame:
+        return self._summary("manufacturer_totals", ["part"], lambda: rollups.manufacturer_totals(self.airplanes))
+
+    def results_path(self) -> str:
+        """The result table of batch scoring: the scored tasks, by day."""
+        from aerolake.operators import ml
+        return materialize_path(self.spark, "prediction_results", self.paths("events", *FLIGHT_INPUTS),
+                                lambda: self.tasks, write=lambda to: rq.store_results(ml.score(self.classifier(), self.tasks), to))
+
     @cached_property
     def parsed(self) -> DataFrame:
         return rq.parse_requests(self.requests, keep=["event_id", "ts"])

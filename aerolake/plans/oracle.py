@@ -315,7 +315,7 @@ ORACLE_SQL: dict[str, str] = {
     "request_features": _with("enriched") + f"SELECT {FLAT}, Origin || '-' || Dest AS Route FROM enriched",
     "make_tasks": _with("tasks") + "SELECT * FROM tasks",
     "batch_results_for_day": _with("tasks") + (
-        f"SELECT *, {delay_class_sql('DepDelay')} AS prediction FROM tasks "
+        "SELECT *, true AS in_classes FROM tasks "
         f"WHERE \"Timestamp\" >= {_lit(C.RESULT_DAY)} AND \"Timestamp\" <= "
         f"cast(cast({_lit(C.RESULT_DAY)} AS date) + INTERVAL 1 DAY AS date)::varchar"),
     "response_messages": _with("enriched") + f"SELECT {RESPONSE_COLS} FROM enriched",
@@ -357,3 +357,70 @@ ORACLE_SQL["assemble_features"] = _with("flights") + (
     "rc.i AS f_Carrier_index, ro.i AS f_Origin_index, rd.i AS f_Dest_index, rr.i AS f_Route_index "
     "FROM feat f JOIN r_Carrier rc ON f.Carrier = rc.v JOIN r_Origin ro ON f.Origin = ro.v "
     "JOIN r_Dest rd ON f.Dest = rd.v JOIN r_Route rr ON f.Route = rr.v")
+
+# Model and stream outputs: the request fields, and flags that must hold for every row.
+_FIELDS = ENRICHED_MSG + ", Origin || '-' || Dest AS Route, true AS in_classes"
+ORACLE_SQL["score_batch"] = _with("enriched") + f"SELECT {_FIELDS} FROM enriched"
+ORACLE_SQL["model_roundtrip"] = _with("enriched") + f"SELECT {_FIELDS}, true AS same FROM enriched"
+ORACLE_SQL["score_tasks"] = _with("tasks") + "SELECT *, true AS in_classes FROM tasks"
+ORACLE_SQL["delay_regression_predict"] = _with("tasks") + "SELECT *, true AS has_delay FROM tasks"
+ORACLE_SQL["train_metrics"] = _with("flights") + (
+    f", c AS (SELECT {delay_class_sql('ArrDelay')} AS k, count(*) AS n FROM flights "
+    "WHERE substr(md5(FlightId), 1, 4) < '3333' GROUP BY 1) "
+    "SELECT cast(sum(n) AS bigint) AS n_test, cast(max(n) AS double) / cast(sum(n) AS double) AS majority_rate, "
+    "10 AS num_trees, true AS beats_majority FROM c WHERE k IS NOT NULL")
+ORACLE_SQL["regression_report"] = _with("flights") + (
+    ", v AS (SELECT 'o' AS c, Origin AS v FROM flights UNION SELECT 'd', Dest FROM flights UNION SELECT 'n', FlightNum FROM flights) "
+    "SELECT count(*) AS n, count(*) FILTER (ArrDelay IS NULL) AS n_without_label, "
+    "count(*) FILTER (Origin IS NULL OR Dest IS NULL OR FlightNum IS NULL OR Distance IS NULL OR FlightDate IS NULL) AS n_incomplete, "
+    "(SELECT count(*) FROM v WHERE v IS NOT NULL) AS n_categories, 1024 AS slots FROM flights")
+
+# The scorer reads every message; a malformed one becomes a row of nulls.
+_TYPES = {"DepDelay": "double", "FlightDate": "date", "Distance": "double", "DayOfYear": "int", "DayOfMonth": "int", "DayOfWeek": "int"}
+_NAMES = ["DepDelay", "Carrier", "FlightDate", "Dest", "FlightNum", "Origin", "Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
+_NULLS = ", ".join(f"cast(NULL AS {_TYPES.get(c, 'varchar')}) AS {c}" for c in _NAMES) + ", cast(NULL AS varchar) AS \"Timestamp\", cast(NULL AS varchar) AS UUID"
+_MESSAGES = f"SELECT {ENRICHED_MSG} FROM enriched UNION ALL SELECT {_NULLS} FROM parsed WHERE NOT is_valid"
+for _name in ("stream_score", "stream_sink_json", "stream_sink_store"):
+    ORACLE_SQL[_name] = _with("enriched", "parsed") + (
+        f"SELECT *, Origin || '-' || Dest AS Route, true AS in_classes, true AS same FROM ({_MESSAGES})")
+ORACLE_SQL["stream_fanout"] = _with("enriched", "parsed") + (
+    f"SELECT sink, m.* EXCLUDE (FlightNum), true AS in_classes FROM ({_MESSAGES}) m, "
+    "(SELECT unnest(['store', 'json', 'topic']) AS sink)")
+
+ORACLE_SQL["airline_airplanes"] = _with("flights", "airlines") + (
+    ", pairs AS (SELECT DISTINCT Carrier, TailNum FROM flights), "
+    "fleet AS (SELECT *, count(*) OVER (PARTITION BY Carrier) AS n_airplanes FROM pairs) "
+    "SELECT coalesce(a.CarrierCode, f.Carrier) AS CarrierCode, a.Name, f.TailNum, f.n_airplanes "
+    "FROM fleet f FULL OUTER JOIN airlines a ON a.CarrierCode = f.Carrier")
+ORACLE_SQL["month_counts_stored"] = ORACLE_SQL["flights_by_month"]
+ORACLE_SQL["manufacturer_totals_stored"] = ORACLE_SQL["manufacturer_totals"]
+ORACLE_SQL["views_sql"] = (
+    "SELECT cast(year(l_shipdate) AS int) AS ship_year, count(*) AS n_items, count(DISTINCT l_partkey) AS n_parts "
+    "FROM lineitem GROUP BY 1")
+ORACLE_SQL["flights_page_keyset_null"] = _with("flights") + (
+    f"SELECT {FLIGHT_COLS} FROM flights WHERE {_keyset_where(C.KEYSET_SORT, C.KEYSET_AFTER_NULL)} "
+    f"ORDER BY {', '.join(k + ' NULLS LAST' for k in C.KEYSET_SORT)} LIMIT {C.KEYSET_SIZE}")
+
+
+def _text_search(table: str, criteria: dict, text_fields: list[str], cols: str, order: str, size: int) -> str:
+    """One page of a search that matches words in several fields: scores add up."""
+    ctes, scores, matches, source = [], [], [], table
+    exact = _where({k: v for k, v in criteria.items() if k not in text_fields})
+    for i, field in enumerate(f for f in sorted(text_fields) if criteria.get(f)):
+        cte, score, match = _bm25(table, field, criteria[field])
+        for name in ("bm_tok", "bm_stats"):
+            cte = cte.replace(name, f"{name}{i}")
+        ctes.append(cte)
+        score = score[len("round("):-len(", 6)")]
+        ctes.append(f"bm_hit{i} AS (SELECT {cols.split(',')[0]} AS _id, {score} AS s FROM bm_tok{i}, bm_stats{i} WHERE {match})")
+        scores.append(f"h{i}.s")
+        matches.append(f"JOIN bm_hit{i} h{i} ON h{i}._id = t.{cols.split(',')[0]}")
+    return (_with(table).rstrip("\n") + ",\n" + ",\n".join(ctes)
+            + f"\nSELECT {', '.join('t.' + c.strip() for c in cols.split(','))}, round({' + '.join(scores)}, 6) AS score "
+            f"FROM {source} t {' '.join(matches)} WHERE {exact} ORDER BY {order.format(score=' + '.join(scores))} LIMIT {size}")
+
+
+ORACLE_SQL["search_airplanes_text"] = _text_search(
+    "airplanes", C.AIRPLANE_TEXT_SEARCH, C.AIRPLANE_TEXT_FIELDS_ALL, AIRPLANE_COLS, "{score} DESC, t.TailNum", 50)
+ORACLE_SQL["search_flights_text"] = _text_search(
+    "flights", C.FLIGHT_TEXT_SEARCH, C.FLIGHT_TEXT_FIELDS, FLIGHT_COLS, "t.FlightDate NULLS LAST, {score} DESC, t.FlightId", 50)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from aerolake import schemas
 from aerolake.operators import requests as rq
 from aerolake.functions.labels import delay_class
-from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text, register
+from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text, register, same_again, with_class_flag
 from aerolake.plans.context import FLIGHT_INPUTS, Tables
 from aerolake.sources.materialize import materialize_path
 from aerolake.session import shared_path, state_partitions
@@ -34,11 +34,15 @@ def _request_topic(spark: SparkSession, t: Tables) -> str:
 
 
 def _message_topic(spark: SparkSession, t: Tables) -> str:
-    """The enriched request messages (what the scorer consumes)."""
+    """What the scorer consumes: enriched messages of the well-formed requests,
+    and the malformed ones as their senders wrote them."""
     def build():
-        recs = rq.request_messages(t.enriched, keep=["Timestamp"])
-        return topic_records(recs, "key", "value", "Timestamp")
-    return materialize_path(spark, "topic_request_messages", t.paths(*REQUEST_INPUTS, *FLIGHT_INPUTS), build)
+        good = rq.request_messages(t.enriched, keep=["Timestamp"])
+        bad = t.parsed.where(F.col(f"flight.{schemas.CORRUPT_COLUMN}").isNotNull()).select(
+            F.md5(F.col("event_id").cast("string")).alias("key"), F.col(f"flight.{schemas.CORRUPT_COLUMN}").alias("value"),
+            F.col("ts").cast("timestamp").alias("Timestamp"))
+        return topic_records(good.unionByName(bad), "key", "value", "Timestamp")
+    return materialize_path(spark, "topic_all_messages", t.paths(*REQUEST_INPUTS, *FLIGHT_INPUTS), build)
 
 
 def _run_to_parquet(spark: SparkSession, df: DataFrame, name: str, partitions: int | None = None) -> str:
@@ -73,42 +77,55 @@ def _scored_stream(spark: SparkSession, sf: str):
     t = Tables(spark, sf)
     model = t.classifier()
     topic = read_topic(spark, "parquet", _message_topic(spark, t))
-    return sc.score_stream(topic, model)
+    return sc.score_stream(topic, model), model
+
+
+def _checked(model, rows: DataFrame) -> DataFrame:
+    """Stream output with flags: its prediction is a class, and the batch score of the
+    same row is the same."""
+    return with_class_flag(_ts_text(same_again(model, rows)))
 
 
 @register("stream_score")
 def q_stream_score(spark, sf):
-    scored = _scored_stream(spark, sf)
-    return _ts_text(spark.read.parquet(_run_to_parquet(spark, scored, "stream_score")))
+    scored, model = _scored_stream(spark, sf)
+    return _checked(model, spark.read.schema(scored.schema).parquet(_run_to_parquet(spark, scored, "stream_score")))
 
 
 @register("stream_sink_json")
 def q_stream_sink_json(spark, sf):
-    scored = _scored_stream(spark, sf)
+    scored, model = _scored_stream(spark, sf)
     root = shared_path(spark, "streams", "json_sink", unique=True)
     q = sc.start_json_sink(scored, f"{root}/out", f"{root}/_checkpoint", AVAILABLE_NOW)
     sc.run_to_end(q)
-    return _ts_text(spark.read.schema(scored.schema).json(f"{root}/out"))
+    return _checked(model, spark.read.schema(scored.schema).json(f"{root}/out"))
 
 
 @register("stream_sink_store")
 def q_stream_sink_store(spark, sf):
-    scored = _scored_stream(spark, sf)
+    scored, model = _scored_stream(spark, sf)
     root = shared_path(spark, "streams", "store_sink", unique=True)
     q = sc.start_store_sink(scored, f"{root}/out", f"{root}/_checkpoint", AVAILABLE_NOW)
     sc.run_to_end(q)
-    return _ts_text(sc.read_store(spark, f"{root}/out").drop("batch_id"))
+    return _checked(model, sc.read_store(spark, f"{root}/out").drop("batch_id"))
 
 
 @register("stream_fanout")
 def q_stream_fanout(spark, sf):
-    scored = _scored_stream(spark, sf)
+    """The rows of all sinks of one query, each with its sink's name."""
+    scored, _ = _scored_stream(spark, sf)
     root = shared_path(spark, "streams", "fanout", unique=True)
     writers = {"store": sc.store_writer(f"{root}/store"), "json": sc.json_writer(f"{root}/json"),
                "topic": sc.topic_writer("parquet", f"{root}/topic")}
     q = sc.start_fanout(scored, writers, f"{root}/_checkpoint", AVAILABLE_NOW)
     sc.run_to_end(q)
-    return _ts_text(sc.read_store(spark, f"{root}/store").drop("batch_id"))
+    sinks = {"store": sc.read_store(spark, f"{root}/store"), "json": spark.read.schema(scored.schema).json(f"{root}/json"),
+             "topic": rq.parse_responses(spark.read.parquet(f"{root}/topic").select("key", "value"))}
+    out = None
+    for name, rows in sinks.items():
+        own = rows.select(F.lit(name).alias("sink"), *schemas.RESPONSE_FIELDS)
+        out = own if out is None else out.unionByName(own)
+    return with_class_flag(_ts_text(out))
 
 
 def correlation_inputs(spark: SparkSession, t: Tables) -> tuple[str, str]:

@@ -34,14 +34,20 @@ def _artifact(spark: SparkSession, kind: str, name: str, inputs: list[str]) -> s
     return shared_path(spark, kind, f"{name}-v{ARTIFACT_VERSION}-{fingerprint(spark, inputs)}")
 
 
+def _store(spark: SparkSession, path: str):
+    """(path, its file system), as Spark resolves them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Hash of the paths, sizes and modification times of all files under ``paths``.
     Single files are asked for by their status; folders are listed by Spark (one
     small aggregation, file contents unread)."""
     texts, folders = [], []
     for path in paths:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        status = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+        p, store = _store(spark, path)
+        status = store.getFileStatus(p)
         if status.isDirectory():
             folders.append(path)
         else:
@@ -56,10 +62,10 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
 
 def _published(spark: SparkSession, path: str) -> str | None:
     """The build that the pointer names, if one is complete."""
-    try:
-        names = [r["value"] for r in spark.read.text(f"{path}/current").collect()]
-    except AnalysisException:
+    success, store = _store(spark, f"{path}/current/_SUCCESS")
+    if not store.exists(success):
         return None
+    names = [r["value"] for r in spark.read.text(f"{path}/current").collect()]
     return f"{path}/{min(names)}" if names else None
 
 
@@ -119,11 +125,12 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], build: Callab
     return spark.read.parquet(_build(spark, path, write))
 
 
-def materialize_path(spark: SparkSession, name: str, inputs: list[str],
-                     build: Callable[[], DataFrame]) -> str:
-    """Like ``materialize`` but returns the folder (for a streaming reader)."""
+def materialize_path(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
+                     write: Callable[[str], object] | None = None) -> str:
+    """Like ``materialize`` but returns the folder (for a streaming reader).
+    ``write`` writes the folder itself, for tables with a layout of their own."""
     path = _artifact(spark, "tables", name, inputs)
-    return _build(spark, path, lambda to: build().write.parquet(to))
+    return _build(spark, path, write or (lambda to: build().write.parquet(to)))
 
 
 def cached_model(spark: SparkSession, name: str, inputs: list[str], train: Callable[[], object]):

@@ -59,3 +59,21 @@ def test_enrich_distance_broadcasts_bounded_routes(spark):
 def test_nation_joins_broadcast(spark):
     p = plan(Tables(spark, SF_SMALL).flights_view)
     assert "BroadcastExchange" in p
+
+
+def test_request_queries_read_the_stored_routes(spark):
+    """No flight is read to enrich requests, the stored route table is broadcast after
+    its row check even where Spark wouldn't by itself, and a message is parsed once."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("enrich_distance", "request_flatten"):
+            p = plan(E.queries()[name](spark, SF_SMALL))
+            assert "lineitem" not in p and "tables/flights" not in p
+            assert "tables/route_distance" in p and "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+        p = plan(E.queries()["enrich_distance"](spark, SF_SMALL))
+        assert p.count("from_json(") == p.count("from_json(StructField(Origin") >= 1
+        tree = p.split("\n\n\n")[0]
+        assert "Generate" in tree
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
