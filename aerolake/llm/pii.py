@@ -225,7 +225,8 @@ class Classifier:
 
 def vote_counts(spans: DataFrame) -> list[tuple]:
     """(kind, votes, shape, number) over all proposed spans: at most 4 * 81 * 4 rows."""
-    rows = spans.select(F.explode("_spans").alias("s")).groupBy("s.kind", *[f"s.{v}" for v in VOTES], "s.shape").agg(F.count("*").alias("n")).collect()
+    # explode_outer: explode would first filter on the array's size, and search every text again for it.
+    rows = spans.select(F.explode_outer("_spans").alias("s")).where("s IS NOT NULL").groupBy("s.kind", *[f"s.{v}" for v in VOTES], "s.shape").agg(F.count("*").alias("n")).collect()
     return sorted(((r["kind"], tuple(r[v] for v in VOTES), r["shape"], r["n"]) for r in rows))
 
 
