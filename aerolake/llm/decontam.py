@@ -164,3 +164,19 @@ def remove(docs: DataFrame, items: DataFrame, threshold_percent: int = THRESHOLD
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
+
+
+#: The same rows in DuckDB SQL: shingles joined on their words.
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item_no, item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT row_no, doc_id, s FROM (SELECT row_no, doc_id, unnest(list_transform(
+        range(1, greatest(len(w) - 3, 2)), lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM d WHERE len(w) > 0)),
+its AS (SELECT DISTINCT item_no, item_id, s FROM (SELECT item_no, item_id, unnest(list_transform(
+        range(1, greatest(len(w) - 3, 2)), lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM i WHERE len(w) > 0)),
+n AS (SELECT item_no, count(*) AS n_shingles FROM its GROUP BY item_no),
+hit AS (SELECT row_no, doc_id, item_no, item_id, count(*) AS n_found FROM ds JOIN its USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_shingles, n_found FROM hit JOIN n USING (item_no) WHERE 100 * n_found >= 80 * n_shingles
+"""

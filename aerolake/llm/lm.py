@@ -136,9 +136,9 @@ class _Chunk:
 
 
 def _pack_ids(ids: np.ndarray) -> bytes:
-    """Sorted hashes as differences of 6 bytes where they fit, else 8."""
+    """Sorted hashes as differences, of as many bytes as the largest needs."""
     steps = np.diff(ids, prepend=np.uint64(0))
-    width = 6 if len(ids) and int(steps[1:].max(initial=np.uint64(0))) < 1 << 48 else 8
+    width = max(1, (int(steps[1:].max(initial=np.uint64(0))).bit_length() + 7) // 8)
     head = np.array([len(ids), width, ids[0] if len(ids) else 0], "<u8").tobytes()
     return head + steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
@@ -153,6 +153,21 @@ def _unpack_ids(data: bytes) -> tuple[np.ndarray, int]:
     return np.cumsum(steps, dtype=np.uint64)[:n], used
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count; the few of 255 or more follow with their places."""
+    large = np.flatnonzero(counts >= 255)
+    head = np.array([len(counts), len(large)], "<u4").tobytes()
+    return head + np.minimum(counts, 255).astype(np.uint8).tobytes() + large.astype("<u4").tobytes() + counts[large].astype("<u8").tobytes()
+
+
+def _unpack_counts(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
+    n, n_large = (int(x) for x in np.frombuffer(data, "<u4", 2, at))
+    out = np.frombuffer(data, np.uint8, n, at + 8).astype(np.int64)
+    at += 8 + n
+    out[np.frombuffer(data, "<u4", n_large, at)] = np.frombuffer(data, "<u8", n_large, at + 4 * n_large)
+    return out, at + 12 * n_large
+
+
 REQUESTS = "kind int, shard int, chunk long, role int, payload binary"
 REPLIES = "chunk long, kind int, shard int, payload binary"
 
@@ -170,7 +185,7 @@ def _requests(blocks: DataFrame, shards: int) -> DataFrame:
                     edges = np.searchsorted(shard, np.arange(shards + 1))
                     for s in np.flatnonzero(np.diff(edges)):
                         a, b = edges[s], edges[s + 1]
-                        out.append((kind, int(s), row["chunk"], row["role"], _pack_ids(ids[a:b]) + counts[a:b].astype("<u4").tobytes()))
+                        out.append((kind, int(s), row["chunk"], row["role"], _pack_ids(ids[a:b]) + _pack_counts(counts[a:b])))
                 kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["kind", "shard", "chunk", "role", "payload"])
 
@@ -179,11 +194,11 @@ def _requests(blocks: DataFrame, shards: int) -> DataFrame:
 
 def _answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Add up a shard. Answers hold, in the order asked, each entry's count in all training
-    documents and in the kept ones. The unigram shards also tell N, V and the kept N."""
+    documents and, for deleted chunks, in the kept ones. The unigram shards also tell N, V and the kept N."""
     got = [(_unpack_ids(p), p) for p in rows["payload"]]
     sizes = [len(ids) for (ids, _), _ in got]
     every = np.concatenate([ids for (ids, _), _ in got])
-    counts = np.concatenate([np.frombuffer(p, "<u4", len(ids), used) for (ids, used), p in got]).astype(np.int64)
+    counts = np.concatenate([_unpack_counts(p, used)[0] for (_, used), p in got])
     role = np.repeat(rows["role"].to_numpy(), sizes)
     order = np.argsort(every, kind="stable")
     fresh = np.concatenate([[True], every[order][1:] != every[order][:-1]])
@@ -193,9 +208,9 @@ def _answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     counts = counts[order]
     kept = np.add.reduceat(np.where(role[order] == KEPT_ROLE, counts, 0), first)
     train = np.add.reduceat(np.where(role[order] != TEST_ROLE, counts, 0), first)
-    out = np.stack([train[where], kept[where]]).astype("<u4")
     at = np.concatenate([[0], np.cumsum(sizes)])
-    payload = [np.ascontiguousarray(out[:, a:b]).tobytes() for a, b in zip(at, at[1:])]
+    payload = [_pack_counts(train[where[a:b]]) + (_pack_counts(kept[where[a:b]]) if r == DELETED_ROLE else b"")
+               for a, b, r in zip(at, at[1:], rows["role"])]
     chunk = rows["chunk"].tolist()
     if key[0] == 1:
         words = every[order][first] != START
@@ -204,10 +219,13 @@ def _answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": chunk, "kind": key[0], "shard": key[1], "payload": payload})
 
 
-def _counts(replies: pd.DataFrame, kind: int, n: int) -> np.ndarray:
-    """(train, kept) counts of a chunk's n entries of a kind, by sorted hash."""
-    own = replies[replies["kind"] == kind].sort_values("shard")
-    return np.concatenate([np.zeros((2, 0), np.int64)] + [np.frombuffer(p, "<u4").reshape(2, -1).astype(np.int64) for p in own["payload"]], axis=1)
+def _counts(replies: pd.DataFrame, kind: int, which: int) -> np.ndarray:
+    """A chunk's counts of a kind, by sorted hash: in the training (0) or the kept documents (1)."""
+    out = [np.zeros(0, np.int64)]
+    for p in replies[replies["kind"] == kind].sort_values("shard")["payload"]:
+        found, at = _unpack_counts(p)
+        out.append(_unpack_counts(p, at)[0] if which else found)
+    return np.concatenate(out)
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -221,9 +239,9 @@ def _looked_up(block: pd.DataFrame, replies: pd.DataFrame, which: int):
     c = _Chunk(r["n_words"], r["words"], r["tokens"])
     _, order = c.unigrams()
     uni = np.empty(len(c.hashes), np.int64)
-    uni[order] = _counts(replies, 1, len(order))[which]
+    uni[order] = _counts(replies, 1, which)
     _, where = np.unique(c.pairs(), return_inverse=True)
-    pair = _counts(replies, 2, 0)[which][where]
+    pair = _counts(replies, 2, which)[where]
     return c, uni[c.token], uni[c.before], pair
 
 

@@ -66,5 +66,6 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_benchmark_decontamination": decontam.SQL,
     "op3_quality_rules": quality.SQL,
 }

@@ -106,3 +106,12 @@ def test_em_finds_the_mixture():
     w = lm.em(cells, 999)[4]
     assert np.allclose(w, [0.6, 0.3, 0.1], atol=0.02)
     assert np.allclose(lm.em(cells, 999).sum(1), 1)
+
+
+def test_packed_counts_round_trip():
+    rng = np.random.default_rng(9)
+    for counts in (np.zeros(0, np.int64), np.array([0, 1, 254, 255, 256, 2**40]), rng.integers(0, 300, 5000)):
+        data = b"xy" + lm._pack_counts(counts) + lm._pack_counts(counts[::-1])
+        back, at = lm._unpack_counts(data, 2)
+        again, end = lm._unpack_counts(data, at)
+        assert (back == counts).all() and (again == counts[::-1]).all() and end == len(data)
