@@ -1,6 +1,6 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
-Patterns propose spans (four strict kinds, and looser forms of e-mail and phone). Four
+Patterns propose spans (four strict kinds, and looser forms of e-mail, card and phone). Four
 labelers vote on each: the strict pattern, a gazetteer (top-level domains, address ranges,
 card issuers, country codes), the words around it, and its edges. Expectation-maximisation
 over the counts of vote patterns estimates each labeler's reliability for each kind; the
@@ -42,6 +42,7 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Looser forms, proposed to the classifier.
 _EMAIL_SPELLED = rf"(?i)(?:\G|(?<!{_LOCAL})){_LOCAL}++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]++)++"
+_CARD_ALONE = r"(?<![0-9])(?:(?:[0-9]{4}[\x20-]){3}[0-9]{4}|[0-9]{13,19})(?![0-9])"
 _PHONE_LOCAL = r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9A-Za-z-])"
 
 #: (family, kind, pattern, what a text must hold to be searched, whether it is strict)
@@ -50,6 +51,7 @@ FAMILIES = (
     ("ip", 1, _IP, r"[0-9]\.[0-9]", True),
     ("card", 2, _CARD, r"[0-9](?:[\x20-]?[0-9]){12}", True),
     ("phone", 3, _PHONE, r"\+[0-9]", True),
+    ("card2", 2, _CARD_ALONE, r"[0-9](?:[\x20-]?[0-9]){12}", False),
     ("email2", 0, _EMAIL_SPELLED, r"(?i)[\[(]at[\])]", False),
     ("phone2", 3, _PHONE_LOCAL, r"[0-9]{3}[-. ][0-9]{4}", False),
 )
@@ -132,7 +134,8 @@ def _span(family: tuple, x: Column, start: Column) -> Column:
     edge = left.rlike(r"[\p{L}\p{N}_@/=-]$") | right.rlike(r"^(?:[\p{L}\p{N}_@/-]|[.][0-9])")
     return F.struct(
         F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"), (F.lit(strict) & holds).alias("base"),
-        _vote(F.lit(strict) & holds, F.lit(strict) & ~holds).alias("pattern"),
+        # The looser e-mail and phone patterns say nothing; a card number stands alone or not, but has its check digit.
+        (_vote(holds, ~holds) if strict or kind == 2 else F.lit(0)).alias("pattern"),
         _vote(gazetteer, ~gazetteer).alias("gazetteer"),
         _vote(left.rlike(CUES[kind]), left.rlike(AGAINST)).alias("context"),
         _vote(~edge, edge).alias("edges"),
@@ -220,7 +223,9 @@ class Classifier:
         return 1 / (1 + F.exp(-total))
 
     def accepts(self, span: Column) -> Column:
-        return span["base"] | (self.score(span) >= 0.5)
+        """Base spans, and what the classifier takes of the others. What fails its strict
+        condition stays out: the classifier adds forms that the patterns miss."""
+        return span["base"] | ((span["pattern"] != 2) & (self.score(span) >= 0.5))
 
 
 def vote_counts(spans: DataFrame) -> list[tuple]:

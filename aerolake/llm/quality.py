@@ -26,6 +26,7 @@ from . import common
 
 #: Rows of the sample that orders the rules (it decides nothing else).
 SAMPLE_ROWS = 400
+SAMPLE_CHARS = 20_000
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -185,7 +186,7 @@ def judge(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataF
     kept and rejected_by (null if kept; ``base``, or the first rule that rejected)."""
     docs = common.id_text(docs)
     # Any rows do for the order of the rules; limit() reads as many files as it needs.
-    sample = [(r["text"] or "").encode() for r in docs.select("text").limit(sample_rows).collect()]
+    sample = [(r["text"] or "").encode() for r in docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(sample_rows).collect()]
     ordered = [rule for rule, _, _ in order_rules(sample, rules)]
 
     def run(batches):

@@ -35,28 +35,31 @@ BLOCK = 1 << 20
 PER_TASK = 400_000
 
 
-def fingerprint_of(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
-    """uint64 fingerprint of each text."""
-    out = np.zeros(len(texts), np.uint64)
+def _bits(hashes: list[int]) -> np.ndarray:
+    return np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+
+
+def fingerprint_of(texts: list[bytes], shingle: int = SHINGLE, block: int = 1 << 17) -> np.ndarray:
+    """uint64 fingerprint of each text. Short texts are summed together; a text of more
+    than ``block`` shingles by itself, a block at a time."""
+    ones, n = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
     digest = xxhash.xxh64_intdigest
     hashes, where, counts = [], [], []
     for i, t in enumerate(texts):
         words = t.lower().split()
-        n = len(words)
-        if not n:
+        if not words:
             continue
-        own = [b" ".join(words[k:k + shingle]) for k in range(max(1, n - shingle + 1))]
-        hashes.extend([digest(s, SEED) for s in own])
-        where.append(i)
-        counts.append(len(own))
+        n[i] = max(1, len(words) - shingle + 1)
+        if n[i] <= block:
+            hashes.extend([digest(b" ".join(words[k:k + shingle]), SEED) for k in range(n[i])])
+            where.append(i)
+            counts.append(n[i])
+        else:
+            for at in range(0, n[i], block):
+                ones[i] += _bits([digest(b" ".join(words[k:k + shingle]), SEED) for k in range(at, min(at + block, n[i]))]).sum(0, dtype=np.int64)
     if where:
-        n = np.array(counts, np.int64)
-        at = np.cumsum(n) - n
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        # Sums of 0/1 bytes over each text's rows; int32 holds any text's number of shingles.
-        ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-        out[where] = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
-    return out
+        ones[where] = np.add.reduceat(_bits(hashes), np.cumsum(counts) - counts, axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -75,6 +75,13 @@ def test_method_adds_spans_and_keeps_the_base(spark):
     assert spans is not None
 
 
+def test_a_card_behind_a_phone_number_is_added(spark):
+    texts = ["call +1 (417) 555-1301 4242424242424242 now", "or 4242424242424242 here", "not 4242424242424241 this"] + [f"pay 4242424242424242 in part {i}" for i in range(20)]
+    got = {r["doc_id"]: r["spans"] for r in pii.detect(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert brute(texts[0]) == [] and "card:23:39" in got[0].split(",")
+    assert got[1] == "card:3:19" and got[2] == ""
+
+
 def test_reliabilities_are_learned():
     # For e-mail, the pattern and the gazetteer agree on two clear groups; context is noise.
     counts = [(0, (1, 1, c, 1), 1, 100) for c in (0, 1, 2)] + [(0, (2, 2, c, 2), 1, 100) for c in (0, 1, 2)]

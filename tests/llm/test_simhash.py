@@ -73,6 +73,12 @@ def test_near_duplicates(which, request):
     assert sorted(got, key=str) == brute(docs.collect())
 
 
+def test_long_texts_are_summed_in_blocks():
+    texts = [" ".join(f"w{i * 7 % 311}" for i in range(n)) for n in (0, 1, 3, 5, 40, 1000)]
+    got = simhash.fingerprint_of([t.encode() for t in texts], block=16)
+    assert [int(x) for x in got] == [brute_fp(t) for t in texts]
+
+
 def test_large_group_of_near_copies(spark):
     base = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(base[:i % 390] + [f"v{i}"] + base[i % 390 + 1:])) for i in range(700)] + [(1000 + i, "same words here") for i in range(300)]
