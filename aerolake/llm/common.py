@@ -140,7 +140,7 @@ class Encoder:
     (``spaces=True``, byte-level vocabularies keep the space in it), and white space
     only separates pre-tokens where the vocabulary drops it (``spaces=False``). So the
     ids of a text are those of its fragments in a row. Beyond ``max_entries`` the memory
-    forgets the fragments met only once: it saves time and never changes a result.
+    forgets all but the most used half: it saves time and never changes a result.
     """
 
     def __init__(self, path: str, spaces: bool, max_entries: int = 500_000):
@@ -162,8 +162,8 @@ class Encoder:
 
     def _forget(self):
         kept = np.flatnonzero(self.uses > 1)
-        if len(kept) > self.max_entries // 2:
-            return self._clear()
+        if len(kept) > self.max_entries // 2:  # the most used half
+            kept = np.sort(kept[np.argpartition(-self.uses[kept], self.max_entries // 2)[:self.max_entries // 2]])
         names = list(self.codes)
         codes = _Codes()
         codes.update((names[c], i) for i, c in enumerate(kept.tolist()))

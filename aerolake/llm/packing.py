@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
     def run(batches):
         enc = common.encoder(path, spaces=True)
         for batch in batches:
-            for part, texts in common.slices(batch):
+            for part, texts in common.slices(batch, limit=4 << 20):
                 ids, lens = enc.encode(texts)
                 out = {k: [] for k in ("row", "piece", "start", "length", "crc", "ids")}
                 at = 0

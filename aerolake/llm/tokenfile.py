@@ -51,18 +51,20 @@ def _frequent_pairs(seq: np.ndarray, last: np.ndarray, limit: int):
     whichever is the more frequent, is taken if it reaches that count by itself."""
     left, right = seq[:-1], seq[1:]
     cell = ((left * np.uint32(2654435761) ^ right * np.uint32(2246822519)) >> np.uint32(32 - _HASH_BITS)).astype(np.int64)
-    weight = np.bincount(cell, minlength=1 << _HASH_BITS).astype(np.int32)
-    least = max(MIN_COUNT, int(np.partition(weight, -limit)[-limit]))
+    weight = np.bincount(cell, minlength=1 << _HASH_BITS)
+    cells_with = np.cumsum(np.bincount(np.minimum(weight, 1 << 16))[::-1])  # cells of each weight or more, from the top
+    least = max(MIN_COUNT, len(cells_with) - 1 - int(np.searchsorted(cells_with, limit)))
     heavy = np.flatnonzero(weight >= least)
     dense = np.full(1 << _HASH_BITS, -1, np.int32)
     dense[heavy] = np.arange(len(heavy))
     slot = dense[cell]
     places = np.flatnonzero((slot >= 0) & ~last[:-1])
     slot = slot[places]
-    key = left[places].astype(np.uint64) << np.uint64(32) | right[places]
-    best, count = np.zeros(len(heavy), np.uint64), np.zeros(len(heavy), np.int64)
+    half = np.uint32(16) if int(seq.max()) < 1 << 16 else np.uint64(32)  # both symbols in one number
+    key = left[places].astype(half.dtype) << half | right[places]
+    best, count = np.zeros(len(heavy), key.dtype), np.zeros(len(heavy), np.int64)
     for step in (1, -1):
-        chosen = np.zeros(len(heavy), np.uint64)
+        chosen = np.zeros(len(heavy), key.dtype)
         chosen[slot[::step]] = key[::step]
         n = np.bincount(slot[key == chosen[slot]], minlength=len(heavy))
         best, count = np.where(n > count, chosen, best), np.maximum(n, count)
@@ -72,7 +74,7 @@ def _frequent_pairs(seq: np.ndarray, last: np.ndarray, limit: int):
     rank[taken] = np.arange(len(taken))
     symbol = rank[slot]
     hit = (symbol >= 0) & (key == best[slot])
-    pairs = np.stack([best[taken] >> np.uint64(32), best[taken] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    pairs = np.stack([best[taken] >> half, best[taken] & ((half.dtype.type(1) << half) - half.dtype.type(1))], 1).astype(np.uint32)
     return pairs, places[hit], symbol[hit]
 
 
@@ -92,9 +94,11 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, rounds:
         if not len(pairs):
             break
         # Neighbouring hits overlap: of each run of them every second one is replaced.
-        fresh = np.concatenate([[True], np.diff(places) != 1])
-        start = np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))
-        even = (np.arange(len(places)) - start) % 2 == 0
+        number = np.arange(len(places), dtype=np.int32)
+        start = number.copy()
+        start[1:][np.diff(places) == 1] = 0
+        np.maximum.accumulate(start, out=start)
+        even = (number - start) & 1 == 0
         places, symbol = places[even], symbol[even]
         seq[places] = (base + len(rules) + symbol).astype(np.uint32)
         last[places] = last[places + 1]
@@ -204,7 +208,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, vocabulary: str | No
                                               names=["shard", "file", "n_docs", "n_tokens", "payload"])
 
         for batch in batches:
-            for part, texts in common.slices(batch):
+            for part, texts in common.slices(batch, limit=4 << 20):
                 ids, lens = enc.encode(texts)
                 with_end = np.full(len(ids) + len(lens), end_id, np.uint32)
                 is_end = np.zeros(len(with_end), bool)
