@@ -174,8 +174,9 @@ def regressor_report(train: DataFrame, label: str = "ArrDelay", num_features: in
     rows = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).isNull().cast("long")).alias("n_without_label"),
                      F.sum(missing.cast("long")).alias("n_incomplete"))
     values = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in REGRESSION_CATEGORICAL])).alias("x"))
-    distinct = values.select("x.c", "x.v").where("v IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias("n_categories"))
-    return rows.join(distinct, F.lit(True)).withColumn("slots", F.lit(num_features))
+    categories = values.select("x.c", "x.v").where("v IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias("n_categories"))
+    both = rows.unionByName(categories, allowMissingColumns=True)  # two rows, put side by side
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("slots", F.lit(num_features))
 
 
 def predict_delay(model: PipelineModel, df: DataFrame) -> DataFrame:
