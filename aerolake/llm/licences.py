@@ -169,9 +169,12 @@ def fit(texts: list[str], seed: int = 5) -> Model:
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
-    """Fit with ``sample_rows`` rows (those with the least hash of their id) as background."""
-    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("h"), F.substring(F.col("text").cast("string"), 1, chars).alias("text")).filter("text IS NOT NULL")
-    return fit([r["text"] for r in rows.orderBy("h", "text").limit(sample_rows).collect()])
+    """Fit with about ``sample_rows`` rows as background: each row's hash decides, by a
+    threshold that the number of rows sets, so that what the driver gets doesn't grow."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    share = min(1.0, sample_rows / max(1, rows.count()))
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) <= int(share * (1 << 30))
+    return fit(sorted(r["text"] for r in rows.filter(drawn).select(F.substring("text", 1, chars).alias("text")).collect()))
 
 
 _WORDS = {w: i for i, w in enumerate(sorted({w for own in _PAIRS.values() for t in own for p in t for w in p}))}

@@ -5,10 +5,10 @@ import pytest
 import corpus_pipeline
 from aerolake.llm import common, decontam, langid, packing, simhash
 
-from test_decontam import brute as leaks
-from test_packing import brute_pieces, check_layout, none_low
-from test_pii import brute as base_spans
-from test_simhash import brute as brute_simhash
+from .test_decontam import brute as leaks
+from .test_packing import brute_pieces, check_layout, none_low
+from .test_pii import brute as base_spans
+from .test_simhash import brute as brute_simhash
 
 SF = "/root/testdata/sf0.001"
 
