@@ -22,12 +22,25 @@ from aerolake.session import shared_path
 SLICE_BYTES = 2 << 20
 
 
+def find_library(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver did. That place is the
+    workers' own in local mode and on shared installs; other clusters get the library by
+    ``--py-files``, as any PySpark package, and skip a path that they don't have."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, here])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    find_library(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def id_text(docs: DataFrame) -> DataFrame:
     """Only doc_id and text, typed, so that other columns of any name can't clash."""
+    find_library(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

@@ -153,6 +153,7 @@ def find(docs: DataFrame, items: DataFrame, threshold_percent: int = THRESHOLD_P
 
 def remove(docs: DataFrame, items: DataFrame, threshold_percent: int = THRESHOLD_PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs that hold no item."""
+    common.find_library(docs.sparkSession)
     for block in blocks(items, threshold_percent, block_bytes):
         shipped = docs.sparkSession.sparkContext.broadcast(block)
 

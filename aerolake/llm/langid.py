@@ -274,6 +274,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, chars: int = SAMPLE_
 
 
 def _labelled(docs: DataFrame, model: Model | None, keep_rows: bool, min_score: float = 0.0) -> DataFrame:
+    common.find_library(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
 

@@ -163,6 +163,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, per_task: int = PER_TASK) ->
     by their value. Which pairs meet depends on the segment's value alone.
     """
     spark = fps.sparkSession
+    common.find_library(spark)
     count = fps.count()
     segments = _segments(max_bits)
     rows = fps.select("fp", F.explode(F.array(*[

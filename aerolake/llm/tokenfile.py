@@ -229,6 +229,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, vocabulary: str | No
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files."""
+    common.find_library(spark)
     files = spark.read.schema(FILES).parquet(path)
 
     def run(batches):
