@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from aerolake.llm import common, decontam, langid, packing, pii, simhash
 
-#: A document goes if its language is ``und`` or less sure than this.
-MIN_LANGUAGE_SCORE = 0.5
+#: A document goes if its language is ``und`` or less sure than this (the least possible
+#: score of four languages is 0.25): short but clean texts stay.
+MIN_LANGUAGE_SCORE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

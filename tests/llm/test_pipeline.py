@@ -26,7 +26,7 @@ def test_stages(spark, small_docs):
     known = through(spark, docs, 1).collect()
     model = langid.train(docs)
     labelled = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
-    want = [r for r in rows if labelled[r["doc_id"]]["lang_pred"] != "und" and labelled[r["doc_id"]]["score"] >= 0.5]
+    want = [r for r in rows if labelled[r["doc_id"]]["lang_pred"] != "und" and labelled[r["doc_id"]]["score"] >= corpus_pipeline.MIN_LANGUAGE_SCORE]
     assert sorted(known) == sorted(want) and len(known) > 0.97 * len(rows)
 
     firsts = {r[3] for r in brute_simhash(known)}
