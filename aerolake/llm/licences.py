@@ -1,16 +1,19 @@
 """Licence scans: a paragraph classifier whose finds a template must confirm.
 
-A paragraph is a line of the text. Its words (lower case, without signs at their ends) and
-word pairs and triples are the features of a sparse logistic regression over licence
-families and an unknown class. It is trained on the templates below, worn by dropped,
-changed and added words, and for the unknown class on paragraphs of a bounded sample of
-documents, on shuffled template words, and on sentences that talk of licences without
-granting one. A held-back part calibrates it: a temperature for the probabilities, and a
-least probability that all but one in 200 unknown paragraphs stay below. A paragraph is
-reported if a family wins with that probability and at least ``MIN_SIMILARITY`` of the
-word pairs of one of the family's templates stand in it.
-
-Only a paragraph with a pair of a template can be confirmed, so only those are scored;
+A paragraph is a line of the text. Its words (lower case, cut at
+signs, so that comment signs fall away) and word pairs and triples are the features of a
+sparse logistic regression over licence families and an unknown class. It is trained on the
+templates below, worn by dropped, changed and added words, and for the unknown class on
+paragraphs of a bounded sample of documents, on shuffled template words, and on sentences
+that talk of licences without granting one. A held-back part calibrates it: a temperature
+for the probabilities, and a least probability that all but one in 200 unknown paragraphs
+stay below. A paragraph is reported if a family wins with that probability and at least
+``MIN_SIMILARITY`` of the word pairs of one of the family's templates stand in it. Other
+paragraphs with the words of a grant (``CUES``) are reported as of the unknown class, with
+its probability.
+
+A paragraph without any of a template's keys, the rarest of its pairs and one more than may
+be missing, can't confirm it, so only lines with a key are scored;
 that they are few makes the scan one pass over the words of whole texts.
 
 Defined cases: a null or empty text has no paragraphs; repeated rows are scanned row by row;
@@ -28,22 +31,73 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Families and their usual notices (fixed values).
+#: Families: their usual notices, headers and the paragraphs of their texts (fixed values).
 TEMPLATES = {
     "apache": ("Licensed under the Apache License, Version 2.0", "This file is made available under the Apache License 2.0",
-               "You may not use this file except in compliance with the Apache License"),
+               "You may not use this file except in compliance with the Apache License", "Apache License Version 2.0, January 2004",
+               "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+               "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+               "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+               "See the License for the specific language governing permissions and limitations under the License.",
+               "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, "
+               "royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and "
+               "distribute the Work and such Derivative Works in Source or Object form."),
     "gpl": ("This work is licensed under the GNU General Public License, version 3", "Licensed under the GNU General Public License",
             "This program is free software and may be redistributed under the terms of the GNU General Public License", "SPDX License Identifier GPL"),
     "lgpl": ("Licensed under the GNU Lesser General Public License", "This library is free software under the terms of the GNU Lesser General Public License"),
-    "mit": ("Released under the MIT License", "Licensed under the MIT License", "This project is distributed under the terms of the MIT License"),
-    "bsd": ("Licensed under the BSD License", "Released under the 3 clause BSD License", "Use of this source code is governed by a BSD style license"),
-    "mpl": ("This source code is subject to the terms of the Mozilla Public License", "Licensed under the Mozilla Public License, version 2.0"),
-    "cc-by": ("Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution ShareAlike License"),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution NonCommercial License"),
-    "public-domain": ("This work is dedicated to the public domain", "Released into the public domain under CC0"),
+    "agpl": ("Licensed under the GNU Affero General Public License",),
+    "mit": ("Released under the MIT License", "Licensed under the MIT License", "This project is distributed under the terms of the MIT License", "The MIT License (MIT)",
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+            "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+            "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+            "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+            "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    "bsd": ("Licensed under the BSD License", "Released under the 3 clause BSD License", "Use of this source code is governed by a BSD style license",
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+            "and/or other materials provided with the distribution.",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+            "without specific prior written permission.",
+            "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+            "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    "mpl": ("This source code is subject to the terms of the Mozilla Public License", "Licensed under the Mozilla Public License, version 2.0",
+            "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0",
+            "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "cc-by": (), "cc-by-sa": ("This work is licensed under a Creative Commons Attribution ShareAlike License",),
+    "cc-by-nc": ("This work is licensed under a Creative Commons Attribution NonCommercial License",),
+    "cc-by-nd": (), "cc-by-nc-sa": (), "cc-by-nc-nd": (),
+    "public-domain": ("This work is dedicated to the public domain", "Released into the public domain under CC0", "CC0 1.0 Universal Public Domain Dedication",
+                      "This is free and unencumbered software released into the public domain.",
+                      "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+                      "for any purpose, commercial or non-commercial, and by any means.",
+                      "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 }
+_SPDX = {"apache": ("Apache-2.0",), "mit": ("MIT",), "bsd": ("BSD-2-Clause", "BSD-3-Clause"), "mpl": ("MPL-1.1", "MPL-2.0"), "public-domain": ("CC0-1.0", "Unlicense")}
+_PARTS = {"sa": "ShareAlike", "nc": "NonCommercial", "nd": "NoDerivatives"}
+for _family, _name, _thing, _versions in (("gpl", "", "program", ("2.0", "3.0")), ("lgpl", "Lesser ", "library", ("2.0", "2.1", "3.0")), ("agpl", "Affero ", "program", ("3.0",))):
+    TEMPLATES[_family] += (
+        f"This {_thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {_name}General Public License as published by the "
+        "Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        f"under the terms of the GNU {_name}General Public License as published by the Free Software Foundation",
+        f"This {_thing} is distributed under the terms of the GNU {_name}General Public License", f"GNU {_name}General Public License Version 3",
+        f"You should have received a copy of the GNU {_name}General Public License along with this {_thing}.")
+    _SPDX[_family] = tuple(f"{_family.upper()}-{v}{end}" for v in _versions for end in ("", "-only", "-or-later"))
+for _family in [f for f in TEMPLATES if f.startswith("cc-")]:
+    _short, _versions = _family[3:].upper(), (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic"))
+    _long = "-".join(["Attribution", *[_PARTS[x] for x in _family.split("-")[2:]]])
+    TEMPLATES[_family] += (f"Licensed under CC {_short} 4.0", f"Licensed under the Creative Commons {_long} License",
+                           *[f"This work is licensed under a Creative Commons {_long} {v} {kind} License" for v, kind in _versions])
+    _SPDX[_family] = tuple(f"CC-{_short}-{v}" for v, _ in _versions)
+for _family, _ids in _SPDX.items():
+    TEMPLATES[_family] += tuple(f"SPDX-License-Identifier: {x}" for x in _ids)
 UNKNOWN = "unknown"
+#: What grants something under a licence of no family here, if one of LICENCE_WORDS is near.
+CUES = ("SPDX License Identifier", "licensed under the", "licensed under a", "released under the", "released under a", "distributed under the", "distributed under a",
+        "made available under the", "under the terms of the", "is hereby granted")
+LICENCE_WORDS = {b"license", b"licence", b"licenses", b"licences", b"permission"}
 #: Sentences with the same words that grant nothing.
 OTHER = ("the driver showed his license to the officer", "the license of the shop was renewed last year", "this work is a version of the public play",
          "the album was released under pressure", "the general public is free to visit the work", "copyright law is a subject of this course",
@@ -52,14 +106,15 @@ OTHER = ("the driver showed his license to the officer", "the license of the sho
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 2000
 MIN_SIMILARITY = 0.8
-WORN = 60
+#: Worn copies of a family's templates.
+WORN = 240
 ROUNDS = 250
 
-_SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PLAIN = bytes(0x20 if chr(c) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256)).lower()
 
 
 def plain_words(line: bytes) -> list[bytes]:
-    return [w for w in (x.strip(_SIGNS) for x in line.lower().split()) if w]
+    return line.translate(_PLAIN).split()
 
 
 def grams(words: list[bytes]) -> set[tuple]:
@@ -91,15 +146,26 @@ class Model:
         """(family, probability, template, share of the template's pairs) of a confirmed find."""
         p = self.probabilities(words)
         best = int(np.argmax(p))
-        family = self.classes[best]
-        if family == UNKNOWN or p[best] < self.threshold:
-            return None
-        own, shares = pairs(words), [len(t & pairs(words)) / len(t) for t in _PAIRS[family]]
-        at = int(np.argmax(shares))
-        return (family, float(p[best]), at, shares[at]) if own and shares[at] >= MIN_SIMILARITY else None
+        own, family = pairs(words), self.classes[best]
+        if family != UNKNOWN and p[best] >= self.threshold:
+            at, share = _nearest(own, family)
+            if share >= MIN_SIMILARITY:
+                return family, float(p[best]), at, share
+        if not LICENCE_WORDS.isdisjoint(words):
+            at, share = _nearest(own, UNKNOWN)
+            if share >= MIN_SIMILARITY:
+                return UNKNOWN, float(p[-1]), at, share
+        return None
 
 
-_PAIRS = {family: [pairs(plain_words(t.encode())) for t in texts] for family, texts in TEMPLATES.items()}
+_TEXTS = {**TEMPLATES, UNKNOWN: CUES}
+_PAIRS = {family: [pairs(plain_words(t.encode())) for t in texts] for family, texts in _TEXTS.items()}
+
+
+def _nearest(own: set, family: str) -> tuple[int, float]:
+    shares = [len(t & own) / len(t) for t in _PAIRS[family]]
+    at = int(np.argmax(shares))
+    return at, shares[at]
 
 
 def _worn(words: list[bytes], filler: list[bytes], rng) -> list[bytes]:
@@ -112,22 +178,22 @@ def _worn(words: list[bytes], filler: list[bytes], rng) -> list[bytes]:
 def fit(texts: list[str], seed: int = 5) -> Model:
     """Train on the templates and on paragraphs of these texts as the unknown class."""
     rng = np.random.default_rng(seed)
-    all_pairs = set().union(*[p for own in _PAIRS.values() for p in own])
     plain = [w for t in texts for line in t.encode().split(b"\n") if (w := plain_words(line))]
-    # A paragraph that shares several pairs with the templates may hold a notice: not a sure unknown.
-    plain = [w for w in plain if len(pairs(w) & all_pairs) < 2]
+    # A paragraph with a key of a template may hold a notice: not a sure unknown.
+    plain = [w for w in plain if pairs(w).isdisjoint(_KEYED)]
     filler = sorted({w for own in plain for w in own[:40]})[:2000] or [b"a", b"some", b"more", b"words"]
     classes = [*TEMPLATES, UNKNOWN]
     rows, labels = [], []
     for k, own in enumerate(TEMPLATES.values()):
         for t in own:
-            words = plain_words(t.encode())
-            rows += [words] + [_worn(words, filler, rng) for _ in range(WORN)]
-            labels += [k] * (WORN + 1)
+            words, n = plain_words(t.encode()), -(-WORN // len(own))
+            rows += [words] * 4 + [_worn(words, filler, rng) for _ in range(n)]
+            labels += [k] * (n + 4)
     unknown = [plain_words(t.encode()) for t in OTHER for _ in range(20)]
     unknown += [[w for w in plain_words(t.encode())] for t in OTHER]
     vocabulary = sorted({w for own in TEMPLATES.values() for t in own for w in plain_words(t.encode())})
     unknown += [[vocabulary[i] if rng.random() < 0.5 else filler[rng.integers(len(filler))] for i in rng.integers(len(vocabulary), size=int(rng.integers(2, 14)))] for _ in range(800)]
+    unknown += [plain_words(t.encode()) + [filler[i] for i in rng.integers(len(filler), size=int(rng.integers(1, 6)))] + [b"license"] * int(rng.integers(2)) for t in CUES for _ in range(20)]
     unknown += [plain[i][:200] for i in rng.permutation(len(plain))[:1500]]
     rows += unknown
     labels += [len(classes) - 1] * len(unknown)
@@ -143,14 +209,18 @@ def fit(texts: list[str], seed: int = 5) -> Model:
     feature = np.array([f for i in train for f in at[i]], np.int64)
     truth = np.eye(len(classes))[labels[train]]
     sums = np.full(weights.shape, 1e-6)
+    # Sums over a row's features and over a feature's rows, both as runs in a row.
+    row_at, rows_with = np.unique(row, return_index=True)[::-1]
+    order = np.argsort(feature, kind="stable")
+    feature_at, features_with = np.unique(feature[order], return_index=True)[::-1]
     for _ in range(ROUNDS):
         score = np.tile(bias, (len(train), 1))
-        np.add.at(score, row, weights[feature])
+        score[rows_with] += np.add.reduceat(weights[feature], row_at)
         p = np.exp(score - score.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         error = (truth - p) / len(train)
         grad = np.zeros_like(weights)
-        np.add.at(grad, feature, error[row])
+        grad[features_with] = np.add.reduceat(error[row[order]], feature_at)
         grad -= 1e-5 * weights
         sums += grad * grad
         weights += 0.3 * grad / np.sqrt(sums)
@@ -177,18 +247,31 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, chars: int = SAMPLE_C
     return fit(sorted(r["text"] for r in rows.filter(drawn).select(F.substring("text", 1, chars).alias("text")).collect()))
 
 
-_WORDS = {w: i for i, w in enumerate(sorted({w for own in _PAIRS.values() for t in own for p in t for w in p}))}
-_PAIR_KEYS = np.array(sorted({_WORDS[a] * len(_WORDS) + _WORDS[b] for own in _PAIRS.values() for t in own for a, b in t}), np.int64)
+_COMMON = set(b"a an and any are as at be by for from if in is it may must not of on or provided shall that the this to was with you".split())
+
+
+def _keys(own: set) -> list[tuple]:
+    """So many of a template's pairs that a text without any of them can't confirm it: those of the rarest words."""
+    missing = max(m for m in range(len(own)) if (len(own) - m) / len(own) >= MIN_SIMILARITY)
+    return sorted(own, key=lambda p: (sum(w in _COMMON or w.isdigit() for w in p), -len(p[0]) - len(p[1]), p))[:missing + 1]
+
+
+#: Templates (family, number) by key.
+_KEYED: dict[tuple, list[tuple]] = {}
+for _family, _own in _PAIRS.items():
+    for _at, _template in enumerate(_own):
+        for _key in _keys(_template):
+            _KEYED.setdefault(_key, []).append((_family, _at))
+_WORDS = {w: i for i, w in enumerate(sorted({w for p in _KEYED for w in p}))}
+_PAIR_KEYS = np.array(sorted({_WORDS[a] * len(_WORDS) + _WORDS[b] for a, b in _KEYED}), np.int64)
 
 
 def _suspects(texts: list[bytes]) -> list[tuple[int, int]]:
-    """(text, line) of the lines in which two words of a template's pair may stand together."""
-    lines = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate(t.lower().split(b"\n"))]
+    """(text, line) of the lines in which a key of a template stands."""
+    lines = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate(t.translate(_PLAIN).split(b"\n"))]
     codes, counts, words = common.word_codes([x for _, _, x in lines])
-    known = np.array([_WORDS.get(s, -1) if (s := w.strip(_SIGNS)) else -2 for w in words], np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
+    known = np.array([_WORDS.get(w, -1) for w in words], np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
     line = np.repeat(np.arange(len(lines)), counts)
-    real = known != -2  # words of signs alone are none
-    known, line = known[real], line[real]
     pair = known[:-1] * len(_WORDS) + known[1:]
     hit = (known[:-1] >= 0) & (known[1:] >= 0) & (line[:-1] == line[1:]) & np.isin(pair, _PAIR_KEYS)
     return [lines[j][:2] for j in np.unique(line[:-1][hit]).tolist()]
@@ -215,7 +298,7 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
             for part, texts in common.slices(batch):
                 found = scan_texts(own, texts)
                 ids = common.column(part, "doc_id").to_pylist()
-                columns = [[ids[r[0]] for r in found], *[[r[c] for r in found] for c in range(1, 4)], [TEMPLATES[r[2]][r[4]] for r in found], [r[5] for r in found]]
+                columns = [[ids[r[0]] for r in found], *[[r[c] for r in found] for c in range(1, 4)], [_TEXTS[r[2]][r[4]] for r in found], [r[5] for r in found]]
                 kinds = (pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.string(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                                  names=["doc_id", "paragraph", "family", "probability", "template", "similarity"])

@@ -47,3 +47,22 @@ def test_awkward_and_empty(awkward, no_docs, spark):
     rows = [(None, "Released under the MIT License."), (1, None), (2, "a\nReleased under the MIT License."), (2, "a\nReleased under the MIT License.")]
     got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r["doc_id"], r["paragraph"], r["family"]) for r in got), key=str) == sorted([(None, 0, "mit"), (2, 1, "mit"), (2, 1, "mit")], key=str)
+
+
+@pytest.mark.parametrize("line, family", [
+    ("// SPDX-License-Identifier: GPL-3.0-or-later", "gpl"), ("/* SPDX-License-Identifier: AGPL-3.0-only */", "agpl"), ("# SPDX-License-Identifier: MIT", "mit"),
+    ("The MIT License (MIT)", "mit"), ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "bsd"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("This work is licensed under the Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "cc-by-nc-nd"),
+    ("This work is licensed under the Creative Commons Attribution 4.0 International License.", "cc-by"), ("Licensed under CC BY-ND 4.0", "cc-by-nd"),
+    ("Licensed under the GNU Affero General Public License", "agpl"), ("SPDX-License-Identifier: EUPL-1.2", "unknown"), ("Licensed under the Foo License 2", "unknown")])
+def test_real_notices(model, line, family):
+    assert [r[:3] for r in licences.scan_texts(model, [f"some words\n{line}\nand more".encode()])] == [(0, 1, family)]
+
+
+def test_keys_lose_nothing():
+    for family, own in licences._PAIRS.items():
+        for number, template in enumerate(own):
+            keys = [k for k, at in licences._KEYED.items() if (family, number) in at]
+            assert (len(template) - len(keys)) / len(template) < licences.MIN_SIMILARITY
