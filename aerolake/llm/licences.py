@@ -1,6 +1,7 @@
 """Licence scans: a paragraph classifier whose finds a template must confirm.
 
-A paragraph is a line of the text. Its words (lower case, cut at
+A paragraph is a line of the text, or the neighbouring lines (none of them empty) over which
+a wrapped notice runs; it is reported with its first line. Its words (lower case, cut at
 signs, so that comment signs fall away) and word pairs and triples are the features of a
 sparse logistic regression over licence families and an unknown class. It is trained on the
 templates below, worn by dropped, changed and added words, and for the unknown class on
@@ -13,7 +14,7 @@ paragraphs with the words of a grant (``CUES``) are reported as of the unknown c
 its probability.
 
 A paragraph without any of a template's keys, the rarest of its pairs and one more than may
-be missing, can't confirm it, so only lines with a key are scored;
+be missing, can't confirm it, so only lines with a key and their neighbours are scored;
 that they are few makes the scan one pass over the words of whole texts.
 
 Defined cases: a null or empty text has no paragraphs; repeated rows are scanned row by row;
@@ -262,30 +263,117 @@ for _family, _own in _PAIRS.items():
     for _at, _template in enumerate(_own):
         for _key in _keys(_template):
             _KEYED.setdefault(_key, []).append((_family, _at))
+_SIZES = {family: [len(plain_words(t.encode())) for t in texts] for family, texts in _TEXTS.items()}
+#: Words within which a template's pairs must stand: twice the template's and these.
+SLACK = 8
+_REACH = 2 * max(n for own in _SIZES.values() for n in own) + SLACK
 _WORDS = {w: i for i, w in enumerate(sorted({w for p in _KEYED for w in p}))}
 _PAIR_KEYS = np.array(sorted({_WORDS[a] * len(_WORDS) + _WORDS[b] for a, b in _KEYED}), np.int64)
 
 
 def _suspects(texts: list[bytes]) -> list[tuple[int, int]]:
-    """(text, line) of the lines in which a key of a template stands."""
+    """(text, line) of the lines in which a key of a template stands, or begins at their end."""
     lines = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate(t.translate(_PLAIN).split(b"\n"))]
     codes, counts, words = common.word_codes([x for _, _, x in lines])
     known = np.array([_WORDS.get(w, -1) for w in words], np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
     line = np.repeat(np.arange(len(lines)), counts)
     pair = known[:-1] * len(_WORDS) + known[1:]
-    hit = (known[:-1] >= 0) & (known[1:] >= 0) & (line[:-1] == line[1:]) & np.isin(pair, _PAIR_KEYS)
+    hit = (known[:-1] >= 0) & (known[1:] >= 0) & (np.diff(line) <= 1) & np.isin(pair, _PAIR_KEYS)
     return [lines[j][:2] for j in np.unique(line[:-1][hit]).tolist()]
 
 
+def _stretches(lines: dict, hits: list[int], last: int) -> list[tuple[int, int]]:
+    """(first, last) line of the surroundings of ``hits``, up to a line without words or
+    so far that no template reaches farther."""
+    out = []
+    for h in hits:
+        ends = []
+        for step in (-1, 1):
+            at, n = h, 0
+            while 0 <= at + step <= last and n < _REACH and lines[at + step]:
+                at += step
+                n += len(lines[at])
+            ends.append(at)
+        if out and ends[0] <= out[-1][1]:
+            out[-1] = (out[-1][0], max(ends[1], out[-1][1]))
+        else:
+            out.append(tuple(ends))
+    return out
+
+
+def _windows(words: list[bytes], template: set, span: int):
+    """(first, last) word of the places, not overlapping, where enough of the template's pairs stand within ``span`` words."""
+    spots = [i for i, p in enumerate(zip(words, words[1:])) if p in template]
+    counts, low, high = {}, 0, 0
+    while high < len(spots):
+        p = words[spots[high]], words[spots[high] + 1]
+        counts[p] = counts.get(p, 0) + 1
+        while True:  # drop what is too far back or comes again
+            q = words[spots[low]], words[spots[low] + 1]
+            if low == high or (spots[high] - spots[low] <= span and counts[q] == 1):
+                break
+            counts[q] -= 1
+            if not counts[q]:
+                del counts[q]
+            low += 1
+        if len(counts) / len(template) >= MIN_SIMILARITY:
+            while high + 1 < len(spots) and spots[high + 1] - spots[high] <= 4 and spots[high + 1] - spots[low] <= span:
+                high += 1
+            yield spots[low], spots[high] + 1
+            counts, low = {}, high + 1
+        high += 1
+
+
+class _Lines(dict):
+    """Words of a text's lines, by number."""
+
+    def __init__(self, text: bytes):
+        super().__init__()
+        self.raw = text.split(b"\n")
+
+    def __missing__(self, k):
+        self[k] = plain_words(self.raw[k])
+        return self[k]
+
+
+def _finds(model: Model, text: bytes, hits: list[int]) -> list[tuple]:
+    """(line, what ``judge`` says) of a text's notices; ``hits`` are its lines with a key.
+
+    A line is judged by itself, then the neighbouring lines over which the pairs of one
+    template are spread: where they are found as its family, that stands in place of what
+    their lines say by themselves, unless one of these says the same family.
+    """
+    lines = _Lines(text)
+    alone = {k: found for k in hits if (found := model.judge(lines[k]))}
+    spread = []
+    for a, b in _stretches(lines, hits, len(lines.raw) - 1):
+        if a == b:
+            continue
+        words, at = [w for k in range(a, b + 1) for w in lines[k]], [k for k in range(a, b + 1) for _ in lines[k]]
+        for family, number in sorted({t for p in pairs(words) & _KEYED.keys() for t in _KEYED[p]}):
+            size = _SIZES[family][number]
+            found = [(at[x], at[y]) for x, y in _windows(words, _PAIRS[family][number], 2 * size + SLACK)]
+            if family == UNKNOWN:  # what is granted may stand in the line before or after
+                found = [(max(a, x - 1), min(b, y + 1)) for x, y in found]
+            spread += [(family == UNKNOWN, -size, x, y, family) for x, y in found if x < y]
+    joined, used = [], set()
+    for unknown, _, a, b, family in sorted(spread):
+        own = [alone[k][0] for k in range(a, b + 1) if k in alone]
+        if not used.isdisjoint(range(a, b + 1)) or family in own or (unknown and own):
+            continue
+        found = model.judge([w for k in range(a, b + 1) for w in lines[k]])
+        if found and found[0] == family:
+            joined.append((a, *found))
+            used.update(range(a, b + 1))
+    return sorted(joined + [(k, *found) for k, found in alone.items() if k not in used])
+
+
 def scan_texts(model: Model, texts: list[bytes]) -> list[tuple]:
     """(text, line number, family, probability, template, similarity) of all finds."""
-    out, split = [], {}
+    hits: dict[int, list[int]] = {}
     for i, k in _suspects(texts):
-        if i not in split:
-            split[i] = texts[i].split(b"\n")
-        if found := model.judge(plain_words(split[i][k])):
-            out.append((i, k, *found))
-    return out
+        hits.setdefault(i, []).append(k)
+    return [(i, *found) for i, own in hits.items() for found in _finds(model, texts[i], own)]
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -66,3 +66,28 @@ def test_keys_lose_nothing():
         for number, template in enumerate(own):
             keys = [k for k, at in licences._KEYED.items() if (family, number) in at]
             assert (len(template) - len(keys)) / len(template) < licences.MIN_SIMILARITY
+
+
+@pytest.mark.parametrize("text, family, line", [
+    ("x = 1\n// This file is licensed under the Apache\n// License, Version 2.0\ny = 2", "apache", 1), ("Released under the MIT\r\nLicense", "mit", 0),
+    ("licensed under the Creative Commons Attribution\n-ShareAlike License", "cc-by-sa", 0),
+    ("/*\n * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+     " * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.\n */", "lgpl", 1),
+    ("# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:", "bsd", 0),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that", "unknown", 0)])
+def test_wrapped_notices(model, text, family, line):
+    assert [r[:3] for r in licences.scan_texts(model, [b"nothing here", text.encode()])] == [(1, line, family)]
+
+
+def test_an_empty_line_ends_a_notice(model):
+    assert licences.scan_texts(model, [b"Released under the MIT\n\nLicense", b"Released under the MIT", b"License"]) == []
+
+
+def test_wrapped_at_any_width(model):
+    import textwrap
+
+    for family, templates in licences.TEMPLATES.items():
+        for t in templates:
+            for width in (30, 60):
+                found = licences.scan_texts(model, [("# " + "\n# ".join(textwrap.wrap(t, width))).encode()])
+                assert {r[2] for r in found} == {family}, (t, width, found)
