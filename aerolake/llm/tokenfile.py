@@ -1,13 +1,13 @@
 """Token-id files compressed by a Re-Pair grammar, with random-access decoding.
 
 Documents are range-partitioned and sorted by doc_id; each partition writes its shard as
-files of a few million ids, in order. A file repeatedly replaces the most frequent pairs
-of neighbouring ids by new symbols (nonterminals). It stores the rules, how many ids each
-rule expands to, and for every document the place of its first symbol, so that a document
+files of a few million ids, in order. A file numbers the ids that it holds and repeatedly
+replaces the most frequent pairs of neighbouring symbols by new ones (nonterminals), until
+no pair is frequent. It stores the ids, the rules, how many ids each rule expands to, and for every document the place of its first symbol, so that a document
 or a range of its ids is decoded without the rest of the file.
 
 File bytes, little endian: magic, then six uint32 (first nonterminal, rules, symbols,
-documents, id width in bytes, 0), then the arrays: rules (left, right), expansion length
+documents, symbol width in bytes, 0), then the arrays: the id of each terminal (uint32), rules (left, right), expansion length
 of each rule, symbols, doc_id (int64), first symbol and first id of each document and the
 ends (uint32), and whether doc_id is null (uint8). Files are kept as binary values of a
 Parquet table (shard, file, n_docs, n_tokens, payload), so that Spark's commit protocol
@@ -33,44 +33,47 @@ from . import common
 
 END_ID = 2
 VOCABULARY = 49_408
-MAGIC = b"RPTK0001"
+MAGIC = b"RPTK0002"
 FILE_TOKENS = 3 << 19
 SHARD_BYTES = 24 << 20
-#: Grammar limits of a file: 16-bit symbols hold the vocabulary and these rules.
-MAX_RULES = (1 << 16) - VOCABULARY
-ROUNDS = 6
+#: The least count of a pair that is replaced. A file's rules end when no pair reaches it;
+#: neither their number nor their depth is limited.
 MIN_COUNT = 8
 _HASH_BITS = 20
 
 
-def _frequent_pairs(seq: np.ndarray, last: np.ndarray, limit: int):
-    """(pairs, places, which pair): the most frequent pairs and where they are.
+def _frequent_pairs(seq: np.ndarray, last: np.ndarray, newest: int = 0, exact: bool = False):
+    """(pairs, places, which pair): frequent pairs with a symbol from ``newest`` on, and where they are.
 
-    All pairs are counted in hash cells; the ``limit`` heaviest cells hold every pair that
-    is more frequent than the lightest of them. Of such a cell the pair met first or last,
-    whichever is the more frequent, is taken if it reaches that count by itself."""
+    All pairs are counted in hash cells; of a cell that reaches MIN_COUNT the pair met first
+    or last, whichever is the more frequent, is taken if it reaches that count by itself.
+    ``exact`` takes all pairs of the cell that do."""
     left, right = seq[:-1], seq[1:]
+    places = ~last[:-1]
+    if newest:
+        places &= (left >= newest) | (right >= newest)
+    places = np.flatnonzero(places)
+    left, right = left[places], right[places]
     cell = ((left * np.uint32(2654435761) ^ right * np.uint32(2246822519)) >> np.uint32(32 - _HASH_BITS)).astype(np.int64)
-    weight = np.bincount(cell, minlength=1 << _HASH_BITS)
-    cells_with = np.cumsum(np.bincount(np.minimum(weight, 1 << 16))[::-1])  # cells of each weight or more, from the top
-    least = max(MIN_COUNT, len(cells_with) - 1 - int(np.searchsorted(cells_with, limit)))
-    heavy = np.flatnonzero(weight >= least)
-    dense = np.full(1 << _HASH_BITS, -1, np.int32)
-    dense[heavy] = np.arange(len(heavy))
-    slot = dense[cell]
-    places = np.flatnonzero((slot >= 0) & ~last[:-1])
-    slot = slot[places]
+    heavy = np.bincount(cell, minlength=1 << _HASH_BITS) >= MIN_COUNT
+    some = heavy[cell]
+    places, left, right = places[some], left[some], right[some]
     half = np.uint32(16) if int(seq.max()) < 1 << 16 else np.uint64(32)  # both symbols in one number
-    key = left[places].astype(half.dtype) << half | right[places]
-    best, count = np.zeros(len(heavy), key.dtype), np.zeros(len(heavy), np.int64)
-    for step in (1, -1):
-        chosen = np.zeros(len(heavy), key.dtype)
-        chosen[slot[::step]] = key[::step]
-        n = np.bincount(slot[key == chosen[slot]], minlength=len(heavy))
-        best, count = np.where(n > count, chosen, best), np.maximum(n, count)
-    taken = np.flatnonzero(count >= least)
-    taken = taken[np.argsort(-count[taken], kind="stable")][:limit]
-    rank = np.full(len(heavy), -1, np.int64)
+    key = left.astype(half.dtype) << half | right
+    if exact:
+        best, slot, count = np.unique(key, return_inverse=True, return_counts=True)
+    else:
+        slot = (np.cumsum(heavy) - 1)[cell[some]]
+        cells = int(heavy.sum())
+        best, count = np.zeros(cells, key.dtype), np.zeros(cells, np.int64)
+        for step in (1, -1):
+            chosen = np.zeros(cells, key.dtype)
+            chosen[slot[::step]] = key[::step]
+            n = np.bincount(slot[key == chosen[slot]], minlength=cells)
+            best, count = np.where(n > count, chosen, best), np.maximum(n, count)
+    taken = np.flatnonzero(count >= MIN_COUNT)
+    taken = taken[np.argsort(-count[taken], kind="stable")]
+    rank = np.full(len(best), -1, np.int64)
     rank[taken] = np.arange(len(taken))
     symbol = rank[slot]
     hit = (symbol >= 0) & (key == best[slot])
@@ -78,21 +81,23 @@ def _frequent_pairs(seq: np.ndarray, last: np.ndarray, limit: int):
     return pairs, places[hit], symbol[hit]
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, rounds: int = ROUNDS, max_rules: int = MAX_RULES):
-    """Re-Pair over documents ids[ends[i-1]:ends[i]]. Returns (rules, expansion lengths,
-    symbols, first symbol of each document and the end). No pair spans two documents."""
+def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY):
+    """Re-Pair over documents ids[ends[i-1]:ends[i]], until no pair reaches MIN_COUNT.
+    Returns (rules, expansion lengths, symbols, first symbol of each document and the
+    end). No pair spans two documents."""
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
     rules = np.zeros((0, 2), np.uint32)
     size = np.ones(base, np.int64)
-    for _ in range(rounds):
-        room = min(max_rules - len(rules), max(1, max_rules // 3))
-        if room <= 0 or len(seq) < 2:
-            break
-        pairs, places, symbol = _frequent_pairs(seq, last, room)
+    newest = 0
+    while len(seq) > 1:
+        pairs, places, symbol = _frequent_pairs(seq, last, newest)
+        if not len(pairs):  # older pairs, and those that share their cells with others
+            pairs, places, symbol = _frequent_pairs(seq, last, exact=True)
         if not len(pairs):
             break
+        newest = base + len(rules)
         # Neighbouring hits overlap: of each run of them every second one is replaced.
         number = np.arange(len(places), dtype=np.int32)
         start = number.copy()
@@ -100,6 +105,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, rounds:
         np.maximum.accumulate(start, out=start)
         even = (number - start) & 1 == 0
         places, symbol = places[even], symbol[even]
+        used = np.bincount(symbol, minlength=len(pairs)) > 0
+        pairs, symbol = pairs[used], (np.cumsum(used) - 1)[symbol]
         seq[places] = (base + len(rules) + symbol).astype(np.uint32)
         last[places] = last[places + 1]
         keep = np.ones(len(seq), bool)
@@ -112,13 +119,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, rounds:
 
 
 def pack_file(doc_ids: list, ids: np.ndarray, lens: np.ndarray, base: int = VOCABULARY) -> bytes:
+    """The file's bytes; all ids are below ``base``."""
     ends = np.cumsum(lens)
-    rules, size, seq, firsts = compress(ids, ends, base)
-    width = 2 if base + len(rules) <= 1 << 16 else 4
+    met = np.bincount(ids, minlength=base) > 0
+    terminals = np.flatnonzero(met)
+    rules, size, seq, firsts = compress((np.cumsum(met) - 1)[ids], ends, len(terminals))
+    width = 2 if len(terminals) + len(rules) <= 1 << 16 else 4
     kind = f"<u{width}"
-    head = MAGIC + struct.pack("<6I", base, len(rules), len(seq), len(lens), width, 0)
+    head = MAGIC + struct.pack("<6I", len(terminals), len(rules), len(seq), len(lens), width, 0)
     nulls = np.array([d is None for d in doc_ids], np.uint8)
-    return b"".join([head, rules.astype(kind).tobytes(), size.astype("<u4").tobytes(), seq.astype(kind).tobytes(),
+    return b"".join([head, terminals.astype("<u4").tobytes(), rules.astype(kind).tobytes(), size.astype("<u4").tobytes(), seq.astype(kind).tobytes(),
                      np.array([d or 0 for d in doc_ids], "<i8").tobytes(), firsts.astype("<u4").tobytes(),
                      np.concatenate([[0], ends]).astype("<u4").tobytes(), nulls.tobytes()])
 
@@ -138,6 +148,7 @@ class TokenFile:
             at += out.nbytes
             return out
 
+        self.terminals = take("<u4", self.base)
         self.rules = take(f"<u{width}", 2 * n_rules).reshape(-1, 2)
         self.size = take("<u4", n_rules)
         self.seq = take(f"<u{width}", n_seq)
@@ -152,7 +163,7 @@ class TokenFile:
             lens = np.concatenate([np.ones(self.base, np.int64), self.size])
             offs = np.cumsum(lens) - lens
             flat = np.zeros(int(lens.sum()), np.uint32)
-            flat[:self.base] = np.arange(self.base)
+            flat[:self.base] = self.terminals
             self._flat = offs, lens, flat
             newest, done = np.maximum.accumulate(self.rules.max(1)) if len(self.rules) else [], 0
             while done < len(self.rules):  # rules in a row that only use symbols before them

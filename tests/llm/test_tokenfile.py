@@ -43,3 +43,21 @@ def test_grammar_and_random_access():
         for _ in range(5):
             a, b = sorted(rng.integers(0, len(d) + 1, 2).tolist())
             assert (f.ids(i, a, b) == d[a:b]).all()
+
+
+def test_pairs_are_replaced_until_none_is_frequent():
+    rng = np.random.default_rng(3)
+    copies = np.tile(rng.integers(0, 40_000, 1000), 40)  # one passage, often repeated
+    rare = rng.integers(0, 40_000, 300_000)
+    twice = np.repeat(rng.permutation(20_000).reshape(-1, 2), 8, axis=0)[rng.permutation(80_000)].ravel()  # 10,000 pairs, 8 times each
+    docs = [x.astype(np.uint32) for x in (copies, rare, *twice.reshape(-1, 2), *np.tile(np.arange(30_000, 46_000).reshape(-1, 2), (9, 1)))]
+    lens = np.array([len(d) for d in docs])
+    rules, size, seq, firsts = tokenfile.compress(np.concatenate(docs), np.cumsum(lens))
+    assert len(rules) > 16_128 and size.max() >= 64
+    same = np.ones(len(seq), bool)
+    same[firsts[1:] - 1] = False
+    left = np.flatnonzero(same)
+    assert np.unique(np.stack([seq[left], seq[left + 1]], 1), axis=0, return_counts=True)[1].max() < tokenfile.MIN_COUNT
+    f = tokenfile.TokenFile(tokenfile.pack_file([*range(len(docs))], np.concatenate(docs), lens))
+    assert (f.expand(f.seq) == np.concatenate(docs)).all() and (f.document(1) == docs[1]).all()
+    assert (f.ids(0, 999, 2003) == docs[0][999:2003]).all()
