@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -62,16 +62,20 @@ def fingerprint_of(texts: list[bytes], shingle: int = SHINGLE, block: int = 1 <<
     return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_hash: Column | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), and text_hash if one is given."""
+    names = ["doc_id", "fp"] + ["text_hash"] * (text_hash is not None)
 
     def run(batches):
         for batch in batches:
             for part, texts in common.slices(batch, limit=2 << 20):
-                yield pa.RecordBatch.from_arrays(
-                    [common.column(part, "doc_id"), pa.array(fingerprint_of(texts, shingle).view(np.int64))], names=["doc_id", "fp"])
+                own = {"fp": pa.array(fingerprint_of(texts, shingle).view(np.int64))}
+                yield pa.RecordBatch.from_arrays([own[c] if c in own else common.column(part, c) for c in names], names=names)
 
-    return common.id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    rows = common.id_text(docs)
+    if text_hash is not None:
+        rows = rows.withColumn("text_hash", text_hash)
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -185,23 +189,31 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, per_task: int = PER_TASK) ->
     return rows.repartition(tasks, "seg", "val").mapInArrow(run, "a long, b long")
 
 
+def _components(marked: DataFrame, max_bits: int) -> DataFrame:
+    """fp, first_id (the least doc_id with it) and component (its least fingerprint) of marked(doc_id, fp)."""
+    ids = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    parts = common.staged(connected_components(links(ids.select("fp"), max_bits)), "components")
+    return ids.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp, component_id of every row of docs."""
     marked = common.staged(fingerprints(docs, shingle), "fingerprints")
-    ids = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    parts = common.staged(connected_components(links(ids.select("fp"), max_bits)), "components")
     # The least document id of each component, then of each fingerprint.
-    grouped = ids.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    grouped = _components(marked, max_bits)
     least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_fp = grouped.select("fp", "component").join(least, "component").select("fp", "component_id")
     return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs with one document of each component: the one with the least id.
-    Of repeated rows of that id one stays. Rows without an id can't stand for others:
-    one of each text stays."""
-    named = docs.filter("doc_id IS NOT NULL")
-    firsts = near_duplicates(named, shingle, max_bits).filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = named.join(firsts, F.col("doc_id").cast("long") == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["text"]))
+    """The rows of docs with one document of each component: the one with the least id
+    (a row without an id only if none has one), and of rows with that id the one whose
+    text has the least hash. Rows of one id in two components each count in their own."""
+    text = F.xxhash64(F.col("text").cast("string"))
+    marked = common.staged(fingerprints(docs, shingle, text), "fingerprints")
+    least = marked.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row"))
+    grouped = _components(marked, max_bits).select("fp", "component").join(least, "fp")
+    first = grouped.groupBy("component").agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("_first"), F.col("row.text_hash").alias("_hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_first")) & (text == F.col("_hash"))
+    return docs.join(first, same, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -99,3 +99,11 @@ def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 300), (7, 7), (300, 100)], "a long, b long")
     got = dict(connected_components(edges).collect())
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100}
+
+
+def test_keep_one_with_repeated_and_missing_ids(spark):
+    a, b, c = ("one two three four five six seven", "quite another text with other words in it", "a third one that nobody else has got here")
+    rows = [(1, a), (1, b), (2, b), (None, a), (None, c), (None, c.upper()), (None, "  " + c)]
+    kept = [tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(kept) == 3 and {(1, a), (1, b)} <= set(kept)
+    assert [t.lower().strip() for i, t in kept if i is None] == [c]
