@@ -119,13 +119,16 @@ class Block:
         return out
 
 
-def blocks(items: DataFrame, threshold_percent: int = THRESHOLD_PERCENT, block_bytes: int = BLOCK_BYTES):
-    """The items' blocks, one at a time: rows are dealt to blocks by their hash."""
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+def _columns(items: DataFrame) -> DataFrame:
+    return items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+
+def blocks(texts: DataFrame, threshold_percent: int = THRESHOLD_PERCENT, block_bytes: int = BLOCK_BYTES):
+    """The blocks of distinct texts(text, item_id), one at a time: texts are dealt to blocks by their hash."""
+    size = texts.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     number = max(1, -(-size // block_bytes))
     for i in range(number):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == i)
+        own = texts.filter(F.pmod(F.xxhash64("text"), F.lit(number)) == i)
         rows = sorted(((r["item_id"], r["text"]) for r in own.collect()), key=str)
         yield Block(rows, threshold_percent)
 
@@ -133,8 +136,11 @@ def blocks(items: DataFrame, threshold_percent: int = THRESHOLD_PERCENT, block_b
 def find(docs: DataFrame, items: DataFrame, threshold_percent: int = THRESHOLD_PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, n_shingles (of the item), n_found of every row of docs that holds an item."""
     docs = common.id_text(docs)
+    # Rows of the benchmark with one text are searched as one, under the number of that text.
+    items = common.staged(_columns(items).filter("text IS NOT NULL").groupBy("text", "item_id").agg(F.count("*").alias("rows")), "items")
+    texts = common.staged(items.select("text").distinct().withColumn("number", F.monotonically_increasing_id()), "item_texts")
     found = None
-    for block in blocks(items, threshold_percent, block_bytes):
+    for block in blocks(texts.withColumnRenamed("number", "item_id"), threshold_percent, block_bytes):
         shipped = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shipped=shipped):
@@ -144,17 +150,20 @@ def find(docs: DataFrame, items: DataFrame, threshold_percent: int = THRESHOLD_P
                     ids = common.column(part, "doc_id").to_pylist()
                     rows = [(ids[k], *hit) for k, t in enumerate(texts) for hit in own.search(t)]
                     yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)],
-                                                     names=["doc_id", "item_id", "n_shingles", "n_found"])
+                                                     names=["doc_id", "number", "n_shingles", "n_found"])
 
-        more = docs.mapInArrow(run, "doc_id long, item_id long, n_shingles long, n_found long")
+        more = docs.mapInArrow(run, "doc_id long, number long, n_shingles long, n_found long")
         found = more if found is None else found.unionByName(more)
-    return found
+    # Back from texts to the benchmark's rows: those of an id and a text as often as they are there.
+    rows = texts.join(items, "text").select("number", "item_id", "rows")
+    return found.join(rows, "number").withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select("doc_id", "item_id", "n_shingles", "n_found")
 
 
 def remove(docs: DataFrame, items: DataFrame, threshold_percent: int = THRESHOLD_PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs that hold no item."""
     common.find_library(docs.sparkSession)
-    for block in blocks(items, threshold_percent, block_bytes):
+    texts = common.staged(_columns(items).filter("text IS NOT NULL").select("text").distinct().withColumn("item_id", F.lit(0).cast("long")), "item_texts")
+    for block in blocks(texts, threshold_percent, block_bytes):
         shipped = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shipped=shipped):

@@ -63,3 +63,14 @@ def test_awkward_and_empty(awkward, no_docs, spark):
     assert decontam.find(no_docs, items).count() == 0
     assert decontam.find(awkward, items.limit(0)).count() == 0
     assert decontam.remove(awkward, items.limit(0)).count() == awkward.count()
+
+
+def test_repeated_items_stay_in_bounded_blocks(spark, monkeypatch):
+    sizes, init = [], decontam.Block.__init__
+    monkeypatch.setattr(decontam.Block, "__init__", lambda self, rows, *a: sizes.append(len(rows)) or init(self, rows, *a))
+    items = [(1, "one two three four five six")] * 500 + [(2, "one two three four five six"), (3, "seven eight nine ten eleven")]
+    docs = [(10, "zero one two three four five six"), (11, "nothing of these words is there")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    assert sorted(tuple(r) for r in decontam.find(d, i).collect()) == brute(docs, items)
+    assert [r["doc_id"] for r in decontam.remove(d, i).collect()] == [11]
+    assert sizes == [2, 2]
