@@ -305,5 +305,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """Rows of docs whose language is known: not ``und`` and with a score of at least ``min_score``."""
-    return _labelled(docs, train(docs), keep_rows=True, min_score=min_score)
+    """Rows of docs whose language is known: not ``und`` and with a score of at least ``min_score``.
+    All rows, if there was no labelled row to learn from."""
+    model = train(docs)
+    return docs if model is None else _labelled(docs, model, keep_rows=True, min_score=min_score)

@@ -89,3 +89,8 @@ def test_no_letter_is_und(spark, text, small_docs):
     model = langid.train(small_docs)
     r = langid.predict(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
     assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+
+
+def test_documents_stay_if_nothing_could_be_learned(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, None, None)], "doc_id long, text string, lang string")
+    assert sorted(langid.keep_known(docs).collect()) == sorted(docs.collect())
