@@ -96,11 +96,11 @@ def _distinct(data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, list[byte
     return found.indices.to_numpy(), found.dictionary.to_pylist()
 
 
-def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def word_codes(texts: list[bytes], apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(number of each word, words of each text, the distinct words by number): the runs
-    between ASCII white space, of all texts in a row."""
+    between bytes that lie apart (a table; ASCII white space), of all texts in a row."""
     raw = np.frombuffer(b" ".join(texts), np.uint8)
-    space = _SPACE[raw]
+    space = apart[raw]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     limits = np.cumsum([0] + [len(t) + 1 for t in texts])
