@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, decontam, langid, licences, lm, packing, pii, quality, simhash, tokenfile
+from . import clustering, counting, decontam, divergence, langid, licences, lm, neighbours, packing, pii, quality, simhash, tokenfile
 from .common import documents
 
 
@@ -52,6 +52,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(embeddings(spark, sf_dir))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(embeddings(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing,
     op2_benchmark_decontamination,
@@ -63,9 +79,14 @@ QUERIES = {f.__name__: f for f in (
     op8_token_counts,
     op9_license_scans,
     op10_language_id,
+    op11_nearest_neighbours,
+    op12_source_divergence,
+    op13_centroid_clustering,
 )}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_benchmark_decontamination": decontam.SQL,
     "op3_quality_rules": quality.SQL,
+    "op12_source_divergence": divergence.SQL,
+    "op13_centroid_clustering": clustering.SQL,
 }
