@@ -51,13 +51,18 @@ def bm25_score(toks: Column, terms: list[str], stats: dict, k1: float = K1, b: f
                tfs: list[Column] | None = None) -> Column:
     """Per-row BM25 score of a token-array column for the query terms (0 if
     no match). ``tfs`` may pass precomputed term-frequency columns."""
-    dl = F.size(toks).cast("double")
+    if tfs is None:
+        tfs = [_tf(toks, t).cast("double") for t in terms]
+    return bm25_sum(F.size(toks).cast("double"), tfs, stats, k1, b)
+
+
+def bm25_sum(dl: Column, tfs: list[Column], stats: dict, k1: float = K1, b: float = B) -> Column:
+    """BM25 score from a row's length and its frequency of each query term."""
     avgdl = stats["avgdl"] or 1.0
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / F.lit(avgdl))
     total = F.lit(0.0)
-    for i, (term, dfreq) in enumerate(zip(terms, stats["df"])):
+    for tf, dfreq in zip(tfs, stats["df"]):
         idf = math.log(1.0 + (stats["N"] - dfreq + 0.5) / (dfreq + 0.5))
-        tf = tfs[i] if tfs is not None else _tf(toks, term).cast("double")
         total = total + F.lit(idf) * tf * F.lit(k1 + 1.0) / (tf + norm)
     return F.coalesce(total, F.lit(0.0))
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake import schemas
 from aerolake.functions.labels import delay_class, prediction_label
-from aerolake.operators import joins, ml, relevance, rollups, search
+from aerolake.operators import joins, ml, pages, relevance, rollups, search, term_table
 from aerolake.operators import requests as rq
 from aerolake.plans.context import ROUTE_MAX_ROWS, Tables
 from aerolake.session import shared_path, spread
@@ -62,6 +62,11 @@ KEYSET_AFTER_NULL = {"FlightDate": dt.date(1995, 6, 1), "DepTime": None, "Carrie
 KEYSET_AFTER = {"FlightDate": dt.date(1995, 6, 1), "DepTime": "1200", "Carrier": "BUILDING",
                 "FlightNum": "50", "FlightId": "8"}
 KEYSET_SIZE = 50
+TOP_K = 100
+#: Sorted pages by offset: this many rows, and (of one carrier) from this row on.
+PAGE_AT_SIZE = 50
+PAGE_CARRIER = "BUILDING"
+CARRIER_PAGE_AT = 500
 RESULT_DAY = "2024-01-15"
 LOOKUP_UUID_EVENT = 123
 CATEGORY_COLUMNS = ["Carrier", "Origin", "Dest", "Route"]
@@ -235,6 +240,31 @@ def q_match_relevance_documents(spark, sf):
     return relevance.scored(docs, "text", DOCUMENT_QUERY).drop("text")
 
 
+@register("match_top_k")
+def q_match_top_k(spark, sf):
+    """The best documents of a text search, from the term table alone (FIL7)."""
+    return term_table.top_k(spark, Tables(spark, sf).document_terms(), DOCUMENT_QUERY, TOP_K, id_col="doc_id")
+
+
+@register("match_terms_documents")
+def q_match_terms_documents(spark, sf):
+    """All documents of a text search, from the term table alone (FIL7)."""
+    return term_table.matches(spark, Tables(spark, sf).document_terms(), DOCUMENT_QUERY, id_col="doc_id")
+
+
+@register("flights_page_at")
+def q_flights_page_at(spark, sf):
+    """A page by its offset, half-way through the sorted flights (LIM1, SRT3)."""
+    t = Tables(spark, sf)
+    return pages.page_at(spark, t.flight_pages(), t.flights.count() // 2, PAGE_AT_SIZE)
+
+
+@register("search_page_at")
+def q_search_page_at(spark, sf):
+    """A page by its offset among one carrier's flights, sorted (FIL3, LIM1)."""
+    return pages.page_at(spark, Tables(spark, sf).carrier_pages(), CARRIER_PAGE_AT, PAGE_AT_SIZE, {"Carrier": PAGE_CARRIER})
+
+
 @register("flights_page_keyset")
 def q_flights_page_keyset(spark, sf):
     return search.keyset_page(Tables(spark, sf).flights, KEYSET_SORT, KEYSET_AFTER, KEYSET_SIZE)

@@ -6,13 +6,16 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolake.operators import requests as rq, rollups
+from aerolake.operators import pages, requests as rq, rollups, term_table
+from aerolake.session import spread
 from aerolake.sources import fixtures
 from aerolake.sources.materialize import cached_model, materialize, materialize_path
 from aerolake.sources.tables import read_table
 
 #: Routes up to which the stored route table (three short columns) is broadcast: some 10 MB.
 ROUTE_MAX_ROWS = 200_000
+#: Order of the flight pages (a total one).
+PAGE_SORT = ["FlightDate", "DepTime", "Carrier", "FlightNum", "FlightId"]
 FLIGHT_INPUTS = ["lineitem", "orders", "customer", "supplier", "part", "nation"]
 
 
@@ -101,6 +104,21 @@ class Tables:
         return materialize_path(self.spark, "prediction_results", self.paths("events", *FLIGHT_INPUTS),
                                 lambda: self.tasks, write=lambda to: rq.store_results(ml.score(self.classifier(), self.tasks), to))
 
+    def document_terms(self) -> str:
+        """The term table of the documents' texts."""
+        return materialize_path(self.spark, "document_terms", self.paths("documents"), lambda: None,
+                                write=lambda to: term_table.build(spread(self.table("documents")), "doc_id", "text", to))
+
+    def flight_pages(self) -> str:
+        """The flights in the order of the flight pages."""
+        return materialize_path(self.spark, "flight_pages", self.paths(*FLIGHT_INPUTS), lambda: None,
+                                write=lambda to: pages.build(self.flights, PAGE_SORT, to))
+
+    def carrier_pages(self) -> str:
+        """The flights of each carrier in the order of the flight pages."""
+        return materialize_path(self.spark, "carrier_pages", self.paths(*FLIGHT_INPUTS), lambda: None,
+                                write=lambda to: pages.build(self.flights, PAGE_SORT, to, within=["Carrier"]))
+
     @cached_property
     def parsed(self) -> DataFrame:
         return rq.parse_requests(self.requests, keep=["event_id", "ts"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 from aerolake.operators.relevance import B, K1
 from aerolake.operators.rollups import python_tokens
 from aerolake.plans import catalog as C
+from aerolake.plans.context import PAGE_SORT
 
 VIEWS: dict[str, str] = {}
 DEPENDS: dict[str, list[str]] = {}
@@ -424,3 +425,17 @@ ORACLE_SQL["search_airplanes_text"] = _text_search(
     "airplanes", C.AIRPLANE_TEXT_SEARCH, C.AIRPLANE_TEXT_FIELDS_ALL, AIRPLANE_COLS, "{score} DESC, t.TailNum", 50)
 ORACLE_SQL["search_flights_text"] = _text_search(
     "flights", C.FLIGHT_TEXT_SEARCH, C.FLIGHT_TEXT_FIELDS, FLIGHT_COLS, "t.FlightDate NULLS LAST, {score} DESC, t.FlightId", 50)
+
+# The tables behind these are built from the same rows that the SQL reads.
+ORACLE_SQL["match_terms_documents"] = ORACLE_SQL["match_relevance_documents"]
+_doc_cte, _doc_score, _doc_match = _bm25("documents", "text", C.DOCUMENT_QUERY)
+ORACLE_SQL["match_top_k"] = (
+    f"WITH {_doc_cte}\nSELECT doc_id, {_doc_score} AS score FROM bm_tok, bm_stats WHERE {_doc_match} "
+    f"ORDER BY {_doc_score[len('round('):-len(', 6)')]} DESC, doc_id LIMIT {C.TOP_K}")
+_PAGE_ORDER = ", ".join(f"{k} NULLS LAST" for k in PAGE_SORT)
+ORACLE_SQL["flights_page_at"] = _with("flights") + (
+    f"SELECT {FLIGHT_COLS} FROM (SELECT *, row_number() OVER (ORDER BY {_PAGE_ORDER}) - 1 AS pos, count(*) OVER () AS n FROM flights) "
+    f"WHERE pos >= n // 2 AND pos < n // 2 + {C.PAGE_AT_SIZE}")
+ORACLE_SQL["search_page_at"] = _with("flights") + (
+    f"SELECT {FLIGHT_COLS} FROM flights WHERE Carrier = '{C.PAGE_CARRIER}' ORDER BY {_PAGE_ORDER} "
+    f"LIMIT {C.PAGE_AT_SIZE} OFFSET {C.CARRIER_PAGE_AT}")
