@@ -439,3 +439,17 @@ ORACLE_SQL["flights_page_at"] = _with("flights") + (
 ORACLE_SQL["search_page_at"] = _with("flights") + (
     f"SELECT {FLIGHT_COLS} FROM flights WHERE Carrier = '{C.PAGE_CARRIER}' ORDER BY {_PAGE_ORDER} "
     f"LIMIT {C.PAGE_AT_SIZE} OFFSET {C.CARRIER_PAGE_AT}")
+
+# A request ends at the first silence after it: of the messages that nothing follows
+# within 20 s, the first from the request on; or at once, if its own 20 s stay empty.
+ORACLE_SQL["request_response_silence"] = _with("responses") + (
+    ", r AS (SELECT md5(cast(event_id AS varchar)) AS UUID, ts AS rq_ts FROM events), "
+    "m AS (SELECT rs_ts, lead(rs_ts) OVER (ORDER BY rs_ts) AS next_ts FROM (SELECT DISTINCT rs_ts FROM responses)), "
+    "gaps AS (SELECT rs_ts AS last_ts FROM m WHERE next_ts IS NULL OR next_ts - rs_ts > INTERVAL 20 SECOND), "
+    "a AS (SELECT r.*, m.rs_ts AS first_ts FROM r ASOF LEFT JOIN m ON r.rq_ts <= m.rs_ts), "
+    "e AS (SELECT UUID, rq_ts, CASE WHEN first_ts IS NULL OR first_ts - rq_ts > INTERVAL 20 SECOND THEN rq_ts ELSE last_ts END "
+    "+ INTERVAL 20 SECOND AS end_ts FROM a ASOF LEFT JOIN gaps ON a.rq_ts <= gaps.last_ts), "
+    "inside AS (SELECT e.UUID, e.rq_ts, s.prediction, s.rs_ts IS NOT NULL AS hit, row_number() OVER "
+    "(PARTITION BY e.UUID, e.rq_ts ORDER BY s.rs_ts, s.prediction) AS rn FROM e LEFT JOIN responses s "
+    "ON e.UUID = s.UUID AND s.rs_ts >= e.rq_ts AND s.rs_ts <= e.end_ts) "
+    "SELECT UUID, CASE WHEN hit THEN 'OK' ELSE 'TIMEOUT' END AS status, prediction FROM inside WHERE rn = 1")

@@ -18,6 +18,7 @@ from aerolake.sources.materialize import materialize_path
 from aerolake.session import shared_path, state_partitions
 from aerolake.streaming import correlate as corr
 from aerolake.streaming import scoring as sc
+from aerolake.streaming import silence
 from aerolake.streaming.topics import as_text, read_topic, topic_records
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -169,6 +170,17 @@ def q_request_response_stream(spark, sf):
     return res.where(F.col("UUID") != SENTINEL_UUID)
 
 
+@register("request_response_silence")
+def q_request_response_silence(spark, sf):
+    """Every request's end: its reply, or the first silence of 20 s on the reply topic."""
+    rq_path, rs_path = correlation_inputs(spark, Tables(spark, sf))
+    asked = spark.readStream.schema("UUID string, rq_ts timestamp").parquet(rq_path)
+    said = spark.readStream.schema("UUID string, rs_ts timestamp, prediction double").parquet(rs_path)
+    out = silence.await_replies(asked, said, silence_seconds=20)
+    res = spark.read.schema(out.schema).parquet(_run_to_parquet(spark, out, "request_silence", partitions=spark.sparkContext.defaultParallelism))
+    return res.where(F.col("UUID") != SENTINEL_UUID).select("UUID", "status", "prediction")
+
+
 @register("response_lookup_stream")
 def q_response_lookup_stream(spark, sf):
     """The reader side of the response topic (SRC7 + FIL8) as a stream: decode
