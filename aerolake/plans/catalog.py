@@ -22,6 +22,7 @@ from aerolake.operators import requests as rq
 from aerolake.plans.context import ROUTE_MAX_ROWS, Tables
 from aerolake.session import shared_path, spread
 from aerolake.sources.tables import append_table, read_jsonl, register_views, write_jsonl
+from aerolake.streaming import results
 from aerolake.streaming.topics import as_text, publish, topic_records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -389,6 +390,21 @@ def q_request_status(spark, sf):
     return joins.request_status(t.keyed_requests.select("UUID"), t.responses)
 
 
+@register("result_poll")
+def q_result_poll(spark, sf):
+    """The status page's call: one request's status and result (FIL6, JOIN3)."""
+    path = Tables(spark, sf).polled_results()
+    return _ts_text(results.poll(spark, f"{path}/store", f"{path}/index", _md5_text(LOOKUP_UUID_EVENT)))
+
+
+@register("result_poll_all")
+def q_result_poll_all(spark, sf):
+    """The same for every request."""
+    t = Tables(spark, sf)
+    path = t.polled_results()
+    return _ts_text(results.poll_many(spark, f"{path}/store", f"{path}/index", t.keyed_requests))
+
+
 @register("prediction_label")
 def q_prediction_label(spark, sf):
     t = Tables(spark, sf)

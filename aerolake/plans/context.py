@@ -7,10 +7,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake.operators import pages, requests as rq, rollups, term_table
+from aerolake.functions.labels import delay_class
+from aerolake.schemas import RESPONSE_FIELDS
 from aerolake.session import spread
 from aerolake.sources import fixtures
 from aerolake.sources.materialize import cached_model, materialize, materialize_path
 from aerolake.sources.tables import read_table
+from aerolake.streaming import results
+from aerolake.streaming.scoring import store_writer
 
 #: Routes up to which the stored route table (three short columns) is broadcast: some 10 MB.
 ROUTE_MAX_ROWS = 200_000
@@ -119,6 +123,18 @@ class Tables:
         return materialize_path(self.spark, "carrier_pages", self.paths(*FLIGHT_INPUTS), lambda: None,
                                 write=lambda to: pages.build(self.flights, PAGE_SORT, to, within=["Carrier"]))
 
+    def polled_results(self) -> str:
+        """A result store as a stream leaves it: four batches, the first three folded into
+        an index in two steps. (The rule's classes stand in for a model's.)"""
+        def write(to: str) -> None:
+            rows = self.enriched.withColumn("prediction", delay_class("DepDelay"))
+            for n in range(4):
+                own = rows.where(F.col("event_id") % 4 == n).select(*RESPONSE_FIELDS)
+                store_writer(f"{to}/store")(own, n)
+                if n in (0, 2):
+                    results.compact(self.spark, f"{to}/store", f"{to}/index", buckets=16)
+        return materialize_path(self.spark, "polled_results", self.paths("events", *FLIGHT_INPUTS), lambda: None, write=write)
+
     @cached_property
     def parsed(self) -> DataFrame:
         return rq.parse_requests(self.requests, keep=["event_id", "ts"])

@@ -453,3 +453,11 @@ ORACLE_SQL["request_response_silence"] = _with("responses") + (
     "(PARTITION BY e.UUID, e.rq_ts ORDER BY s.rs_ts, s.prediction) AS rn FROM e LEFT JOIN responses s "
     "ON e.UUID = s.UUID AND s.rs_ts >= e.rq_ts AND s.rs_ts <= e.end_ts) "
     "SELECT UUID, CASE WHEN hit THEN 'OK' ELSE 'TIMEOUT' END AS status, prediction FROM inside WHERE rn = 1")
+
+_POLL = _with("enriched") + (
+    ", asked AS (SELECT md5(cast(event_id AS varchar)) AS UUID FROM events) "
+    "SELECT a.UUID, CASE WHEN e.UUID IS NULL THEN 'WAIT' ELSE 'OK' END AS status, e.Origin, e.DayOfWeek, e.DayOfYear, e.DayOfMonth, e.Dest, "
+    f"e.DepDelay, {delay_class_sql('e.DepDelay')} AS prediction, strftime(e.\"Timestamp\", '%Y-%m-%dT%H:%M:%S') AS \"Timestamp\", "
+    "e.FlightDate, e.Carrier, e.Distance FROM asked a LEFT JOIN enriched e ON a.UUID = e.UUID")
+ORACLE_SQL["result_poll_all"] = _POLL
+ORACLE_SQL["result_poll"] = _POLL + f" WHERE a.UUID = md5('{C.LOOKUP_UUID_EVENT}')"
