@@ -8,11 +8,13 @@ ITEMS = "item_id long, text string"
 
 
 def brute(docs, items):
-    out = []
+    out, words = [], [(d, (x or "").encode().lower().split()) for d, x in docs]
+    held_by = {n: [(d, decontam.shingles_of(w, n) if len(w) >= n else set()) for d, w in words] for n in range(1, 6)}
     for i, t in items:
-        own = decontam.shingles_of((t or "").encode().lower().split())
-        for d, x in docs:
-            held = decontam.shingles_of((x or "").encode().lower().split())
+        own = (t or "").encode().lower().split()
+        n = min(5, len(own))
+        own = decontam.shingles_of(own)
+        for d, held in held_by.get(n, ()):
             if own and 100 * len(own & held) >= 80 * len(own):
                 out.append((d, i, len(own), len(own & held)))
     return sorted(out, key=str)
@@ -21,7 +23,7 @@ def brute(docs, items):
 def made(seed=6):
     rng = random.Random(seed)
     word = lambda: rng.choice("abcdefgh") + rng.choice("aeiou") * rng.randint(1, 2)
-    items = [(i, " ".join(word() for _ in range(rng.choice([3, 5, 6, 9, 20, 40, 90])))) for i in range(40)] + [(99, None), (98, ""), (None, "some item without id here"), (97, "a b")]
+    items = [(i, " ".join(word() for _ in range(rng.choice([2, 3, 4, 5, 6, 9, 20, 40, 90])))) for i in range(40)] + [(99, None), (98, ""), (None, "some item without id here"), (97, "a b")]
     docs = [(1000, None), (1001, ""), (1002, "a  B"), (None, "x some item WITHOUT id here y")]
     for d in range(300):
         text = [word() for _ in range(rng.choice([0, 3, 10, 100, 800]))]
@@ -37,15 +39,18 @@ def made(seed=6):
     return docs, items
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 1500])
-def test_against_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("bits", [28, 8])
+def test_against_brute_force(spark, monkeypatch, bits):
+    """Also with screens so small that they let almost everything pass."""
+    monkeypatch.setattr(decontam, "MOST_BITS", max(bits, 16))
+    monkeypatch.setattr(decontam, "BITS_PER_HASH", 32 if bits == 28 else 0.01)
     docs, items = made()
     want = brute(docs, items)
     assert len(want) > 50
     d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
-    got = sorted((tuple(r) for r in decontam.find(d, i, block_bytes=block_bytes).collect()), key=str)
+    got = sorted((tuple(r) for r in decontam.find(d, i).collect()), key=str)
     assert got == want
-    kept = sorted((tuple(r) for r in decontam.remove(d, i, block_bytes=block_bytes).collect()), key=str)
+    kept = sorted((tuple(r) for r in decontam.remove(d, i).collect()), key=str)
     hit = {x[0] for x in want}
     assert kept == sorted((x for x in docs if x[0] not in hit), key=str)
 
@@ -65,12 +70,53 @@ def test_awkward_and_empty(awkward, no_docs, spark):
     assert decontam.remove(awkward, items.limit(0)).count() == awkward.count()
 
 
-def test_repeated_items_stay_in_bounded_blocks(spark, monkeypatch):
-    sizes, init = [], decontam.Block.__init__
-    monkeypatch.setattr(decontam.Block, "__init__", lambda self, rows, *a: sizes.append(len(rows)) or init(self, rows, *a))
+def test_repeated_items(spark):
     items = [(1, "one two three four five six")] * 500 + [(2, "one two three four five six"), (3, "seven eight nine ten eleven")]
     docs = [(10, "zero one two three four five six"), (11, "nothing of these words is there")]
     d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    given = decontam.Benchmark(i)
+    assert given.texts.count() == 2
     assert sorted(tuple(r) for r in decontam.find(d, i).collect()) == brute(docs, items)
     assert [r["doc_id"] for r in decontam.remove(d, i).collect()] == [11]
-    assert sizes == [2, 2]
+
+
+def test_short_items_inside_long_documents(spark):
+    items = [(1, "Capital of France Paris"), (2, "blue"), (3, "so-called  test item"), (4, "of France"), (5, "one two three four five"), (6, "not there")]
+    long = "filler text " * 300
+    docs = [(1, long + "that the capital of france Paris is big " + long), (2, "capital of France, Paris"), (3, "Blue"), (4, "bluer than blues"),
+            (5, "so-called\n test\titem"), (6, "a one two three four"), (7, "one two three four five"), (8, "of"), (9, None)]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    got = sorted(tuple(r) for r in decontam.find(d, i).collect())
+    assert [r[:2] for r in got] == [(1, 1), (1, 4), (3, 2), (5, 3), (7, 5)] and got == brute(docs, items)
+    assert sorted(r["doc_id"] for r in decontam.remove(d, i).collect()) == [2, 4, 6, 8, 9]
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("documents", d.toArrow())
+    con.register("benchmark", i.toArrow())
+    assert sorted(con.execute(decontam.SQL).fetchall()) == got
+
+
+def test_clashing_columns_of_both_tables(spark, awkward):
+    docs = awkward.select("*", *[awkward["source"].alias(c) for c in ("row", "held", "runs", "shingle", "number")])
+    items = spark.createDataFrame([(1, "one two three four five six. One two!", "?", "?", "?")], ITEMS + ", number string, rows string, sketch string")
+    assert sorted(r["doc_id"] for r in decontam.find(docs, items).collect()) == [1, 1, 8]
+    out = decontam.remove(docs, items)
+    assert out.columns == docs.columns and out.count() == docs.count() - 3
+
+
+def test_pieces_lose_no_run_of_words():
+    text = b" ".join(str(k).encode() for k in range(3000)) + b"  \n x" * 50 + b"y" * 700
+    whole = decontam.shingles_of(text.split())
+    parts = list(decontam.pieces(text, 100))
+    assert len(parts) > 50 and set().union(*(decontam.shingles_of(p.split()) for p in parts)) >= whole
+    assert set().union(*({s for s in decontam.shingles_of(p.split()) if len(s) == 5} for p in parts)) == whole
+
+
+def test_screen_holds_all_hashes(spark):
+    rows = spark.range(5000).selectExpr("xxhash64(id) AS hash")
+    screen = decontam.screen_of(rows, 5000)
+    import numpy as np
+
+    h = np.array([r["hash"] for r in rows.collect()]).view(np.uint64)
+    assert len(screen.may_hold(h)) == 5000 and len(screen.may_hold(h ^ np.uint64(0x5555))) < 100
