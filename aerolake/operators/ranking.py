@@ -18,7 +18,6 @@ from aerolake.session import checkpoint_root
 
 # Offsets tables up to this size are broadcast; larger ones are shuffle-joined.
 OFFSETS_MAX_ROWS = 1_000_000
-_POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
 
 def ranked(df: DataFrame, group: str, order: list[Column], out: str = "idx",

@@ -139,16 +139,10 @@ def cached_model(spark: SparkSession, name: str, inputs: list[str], train: Calla
     from pyspark.ml import PipelineModel
     path = _artifact(spark, "models", name, inputs)
     key = (spark.sparkContext.applicationId, path)
-    with _lock(path):
-        if key in _loaded:
-            return _loaded[key]
-        try:
-            model = PipelineModel.load(path)
-        except Exception:  # noqa: BLE001 - missing or incomplete artifact
-            model = train()
-            model.write().overwrite().save(path)
-        _loaded[key] = model
-        return model
+    if key not in _loaded:
+        build = _build(spark, path, lambda to: train().write().save(to))  # published by pointer, as tables are
+        _loaded[key] = PipelineModel.load(build)
+    return _loaded[key]
 
 
 # Models loaded in this application, by artifact path (a path names one fit:

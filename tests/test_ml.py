@@ -135,3 +135,30 @@ def test_hash_split_deterministic_and_complete(spark):
     assert a1.join(b1, "FlightId").count() == 0
     assert sorted(r[0] for r in b1.select("FlightId").collect()) == sorted(r[0] for r in b2.select("FlightId").collect())
     assert 0.15 < b1.count() / fl.count() < 0.25
+
+
+def test_cached_model_is_published_by_pointer(spark):
+    """A half-written model is never met: readers follow the pointer, errors of a build are not hidden."""
+    from aerolake.sources import materialize as M
+
+    t = Tables(spark, SF_SMALL)
+    inputs = t.paths("lineitem")
+    name = f"test_model_{id(t)}"
+    fits = []
+
+    def train():
+        fits.append(1)
+        return ml.train_classifier(ml.training_frame(t.flights), num_trees=2)
+
+    def broken():
+        raise RuntimeError("no data")
+
+    with pytest.raises(RuntimeError, match="no data"):
+        M.cached_model(spark, name, inputs, broken)
+    first = M.cached_model(spark, name, inputs, train)
+    path = M._artifact(spark, "models", name, inputs)
+    assert M._published(spark, path).startswith(f"{path}/build-")
+    M._loaded.clear()
+    M._builds.pop(path)  # another application
+    again = M.cached_model(spark, name, inputs, train)
+    assert fits == [1] and again.uid == first.uid
