@@ -153,9 +153,9 @@ def parse_responses(msgs: DataFrame, value_col: str = "value") -> DataFrame:
     return msgs.select(*keep, F.from_json(F.col(value_col), schemas.RESPONSE).alias("r")).select(*keep, "r.*")
 
 
-def response_lookup(msgs: DataFrame, uuid: str, value_col: str = "value") -> DataFrame:
-    """Messages whose JSON value is an object with this UUID; the first one
-    (FIL8). Order is the topic's (offset), given as ``order``-free limit in a
-    stream; batch callers sort first."""
-    hit = F.get_json_object(F.col(value_col), "$.UUID") == F.lit(uuid)
-    return msgs.where(hit).limit(1)
+def response_lookup(msgs: DataFrame, uuid: str, value_col: str = "value", order: list[str] | None = None) -> DataFrame:
+    """The first message whose JSON value is an object with this UUID (FIL8): first in
+    ``order`` (a topic's position or time columns) for a batch; a stream, read in the
+    topic's order, gives none."""
+    found = msgs.where(F.get_json_object(F.col(value_col), "$.UUID") == F.lit(uuid))
+    return (found.orderBy(*order) if order else found).limit(1)

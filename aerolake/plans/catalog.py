@@ -375,9 +375,9 @@ def q_response_messages(spark, sf):
 
 @register("response_lookup")
 def q_response_lookup(spark, sf):
-    msgs = rq.response_messages(_rule_scored(Tables(spark, sf)))
-    uuid = _md5_text(LOOKUP_UUID_EVENT)
-    return _ts_text(rq.parse_responses(rq.response_lookup(msgs, uuid)))
+    msgs = rq.response_messages(_rule_scored(Tables(spark, sf)), keep=["Timestamp"])
+    first = rq.response_lookup(msgs, _md5_text(LOOKUP_UUID_EVENT), order=["Timestamp", "value"])
+    return _ts_text(rq.parse_responses(first.select("key", "value")))
 
 
 def _md5_text(n: int) -> str:

@@ -115,3 +115,13 @@ def test_message_time_stamp_keeps_microseconds(spark):
     text = df.select(messages.to_message("UUID", "Timestamp").alias("v"))
     back = text.select(F.from_json("v", schemas.REQUEST).alias("m")).select("m.Timestamp").first()[0]
     assert back == ts
+
+
+def test_first_of_several_replies_in_topic_order(spark):
+    from aerolake.operators import requests as rq
+
+    rows = [("k", '{"UUID":"u","n":3}', 0, 3), ("k", '{"UUID":"u","n":1}', 0, 1), ("k", '["u"]', 0, 0), ("k", '{"UUID":"v"}', 0, 0), ("k", "broken", 0, 0), ("k", None, 0, 0)]
+    msgs = spark.createDataFrame(rows, "key string, value string, partition int, offset long")
+    assert [r["offset"] for r in rq.response_lookup(msgs, "u", order=["partition", "offset"]).collect()] == [1]
+    assert rq.response_lookup(msgs, "w", order=["offset"]).count() == 0
+    assert rq.response_lookup(msgs, "u").count() == 1
