@@ -11,12 +11,16 @@ last token before it, so the next state is determined.
 
 Where pre-tokens begin follows from a bounded neighbourhood of characters; there the state
 returns to the start. Texts are cut into chunks that all run at once. A chunk's state map is
-constant after its first pre-token start, and what lies before that start is run from the
-state that a scan over the chunks carries to it.
+constant after its first pre-token start. A chunk without such a start is open: its map is
+made for the states it can meet (equal chunks share one map), and the maps of neighbouring
+open chunks are composed by a parallel prefix scan, in as many steps as the logarithm of
+their number. What lies before a chunk's first start is then run from the state found.
 
 Defined cases: a null or empty text has no bytes and no tokens; special tokens inside a
 text count one each, as the library takes them; repeated rows are counted row by row; an
-empty table gives an empty result. Texts are counted whole.
+empty table gives an empty result. Texts are counted whole; long ones pass through in
+windows, each from the state in which the one before ended, so that the memory for the
+work on a text does not grow with its length. Other columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +37,10 @@ from . import common
 
 LIMIT = 1024
 CHUNK = 256
+#: Characters of a long text worked on at a time, and those around a window that decide
+#: where pre-tokens start in it (the rules look at most three characters either way).
+WINDOW = 1 << 19
+CONTEXT = 8
 #: States kept in a task's table; beyond this it is compiled anew (results don't change).
 MAX_STATES = 120_000
 
@@ -141,7 +149,11 @@ class Transducer:
         else:
             raise AssertionError("no token ends here")
         emitted = ahead + 1
-        key = tuple((n, b, a - emitted) for n, b, a in grown if n in v.continues), token
+        to = self.adopt((tuple((n, b, a - emitted) for n, b, a in grown if n in v.continues), token))
+        self.table[state, column] = (to << 8) + emitted + 128
+
+    def adopt(self, key: tuple) -> int:
+        """Number of a state, given what it holds."""
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
@@ -150,7 +162,7 @@ class Transducer:
                 more = np.full((len(self.table), self.width), -1, np.int32)
                 more[:, 0] = (np.arange(len(self.table), 2 * len(self.table)) << 8) + 128
                 self.table = np.concatenate([self.table, more])
-        self.table[state, column] = (to << 8) + emitted + 128
+        return to
 
     def step(self, state: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(next states, emitted tokens)."""
@@ -161,19 +173,19 @@ class Transducer:
             value = self.table[state, column]
         return (value >> 8).astype(np.int64), (value & 255) - 128
 
-    def count(self, raw: np.ndarray, starts: np.ndarray, lens: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
-        """Tokens of each text: raw bytes of all in a row, where pre-tokens start, bytes of each."""
-        if len(self.states) > MAX_STATES:
-            self._clear()
+    def count(self, raw: np.ndarray, starts: np.ndarray, lens: np.ndarray, chunk: int = CHUNK, carried: int = _START) -> tuple[np.ndarray, int]:
+        """(tokens of each text, state after the last): raw bytes of all in a row, where
+        pre-tokens start, bytes of each. The first text goes on from the state ``carried``
+        unless a pre-token starts with it."""
         if not len(raw):
-            return np.zeros(len(lens), np.int64)
+            return np.zeros(len(lens), np.int64), carried
         pieces = -(-lens // chunk)
         first = np.cumsum(pieces) - pieces
         text = np.repeat(np.arange(len(lens)), lens)
         within = np.arange(len(raw)) - np.repeat(np.cumsum(lens) - lens, lens)
         lane, place = first[text] + within // chunk, within % chunk
         total = int(pieces.sum())
-        columns, reset = np.zeros((chunk, total), np.int64), np.zeros((chunk, total), bool)
+        columns, reset = np.zeros((chunk, total), np.int32), np.zeros((chunk, total), bool)
         columns[place, lane], reset[place, lane] = self.columns_of(raw), starts
         emitted = np.zeros(total, np.int64)
         # All chunks at once, each from its first pre-token start on.
@@ -182,22 +194,74 @@ class Transducer:
             state, n = self.step(np.where(reset[k], _START, state), columns[k])
             emitted += n
         head = np.where(reset.any(0), reset.argmax(0), np.bincount(lane, minlength=total))
-        # The scan: a chunk's head runs from the state its predecessor ends in.
-        begins = np.zeros(total, bool)
-        begins[first[pieces > 0]] = True
-        waiting = np.flatnonzero((head > 0) & ~begins)
-        while len(waiting):
-            ready = state[waiting - 1] != _OPEN
-            now, waiting = waiting[ready], waiting[~ready]
-            now = now[np.argsort(-head[now], kind="stable")]
-            own = state[now - 1].copy()
-            for k in range(int(head[now[0]])):
-                live = int(np.searchsorted(-head[now], -k, "left"))
-                own[:live], n = self.step(own[:live], columns[k, now[:live]])
-                emitted[now[:live]] += n
-            through = state[now] == _OPEN
-            state[now[through]] = own[through]
-        return np.bincount(np.repeat(np.arange(len(lens)), pieces), weights=emitted, minlength=len(lens)).astype(np.int64)
+        lanes = np.flatnonzero(state == _OPEN)
+        if len(lanes):
+            self._scan(lanes, columns, state, emitted, carried)
+        # Every chunk's end is known now: heads run from the ends of their predecessors.
+        now = np.flatnonzero((head > 0) & reset.any(0))
+        now = now[np.argsort(-head[now], kind="stable")]
+        own = np.where(now > 0, state[now - 1], carried)
+        for k in range(int(head[now].max(initial=0))):
+            live = int(np.searchsorted(-head[now], -k, "left"))
+            own[:live], n = self.step(own[:live], columns[k, now[:live]])
+            emitted[now[:live]] += n
+        counts = np.bincount(np.repeat(np.arange(len(lens)), pieces), weights=emitted, minlength=len(lens)).astype(np.int64)
+        return counts, int(state[-1])
+
+    def _maps(self, contents: np.ndarray, after: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """State maps of different open chunks: (keys in order, end, emitted tokens), where
+        a key is chunk << 32 | entry state. ``after`` lists (chunk, a chunk that follows it);
+        the entries grow from those given until every end that a follower can meet is one
+        of its entries."""
+        known, ends, counts = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        begins = np.searchsorted(after[:, 0], np.arange(len(contents) + 1))
+        fresh = np.unique(keys)
+        while len(fresh):
+            own, state, n = contents[fresh >> 32], fresh & 0xFFFFFFFF, np.zeros(len(fresh), np.int64)
+            for k in range(own.shape[1]):
+                state, more = self.step(state, own[:, k])
+                n += more
+            order = np.argsort(all_keys := np.concatenate([known, fresh]))
+            known, ends, counts = all_keys[order], np.concatenate([ends, state])[order], np.concatenate([counts, n])[order]
+            c = fresh >> 32
+            many = begins[c + 1] - begins[c]
+            at = np.repeat(begins[c] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            fresh = np.setdiff1d(after[at, 1] << 32 | np.repeat(state, many), known)
+        return known, ends, counts
+
+    def _scan(self, lanes: np.ndarray, columns: np.ndarray, state: np.ndarray, emitted: np.ndarray, carried: int):
+        """Run the open chunks ``lanes`` (ascending): composes the maps of each row of open
+        neighbours by doubling; fills in the row's end state and tokens (at its last chunk)."""
+        contents, kind = np.unique(np.ascontiguousarray(columns[:, lanes].T), axis=0, return_inverse=True)
+        kind = kind.reshape(-1).astype(np.int64)
+        head = np.concatenate([[True], np.diff(lanes) != 1])
+        tail = np.concatenate([head[1:], [True]])
+        inner = np.flatnonzero(~tail)
+        after = np.unique(np.stack([kind[inner], kind[inner + 1]], 1), axis=0)
+        entry = np.where(lanes[head] > 0, state[lanes[head] - 1], carried)
+        # The true entries of the first chunks; for those inside a row, where a pre-token that
+        # began with the chunk before would be: later bytes mostly decide, so few more are met.
+        known, ends, counts = self._maps(contents, after, np.concatenate([kind[head] << 32 | entry, np.unique(after[:, 0]) << 32 | _START]))
+        # A node for each chunk and entry of its map; it leads to the next chunk's entry.
+        begins = np.searchsorted(known >> 32, np.arange(len(contents) + 1))
+        size = (begins[1:] - begins[:-1])[kind]
+        base = np.cumsum(size) - size
+        chunk = np.repeat(np.arange(len(lanes)), size)
+        key = begins[kind][chunk] + np.arange(len(chunk)) - base[chunk]
+        last = tail[chunk]
+        follower = np.where(last, chunk, np.minimum(chunk + 1, len(lanes) - 1))
+        to = np.searchsorted(known, kind[follower] << 32 | ends[key])
+        leads = np.where(last, np.arange(len(chunk)), base[follower] + to - begins[kind[follower]])
+        tokens = np.where(last, 0, counts[key])
+        rows = np.flatnonzero(head)
+        longest = int(np.diff(np.concatenate([rows, [len(lanes)]])).max())
+        for _ in range((longest - 1).bit_length()):
+            tokens, leads = tokens + tokens[leads], leads[leads]
+        node = base[rows] + np.searchsorted(known, kind[rows] << 32 | entry) - begins[kind[rows]]
+        final = leads[node]
+        at = lanes[tail]
+        state[at] = ends[key[final]]
+        emitted[at] += tokens[node] + counts[key[final]]
 
 
 class Splitter:
@@ -272,17 +336,57 @@ class Counter:
         self.vocabulary = Vocabulary(path)
         self.splitter, self.transducer = Splitter(path), Transducer(self.vocabulary)
 
-    def count(self, texts: list[bytes], chunk: int = CHUNK) -> np.ndarray:
+    def count(self, texts: list[bytes], chunk: int = CHUNK, window: int = WINDOW) -> np.ndarray:
         special = self.vocabulary.special
-        parts, owner, extra = [], [], np.zeros(len(texts), np.int64)
+        parts, owner, out = [], [], np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
-            own = special.split(t) if special else [t]
-            extra[i] = len(own) - 1
-            parts += [p.decode("utf-8", "replace") for p in own]
-            owner += [i] * len(own)
-        raw, starts, lens = self.splitter.starts(parts)
-        found = self.transducer.count(raw, starts, lens, chunk)
-        return extra + np.bincount(owner, weights=found, minlength=len(texts)).astype(np.int64) if len(texts) else extra
+            at = 0
+            for hit in [*(special.finditer(t) if special else ()), None]:
+                part = t[at:hit.start() if hit else len(t)]
+                if hit:
+                    out[i] += 1
+                    at = hit.end()
+                if len(part) > window:
+                    out[i] += self._count_long(part, chunk, window)
+                else:
+                    parts.append(part.decode("utf-8", "replace"))
+                    owner.append(i)
+        self._make_room()
+        found, _ = self.transducer.count(*self.splitter.starts(parts), chunk)
+        np.add.at(out, owner, found)
+        return out
+
+    def _make_room(self):
+        if len(self.transducer.states) > MAX_STATES:
+            self.transducer._clear()
+
+    def _count_long(self, data: bytes, chunk: int, window: int) -> int:
+        """Tokens of one long text, window after window."""
+        self._make_room()
+        around = 4 * CONTEXT  # a character has at most four bytes
+        count, state, at = 0, _START, 0
+        while at < len(data):
+            end = _character(data, min(at + window, len(data)))
+            left, right = _character(data, max(at - around, 0)), _character(data, min(end + around, len(data)))
+            raw, starts, _ = self.splitter.starts([data[left:right].decode("utf-8", "replace")])
+            if len(raw) != right - left:  # not UTF-8: what can't be read is replaced, as in short texts
+                return self._count_long(data.decode("utf-8", "replace").encode(), chunk, window)
+            own = slice(at - left, end - left)
+            if len(self.transducer.states) > MAX_STATES:
+                # The table is compiled anew; the carried state goes with it.
+                kept = self.transducer.states[state] if state else None
+                self.transducer._clear()
+                state = self.transducer.adopt(kept) if kept else _START
+            n, state = self.transducer.count(raw[own], starts[own], np.array([end - at]), chunk, state)
+            count, at = count + int(n[0]), end
+        return count
+
+
+def _character(data: bytes, at: int) -> int:
+    """The first character border from ``at`` on."""
+    while at < len(data) and data[at] & 0xC0 == 0x80:
+        at += 1
+    return at
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
