@@ -25,20 +25,19 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return new.distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """edges(a, b) -> (node, component): each node of an edge with the least node it can
     reach. Edges never grow in number: each round writes them once to the shared folder
-    and ends when no edge changed. Nulls and loops are dropped.
+    and the last is the one that changed no edge. Nodes only ever move to lesser ones, so
+    the rounds end by themselves, however long a chain is. Nulls and loops are dropped.
     """
     edges = common.staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
-    for _ in range(max_rounds):
+    while True:
         edges = common.staged(_star(_star(edges, small=False), small=True), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
