@@ -5,11 +5,15 @@ sequence length are cut. Pieces are dealt into partitions and each partition is
 best-fit decreasing. Dual-feasible functions give a lower bound of the bins each
 partition needs: where the bound equals the bins used, the partition is certified and
 rests. Partitions with a gap give up the pieces of their bins with free space, exchange
-them by dealing them anew, and pack them again, until no bin is saved or all are certified.
-
-Defined cases: a null or empty text is one piece that holds only the end id; repeated
-rows are packed once each; a null doc_id is packed like any other; an empty table
-gives an empty result.
+them by dealing them anew, and pack them again, until all are certified or several deals
+in a row have saved no bin. Every piece tells the bins and the bound of the partition it
+was packed in, and so whether they are certified; a single partition with a gap has
+nobody to exchange with.
+
+Defined cases: a null or empty text is one piece that holds only the end id; a long text
+is cut into as many pieces as it needs; repeated rows are packed once each; a null doc_id
+is packed like any other; equal lengths are placed in the order of their rows; an empty
+table gives an empty result; other columns of the table are not read.
 """
 
 import numpy as np
@@ -24,7 +28,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces in a partition: a task holds these few numbers of each, however long the texts are.
 PER_PARTITION = 20_000
-MAX_EXCHANGES = 4
+#: Deals in a row that save no bin before the exchange ends.
+PATIENCE = 2
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -146,36 +151,44 @@ def _state(placed: DataFrame, capacity: int) -> tuple[int, int, int, int]:
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PARTITION,
-         max_exchanges: int = MAX_EXCHANGES) -> DataFrame:
-    """Place pieces(doc_id, piece, ..., length): adds sequence_id and offset.
-
-    ``per_partition`` bounds what one task packs; ``max_exchanges`` bounds the rounds.
-    Pieces that fill a sequence need no packing.
+         patience: int = PATIENCE) -> DataFrame:
+    """Place pieces(doc_id, piece, ..., length): adds sequence_id and offset, and of the
+    partition that the piece was packed in bins, bound and certified (bins = bound).
+
+    ``per_partition`` bounds what one task packs; the exchange ends when no two partitions
+    have a gap or ``patience`` deals in a row saved no bin (0: no exchange). Pieces that
+    fill a sequence need no packing; bins that were filled when their partition gave up
+    the others rest as they are, certified by the tokens they hold.
     """
     cut = common.staged(cut.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    full = cut.filter(F.col("length") == capacity).select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    whole = [F.lit(1).cast("long").alias("bins"), F.lit(1).cast("long").alias("bound")]
+    full = cut.filter(F.col("length") == capacity).select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *whole)
     items = cut.filter(F.col("length") < capacity).select("uid", "length")
     parts = common.spread_by_size(items, items.count(), per_partition)
-    done = []
+    resting = []
     current = common.staged(_pack_parts(items, 0, parts, capacity), "packed")
-    for round_no in range(1, max_exchanges + 1):
-        bins, bound, gaps, given = _state(current, capacity)
+    round_no, saved_nothing = 0, 0
+    while saved_nothing < patience:
+        _, _, gaps, given = _state(current, capacity)
         if gaps < 2 or not given:
             break
+        round_no += 1
         released = (F.col("bins") > F.col("bound")) & (F.col("fill") < capacity)
         given_bins = current.filter(released).groupBy("part", "bin").count().count()
         parts = common.spread_by_size(items, given, per_partition)
         again = common.staged(_pack_parts(current.filter(released).select("uid", "length"), round_no, parts, capacity), "packed")
         if _state(again, capacity)[0] >= given_bins:
-            break
-        done.append(current.filter(~released))
+            saved_nothing += 1  # the packing before stays; the next deal is another one
+            continue
+        saved_nothing = 0
+        resting.append(current.filter(~released))
         current = again
-    done.append(current)
-    placed = done[0]
-    for more in done[1:]:
-        placed = placed.unionByName(more)
-    placed = placed.select("uid", ((F.col("round").cast("long") * (1 << 24) + F.col("part")) * (1 << 32) + F.col("bin")).alias("sequence_id"), "offset")
-    return cut.join(placed.unionByName(full), "uid").drop("uid")
+    placed = current
+    for more in resting:
+        by_tokens = F.when(F.col("bins") > F.col("bound"), F.lit(1)).cast("long")
+        placed = placed.unionByName(more.withColumns({"bins": F.coalesce(by_tokens, "bins"), "bound": F.coalesce(by_tokens, "bound")}))
+    placed = placed.select("uid", ((F.col("round").cast("long") * (1 << 24) + F.col("part")) * (1 << 32) + F.col("bin")).alias("sequence_id"), "offset", "bins", "bound")
+    return cut.join(placed.unionByName(full), "uid").drop("uid").withColumn("certified", F.col("bins") == F.col("bound"))
 
 
 def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -194,5 +207,6 @@ def sequences(placed_with_ids: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path: str | None = None) -> DataFrame:
-    """Placement of all pieces of ``docs``: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Placement of all pieces of ``docs``: doc_id, piece, start, length, ids_crc32,
+    sequence_id, offset, bins, bound, certified."""
     return pack(pieces(docs, capacity, end_id, path), capacity)

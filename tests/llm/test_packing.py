@@ -95,9 +95,41 @@ def test_partitions_exchange_documents(spark):
     rng = np.random.default_rng(5)
     sizes = [int(x) for x in rng.integers(300, 1500, 3000)]
     cut = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], packing.PIECES)
-    alone = check_layout(packing.pack(cut, per_partition=100, max_exchanges=0).collect())
+    alone = check_layout(packing.pack(cut, per_partition=100, patience=0).collect())
     rows = packing.pack(cut, per_partition=100).collect()
     assert sorted(r["length"] for r in rows) == sorted(sizes)
     assert check_layout(rows) <= alone
     seen = packing.certificate(packing.pack(cut, per_partition=100)).first()
     assert seen["lower_bound"] <= seen["sequences"] <= alone
+
+
+@pytest.mark.parametrize("low, high", [(300, 1500), (1030, 1400), (500, 700)])
+def test_certificates_hold(spark, low, high):
+    """What a certified partition uses is the least that any packing of it could: no
+    table with the same lengths does with fewer bins than the bounds' sum."""
+    rng = np.random.default_rng(low)
+    sizes = [int(x) for x in rng.integers(low, high, 1200)] + [2048] * 5
+    cut = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], packing.PIECES)
+    rows = packing.pack(cut, per_partition=80).collect()
+    assert sorted(r["length"] for r in rows) == sorted(sizes)
+    check_layout(rows)
+    groups = {}
+    for r in rows:  # the partition is what is left of the number of a sequence without its bin
+        part = r["sequence_id"] >> 32 if r["sequence_id"] >= 0 else r["sequence_id"]
+        groups.setdefault((part, r["bins"], r["bound"]), []).append(r)
+    for (_, bins, bound), own in groups.items():
+        assert all(r["certified"] == (bins == bound) for r in own)
+        used = len({r["sequence_id"] for r in own})
+        if any(sum(r["length"] for r in own if r["sequence_id"] == q) < 2048 for q in {r["sequence_id"] for r in own}):
+            assert used == bins and bound <= bins
+            assert packing.lower_bound(*np.unique([r["length"] for r in own], return_counts=True)) == bound
+    if low == 1030:
+        assert all(r["certified"] for r in rows)  # no two fit together, and the bound sees it
+
+
+def test_exchange_goes_on_while_bins_are_saved(spark):
+    rng = np.random.default_rng(8)
+    sizes = [int(x) for x in rng.integers(150, 1100, 2400)]
+    cut = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], packing.PIECES)
+    used = [check_layout(packing.pack(cut, per_partition=60, patience=p).collect()) for p in (0, 1, 3)]
+    assert used[2] <= used[1] < used[0], used
