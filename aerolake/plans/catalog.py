@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake import schemas
 from aerolake.functions.labels import delay_class, prediction_label
-from aerolake.operators import joins, ml, pages, relevance, rollups, search, term_table
+from aerolake.operators import documents, joins, ml, pages, relevance, rollups, search, term_table
 from aerolake.operators import requests as rq
 from aerolake.plans.context import ROUTE_MAX_ROWS, Tables
 from aerolake.session import shared_path, spread
@@ -113,6 +113,28 @@ def q_flights_per_airplane(spark, sf):
     return rollups.flights_per_airplane(Tables(spark, sf).flights)
 
 
+@register("airplane_documents")
+def q_airplane_documents(spark, sf):
+    """Every airplane's document of flights (AGG6), its pages opened again for the comparison."""
+    path = Tables(spark, sf).airplane_documents()
+    counts = documents.directory(spark, path).select("TailNum", F.col("n_members").alias("n_flights"))
+    return documents.exploded(spark.read.parquet(f"{path}/pages"), "TailNum", "flights").join(counts, "TailNum")
+
+
+@register("airplane_document")
+def q_airplane_document(spark, sf):
+    """One airplane's document (AGG6, FIL6)."""
+    return documents.exploded(documents.document(spark, Tables(spark, sf).airplane_documents(), "TailNum", TAIL_NUMBER), "TailNum", "flights")
+
+
+@register("carrier_documents")
+def q_carrier_documents(spark, sf):
+    """Every carrier's document of airplanes (AGG7), opened again."""
+    path = Tables(spark, sf).carrier_documents()
+    counts = documents.directory(spark, path).select("Carrier", F.col("n_members").alias("n_airplanes"))
+    return documents.exploded(spark.read.parquet(f"{path}/pages"), "Carrier", "airplanes").join(counts, "Carrier")
+
+
 @register("airplanes_per_carrier")
 def q_airplanes_per_carrier(spark, sf):
     return rollups.airplanes_per_carrier(Tables(spark, sf).flights)

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolake.operators import pages, requests as rq, rollups, term_table
+from aerolake.operators import documents, pages, requests as rq, rollups, term_table
 from aerolake.functions.labels import delay_class
 from aerolake.schemas import RESPONSE_FIELDS
 from aerolake.session import spread
@@ -123,6 +123,18 @@ class Tables:
         return materialize_path(self.spark, "carrier_pages", self.paths(*FLIGHT_INPUTS), lambda: None,
                                 write=lambda to: pages.build(self.flights, PAGE_SORT, to, within=["Carrier"]))
 
+    def airplane_documents(self) -> str:
+        """A document for each airplane: its flights in pages."""
+        return materialize_path(self.spark, "airplane_documents", self.paths(*FLIGHT_INPUTS), lambda: None,
+                                write=lambda to: documents.build(self.flights.select("TailNum", *rollups.FLIGHT_FIELDS), "TailNum",
+                                                                 ["FlightDate", "FlightId"], to, "flights"))
+
+    def carrier_documents(self) -> str:
+        """A document for each carrier: its airplanes in pages."""
+        return materialize_path(self.spark, "carrier_documents", self.paths(*FLIGHT_INPUTS), lambda: None,
+                                write=lambda to: documents.build(self.flights.select("Carrier", "TailNum").distinct(), "Carrier",
+                                                                 ["TailNum"], to, "airplanes"))
+
     def polled_results(self) -> str:
         """A result store as a stream leaves it: four batches, the first three folded into
         an index in two steps. (The rule's classes stand in for a model's.)"""

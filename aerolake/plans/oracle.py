@@ -245,6 +245,17 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT f.TailNum, FlightId, FlightDate, Carrier, FlightNum, Origin, Dest, DepTime, ArrTime, n_flights "
         "FROM flights f JOIN (SELECT TailNum, count(*) AS n_flights FROM flights GROUP BY TailNum) c "
         "ON f.TailNum = c.TailNum"),
+    "airplane_documents": _with("flights") + (
+        "SELECT TailNum, row_number() OVER (PARTITION BY TailNum ORDER BY FlightDate, FlightId) - 1 AS place, FlightId, FlightDate, "
+        "Carrier, FlightNum, Origin, Dest, DepTime, ArrTime, count(*) OVER (PARTITION BY TailNum) AS n_flights FROM flights "
+        "WHERE TailNum IS NOT NULL"),
+    "airplane_document": _with("flights") + (
+        "SELECT TailNum, row_number() OVER (ORDER BY FlightDate, FlightId) - 1 AS place, FlightId, FlightDate, "
+        f"Carrier, FlightNum, Origin, Dest, DepTime, ArrTime FROM flights WHERE TailNum = '{C.TAIL_NUMBER}'"),
+    "carrier_documents": _with("flights") + (
+        ", pairs AS (SELECT DISTINCT Carrier, TailNum FROM flights WHERE Carrier IS NOT NULL) "
+        "SELECT Carrier, row_number() OVER (PARTITION BY Carrier ORDER BY TailNum NULLS LAST) - 1 AS place, TailNum, "
+        "count(*) OVER (PARTITION BY Carrier) AS n_airplanes FROM pairs"),
     "airplanes_per_carrier": _with("flights") + (
         ", pairs AS (SELECT DISTINCT Carrier, TailNum FROM flights) "
         "SELECT p.Carrier, p.TailNum, c.n_airplanes FROM pairs p JOIN "
