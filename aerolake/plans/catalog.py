@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake import schemas
 from aerolake.functions.labels import delay_class, prediction_label
-from aerolake.operators import documents, joins, ml, pages, relevance, rollups, search, term_table
+from aerolake.operators import documents, incremental, joins, ml, pages, relevance, rollups, search, term_table
 from aerolake.operators import requests as rq
-from aerolake.plans.context import ROUTE_MAX_ROWS, Tables
+from aerolake.plans.context import AIRPLANE_SUMMARIES, FLIGHT_SUMMARIES, ROUTE_MAX_ROWS, Tables
 from aerolake.session import shared_path, spread
 from aerolake.sources.tables import append_table, read_jsonl, register_views, write_jsonl
 from aerolake.streaming import results
@@ -135,6 +135,27 @@ def q_carrier_documents(spark, sf):
     return documents.exploded(spark.read.parquet(f"{path}/pages"), "Carrier", "airplanes").join(counts, "Carrier")
 
 
+@register("route_distance_refreshed")
+def q_route_distance_refreshed(spark, sf):
+    """Mean distances after three appends (AGG1)."""
+    return incremental.result(spark, Tables(spark, sf).refreshed_summaries(), "routes", FLIGHT_SUMMARIES["routes"])
+
+
+@register("flights_by_month_refreshed")
+def q_flights_by_month_refreshed(spark, sf):
+    return incremental.result(spark, Tables(spark, sf).refreshed_summaries(), "months", FLIGHT_SUMMARIES["months"])
+
+
+@register("airplanes_per_carrier_refreshed")
+def q_airplanes_per_carrier_refreshed(spark, sf):
+    return incremental.result(spark, Tables(spark, sf).refreshed_summaries(), "carrier_airplanes", FLIGHT_SUMMARIES["carrier_airplanes"])
+
+
+@register("manufacturer_totals_refreshed")
+def q_manufacturer_totals_refreshed(spark, sf):
+    return incremental.result(spark, Tables(spark, sf).refreshed_airplanes(), "manufacturers", AIRPLANE_SUMMARIES["manufacturers"])
+
+
 @register("airplanes_per_carrier")
 def q_airplanes_per_carrier(spark, sf):
     return rollups.airplanes_per_carrier(Tables(spark, sf).flights)

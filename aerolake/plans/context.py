@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolake.operators import documents, pages, requests as rq, rollups, term_table
+from aerolake.operators import documents, incremental, pages, requests as rq, rollups, term_table
 from aerolake.functions.labels import delay_class
 from aerolake.schemas import RESPONSE_FIELDS
 from aerolake.session import spread
@@ -21,6 +21,10 @@ ROUTE_MAX_ROWS = 200_000
 #: Order of the flight pages (a total one).
 PAGE_SORT = ["FlightDate", "DepTime", "Carrier", "FlightNum", "FlightId"]
 FLIGHT_INPUTS = ["lineitem", "orders", "customer", "supplier", "part", "nation"]
+#: Summaries kept up to date from appended files.
+FLIGHT_SUMMARIES = {"routes": incremental.route_distance(), "months": incremental.flights_by_month(),
+                    "carrier_airplanes": incremental.airplanes_per_carrier()}
+AIRPLANE_SUMMARIES = {"manufacturers": incremental.manufacturer_totals()}
 
 
 class Tables:
@@ -135,6 +139,24 @@ class Tables:
                                 write=lambda to: documents.build(self.flights.select("Carrier", "TailNum").distinct(), "Carrier",
                                                                  ["TailNum"], to, "airplanes"))
 
+    def refreshed_summaries(self) -> str:
+        """Summaries kept up to date: the flights are appended in three steps, each of which
+        reads the new files alone."""
+        def write(to: str) -> None:
+            for n in range(3):
+                (self.flights.where(F.pmod(F.xxhash64("FlightId"), F.lit(3)) == n)
+                 .select("Origin", "Dest", "Distance", "Year", "Month", "Carrier", "TailNum").write.mode("append").parquet(f"{to}/flights"))
+                incremental.refresh(self.spark, f"{to}/flights", f"{to}/store", FLIGHT_SUMMARIES)
+        return materialize_path(self.spark, "refreshed_summaries", self.paths(*FLIGHT_INPUTS), lambda: None, write=write) + "/store"
+
+    def refreshed_airplanes(self) -> str:
+        def write(to: str) -> None:
+            for n in range(3):
+                (self.airplanes.where(F.pmod(F.xxhash64("TailNum"), F.lit(3)) == n)
+                 .select("TailNum", "Manufacturer").write.mode("append").parquet(f"{to}/airplanes"))
+                incremental.refresh(self.spark, f"{to}/airplanes", f"{to}/store", AIRPLANE_SUMMARIES)
+        return materialize_path(self.spark, "refreshed_airplanes", self.paths("part"), lambda: None, write=write) + "/store"
+
     def polled_results(self) -> str:
         """A result store as a stream leaves it: four batches, the first three folded into
         an index in two steps. (The rule's classes stand in for a model's.)"""

@@ -352,6 +352,9 @@ ORACLE_SQL["request_response_stream"] = _with("responses") + (
 
 ORACLE_SQL["response_lookup_stream"] = ORACLE_SQL["response_lookup"]
 
+for _name in ("route_distance", "flights_by_month", "airplanes_per_carrier", "manufacturer_totals"):
+    ORACLE_SQL[f"{_name}_refreshed"] = ORACLE_SQL[_name]
+
 ORACLE_SQL["flight_lookup_many"] = _with("flights") + (
     f"SELECT {FLIGHT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY Carrier, FlightDate, FlightNum "
     "ORDER BY FlightId) AS rn FROM flights) WHERE rn = 1")
