@@ -2,6 +2,7 @@
 
     python -m aerolake.jobs rollup     --flights F --out DIR [--files N]
     python -m aerolake.jobs summaries  --flights F --airplanes A --out DIR
+    python -m aerolake.jobs refresh    --flights F --store DIR --out DIR
     python -m aerolake.jobs train      --flights F --model DIR [--trees N --seed S]
     python -m aerolake.jobs regress    --flights F --model DIR [--slots N]
     python -m aerolake.jobs predict    --tasks DIR --model DIR --results DIR
@@ -18,7 +19,8 @@
 
 ``rollup`` writes the route-distance table as JSON Lines (the reference's batch
 job); ``summaries`` writes the month, carrier, carrier-airplane and manufacturer
-tables that pages read by key; ``train`` and ``regress`` fit and store the models;
+tables that pages read by key; ``refresh`` brings the flight summaries up to date from
+the files appended since the last refresh; ``train`` and ``regress`` fit and store the models;
 ``predict`` scores stored tasks into the result table, a folder for each day, and
 ``results`` reads one day of it; ``score`` runs the scoring stream into the given
 sinks and blocks until a query ends, re-raising its failure (``--quarantine`` sets
@@ -33,7 +35,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from aerolake.operators import ml, rollups
+from aerolake.operators import incremental, ml, rollups
 from aerolake.operators import requests as rq
 from aerolake import schemas
 from aerolake.session import get_session
@@ -66,6 +68,17 @@ def run_summaries(spark: SparkSession, flights_path: str, airplanes_path: str, o
     return out
 
 
+def run_refresh(spark: SparkSession, flights_path: str, store: str, out: str) -> int:
+    """Fold the files appended to the flights into ``store`` and write the summaries
+    (AGG1, AGG4, AGG7) under ``out``; returns how many files were read."""
+    summaries = {"routes": incremental.route_distance(), "months": incremental.flights_by_month(),
+                 "carrier_airplanes": incremental.airplanes_per_carrier()}
+    read = incremental.refresh(spark, flights_path, store, summaries)
+    for name, summary in summaries.items():
+        incremental.result(spark, store, name, summary).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+    return read
+
+
 def run_regress(spark: SparkSession, flights_path: str, model_path: str, slots: int = 1 << 10) -> str:
     """Fit the delay-minutes regression and store it (ML4)."""
     flights = rq.with_date_parts(spark.read.parquet(flights_path))
@@ -163,6 +176,10 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--flights", required=True)
     m.add_argument("--airplanes", required=True)
     m.add_argument("--out", required=True)
+    f = sub.add_parser("refresh")
+    f.add_argument("--flights", required=True)
+    f.add_argument("--store", required=True)
+    f.add_argument("--out", required=True)
     g = sub.add_parser("regress")
     g.add_argument("--flights", required=True)
     g.add_argument("--model", required=True)
@@ -204,6 +221,8 @@ def main(argv: list[str] | None = None) -> int:
         run_train(spark, a.flights, a.model, a.trees, a.seed)
     elif a.cmd == "summaries":
         run_summaries(spark, a.flights, a.airplanes, a.out)
+    elif a.cmd == "refresh":
+        run_refresh(spark, a.flights, a.store, a.out)
     elif a.cmd == "regress":
         run_regress(spark, a.flights, a.model, a.slots)
     elif a.cmd == "predict":

@@ -75,3 +75,13 @@ def test_nothing_yet(spark, scratch):
     flights(spark, 0, 0).write.parquet(f"{scratch}/in")
     incremental.refresh(spark, f"{scratch}/in", f"{scratch}/store", SUMMARIES)
     assert incremental.result(spark, f"{scratch}/store", "months", SUMMARIES["months"]).count() == 0
+
+
+def test_refresh_job(spark, scratch):
+    from aerolake import jobs
+
+    flights(spark, 0, 300).write.parquet(f"{scratch}/in")
+    assert jobs.run_refresh(spark, f"{scratch}/in", f"{scratch}/store", f"{scratch}/out") == 2
+    flights(spark, 300, 500).write.mode("append").parquet(f"{scratch}/in")
+    assert jobs.run_refresh(spark, f"{scratch}/in", f"{scratch}/store", f"{scratch}/out") == 2
+    assert rows(spark.read.parquet(f"{scratch}/out/months")) == rows(rollups.flights_by_month(spark.read.parquet(f"{scratch}/in")))
