@@ -13,16 +13,21 @@ from aerolake import schemas
 from aerolake.operators import requests as rq
 from aerolake.functions.labels import delay_class
 from aerolake.plans.catalog import LOOKUP_UUID_EVENT, _md5_text, register, same_again, with_class_flag
-from aerolake.plans.context import FLIGHT_INPUTS, Tables
+from aerolake.plans.context import FLIGHT_INPUTS, ROUTE_MAX_ROWS, Tables
 from aerolake.sources.materialize import materialize_path
 from aerolake.session import shared_path, state_partitions
+from aerolake.operators import rollups
+from aerolake.sources import versions
 from aerolake.streaming import correlate as corr
+from aerolake.streaming import enrich, ledger
 from aerolake.streaming import scoring as sc
 from aerolake.streaming import silence
-from aerolake.streaming.topics import as_text, read_topic, topic_records
+from aerolake.streaming.topics import as_text, publish, read_topic, topic_records
 
 AVAILABLE_NOW = {"availableNow": True}
 SENTINEL_UUID = "~end-of-input"
+#: Flights before this day make the routes that the enrichment stream starts with.
+ROUTES_KNOWN_TO = "1995-01-01"
 
 
 REQUEST_INPUTS = ["events", "nation"]
@@ -129,6 +134,42 @@ def q_stream_fanout(spark, sf):
     return with_class_flag(_ts_text(out))
 
 
+@register("stream_fanout_once")
+def q_stream_fanout_once(spark, sf):
+    """The rows of all sinks of one query with a ledger; its topic is appended to."""
+    scored, _ = _scored_stream(spark, sf)
+    root = shared_path(spark, "streams", "fanout_once", unique=True)
+    sinks = {"store": sc.store_writer(f"{root}/store"), "json": sc.json_writer(f"{root}/json"),
+             "topic": ledger.AppendTopic("scores", path=f"{root}/topic")}
+    sc.run_to_end(ledger.start_fanout_once(scored, sinks, f"{root}/_checkpoint", AVAILABLE_NOW))
+    held = {"store": spark.read.parquet(f"{root}/store"), "json": spark.read.schema(scored.schema).json(f"{root}/json"),
+            "topic": rq.parse_responses(as_text(spark.read.parquet(f"{root}/topic")).select("value"))}
+    out = None
+    for name, rows in held.items():
+        own = rows.select(F.lit(name).alias("sink"), *schemas.RESPONSE_FIELDS)
+        out = own if out is None else out.unionByName(own)
+    return with_class_flag(_ts_text(out))
+
+
+@register("stream_enrich")
+def q_stream_enrich(spark, sf):
+    """Live requests with the route distance. The stream starts with the routes of the
+    flights before a day; they are published anew from all flights before the second half
+    of the requests (odd event ids) arrives."""
+    t = Tables(spark, sf)
+    root = shared_path(spark, "streams", "enrich", unique=True)
+    known = [t.flights.where(F.col("FlightDate") < F.lit(ROUTES_KNOWN_TO).cast("date")), t.flights]
+    for n, flights in enumerate(known):
+        versions.publish(rollups.route_distance(flights, ordered=False), f"{root}/routes")
+        asked = t.requests.where(F.col("event_id") % 2 == n).select(F.md5(F.col("event_id").cast("string")).alias("UUID"), F.col("ts").cast("timestamp").alias("ts"), "value")
+        publish(topic_records(asked, "UUID", "value", "ts"), "parquet", f"{root}/topic")
+        parsed = rq.valid_only(sc.parse_stream(read_topic(spark, "parquet", f"{root}/topic")))
+        requests = parsed.select(F.col("key").alias("UUID"), "flight.Origin", "flight.Dest")
+        sc.run_to_end(enrich.start_enriched(requests, f"{root}/routes", sc.store_writer(f"{root}/out"), f"{root}/_checkpoint",
+                                            max_rows=ROUTE_MAX_ROWS, trigger=AVAILABLE_NOW))
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
 def correlation_inputs(spark: SparkSession, t: Tables) -> tuple[str, str]:
     """Stored request keys and replies for the correlation stream."""
     reqs = t.keyed_requests.select("UUID", "rq_ts")
