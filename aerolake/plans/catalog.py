@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolake import schemas
 from aerolake.functions.labels import delay_class, prediction_label
-from aerolake.operators import documents, incremental, joins, ml, pages, relevance, rollups, search, term_table
+from aerolake.operators import documents, incremental, joins, ml, pages, relevance, rollups, search, sparse_regression, term_table
 from aerolake.operators import requests as rq
 from aerolake.plans.context import AIRPLANE_SUMMARIES, FLIGHT_SUMMARIES, ROUTE_MAX_ROWS, Tables
 from aerolake.session import shared_path, spread
@@ -534,3 +534,10 @@ def q_delay_regression_predict(spark, sf):
 @register("regression_report")
 def q_regression_report(spark, sf):
     return ml.regressor_report(rq.with_date_parts(Tables(spark, sf).flights))
+
+
+@register("delay_regression_exact")
+def q_delay_regression_exact(spark, sf):
+    """What is left of each category's normal equation, from the predicted delay of every flight."""
+    t = Tables(spark, sf)
+    return sparse_regression.gradients(t.sparse_regressor(), rq.with_date_parts(t.flights))

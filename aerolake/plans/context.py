@@ -64,6 +64,12 @@ class Tables:
         return cached_model(self.spark, "delay_regressor", self.paths(*FLIGHT_INPUTS),
                             lambda: ml.train_regressor(rq.with_date_parts(self.flights)))
 
+    def sparse_regressor(self) -> str:
+        """The delay regression with a weight for every category (stored artifact)."""
+        from aerolake.operators import sparse_regression
+        return materialize_path(self.spark, "sparse_regressor", self.paths(*FLIGHT_INPUTS), lambda: None,
+                                write=lambda to: sparse_regression.fit(rq.with_date_parts(self.flights), to))
+
     @cached_property
     def airplanes(self) -> DataFrame:
         return fixtures.airplanes(self.spark, self.sf_dir)

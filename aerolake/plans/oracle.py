@@ -402,6 +402,18 @@ ORACLE_SQL["stream_fanout"] = _with("enriched", "parsed") + (
     f"SELECT sink, m.* EXCLUDE (FlightNum), true AS in_classes FROM ({_MESSAGES}) m, "
     "(SELECT unnest(['store', 'json', 'topic']) AS sink)")
 
+ORACLE_SQL["stream_fanout_once"] = ORACLE_SQL["stream_fanout"]
+# Even events meet the first publication of the routes, odd ones the second.
+ORACLE_SQL["stream_enrich"] = _with("valid", "distances") + (
+    ", early AS (SELECT Origin, Dest, avg(Distance) AS Distance FROM flights WHERE FlightDate < DATE '1995-01-01' GROUP BY Origin, Dest) "
+    "SELECT md5(cast(v.event_id AS varchar)) AS UUID, v.Origin, v.Dest, CASE WHEN v.event_id % 2 = 0 THEN e.Distance ELSE d.Distance END AS Distance "
+    "FROM valid v LEFT JOIN early e ON v.Origin = e.Origin AND v.Dest = e.Dest LEFT JOIN distances d ON v.Origin = d.Origin AND v.Dest = d.Dest")
+# At the optimum the weighted errors of every category cancel out.
+ORACLE_SQL["delay_regression_exact"] = _with("flights") + (
+    "SELECT \"column\", value, count(*) AS n, cast(0 AS double) AS mean_gradient FROM ("
+    "SELECT unnest(['Origin', 'Dest', 'FlightNum']) AS \"column\", unnest([Origin, Dest, FlightNum]) AS value FROM flights WHERE ArrDelay IS NOT NULL) "
+    "WHERE value IS NOT NULL GROUP BY 1, 2")
+
 ORACLE_SQL["airline_airplanes"] = _with("flights", "airlines") + (
     ", pairs AS (SELECT DISTINCT Carrier, TailNum FROM flights), "
     "fleet AS (SELECT *, count(*) OVER (PARTITION BY Carrier) AS n_airplanes FROM pairs) "
