@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .components import connected_components
+from .components import connected_components, join_keys
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -33,6 +33,9 @@ SEED = 42
 #: Candidate pairs that a task holds at a time, and fingerprints of a bucket task.
 BLOCK = 1 << 20
 PER_TASK = 400_000
+#: Widest segment whose buckets are counted and broadcast, and most cells that are broadcast.
+MAX_SEGMENT = 16
+MAX_BROADCAST = 1 << 20
 
 
 def _bits(hashes: list[int]) -> np.ndarray:
@@ -160,20 +163,62 @@ def ring_links(fps: np.ndarray, max_bits: int = MAX_BITS, starts=None, block: in
     return child, forest.parent[child]
 
 
+def _cells(rows: DataFrame, heavy: DataFrame, segments: list[tuple[int, int]], max_bits: int, per_task: int) -> tuple[DataFrame, int]:
+    """The rows (seg, val, fp) of buckets that one task can't hold, dealt into cells
+    (seg, val, cell, a, b), and the number of rows that this makes.
+
+    A chain of two segments differs in at most ``2 * max_bits // m`` bits, one for every
+    budget below the number of segments, so a pair of the bucket has next segments that are
+    equal or differ in one bit. Each row stands in the cell of its next segment and, for each
+    bit set there, in the cell without that bit: every such pair meets in one cell. A cell
+    that is still too large is cut into blocks, and each pair of blocks is dealt by itself.
+    """
+    m = len(segments)
+    ring = F.lit(None).cast("long")
+    for i in range(m):
+        at, width = segments[(i + 1) % m]
+        ring = F.when(F.col("seg") == i, F.shiftrightunsigned("fp", at).bitwiseAND((1 << width) - 1)).otherwise(ring)
+    flips = F.array(F.lit(0), *[F.lit(1 << k) for k in range(max(w for _, w in segments))]) if 2 * max_bits // m >= 1 else F.array(F.lit(0))
+    own = rows.join(F.broadcast(heavy), ["seg", "val"], "left_semi").withColumn("next", ring)
+    own = own.withColumn("flip", F.explode(flips)).where((F.col("flip") == 0) | (F.col("next").bitwiseAND(F.col("flip")) != 0))
+    own = own.select("seg", "val", F.col("next").bitwiseXOR(F.col("flip")).alias("cell"), "fp")
+    block = max(1, per_task // 2)
+    sizes = own.groupBy("seg", "val", "cell").count().withColumn(
+        "blocks", F.when(F.col("count") > per_task, F.ceil(F.col("count") / block)).otherwise(1).cast("long"))
+    few = common.staged(sizes.where("blocks > 1").select("seg", "val", "cell", "blocks"), "cells")
+    n_few, total = few.count(), sizes.agg(F.sum(F.col("count") * F.col("blocks"))).first()[0]
+    if n_few:
+        # A cell above the size holds per_task rows: there are few, but not provably.
+        own = own.join(F.broadcast(few) if n_few <= MAX_BROADCAST else few, ["seg", "val", "cell"], "left")
+    else:
+        own = own.withColumn("blocks", F.lit(None).cast("long"))
+    mine = F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1)))
+    own = own.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1)) - 1)))
+    return own.select("seg", "val", "cell", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "fp"), total or 0
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS, per_task: int = PER_TASK) -> DataFrame:
     """Edges (a, b) that span the near fingerprints among the distinct values of fps(fp).
 
     Every fingerprint goes to one bucket for each segment; buckets are dealt over tasks
-    by their value. Which pairs meet depends on the segment's value alone.
+    by their value. Which pairs meet depends on the segment's value alone, or, in buckets
+    of more than ``per_task`` fingerprints, on the next segment's too (``_cells``), so no task
+    grows with a bucket. There are at most as many buckets as values of all segments (some
+    37,000 for 4 bits): their sizes are broadcast.
     """
     spark = fps.sparkSession
     common.find_library(spark)
-    count = fps.count()
     segments = _segments(max_bits)
     rows = fps.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("seg"), F.shiftrightunsigned("fp", a).bitwiseAND((1 << w) - 1).alias("val"))
         for i, (a, w) in enumerate(segments)])).alias("s")).select("s.seg", "s.val", "fp")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), common.spread_by_size(fps, count * len(segments), per_task))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    narrow = max(w for _, w in segments) <= MAX_SEGMENT and len(segments) > 1
+    count = fps.count()
+    heavy = None
+    if narrow and count > per_task:  # no bucket holds more than all fingerprints
+        heavy = common.staged(rows.groupBy("seg", "val").count().where(F.col("count") > per_task).select("seg", "val"), "buckets")
+        heavy = None if heavy.isEmpty() else heavy
 
     def run(batches):
         got = [(common.column(b, "seg").to_numpy(), common.column(b, "fp").to_numpy()) for b in batches]
@@ -182,18 +227,24 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, per_task: int = PER_TASK) ->
         seg, fp = (np.concatenate(x) for x in zip(*got))
         fp = fp.view(np.uint64)
         for i in np.unique(seg):
-            own = fp[seg == i]
+            own = np.unique(fp[seg == i])  # a fingerprint may stand in several cells of a task
             a, b = ring_links(own, max_bits, starts=[int(i)])
             yield pa.RecordBatch.from_arrays([pa.array(own[a].view(np.int64)), pa.array(own[b].view(np.int64))], names=["a", "b"])
 
-    return rows.repartition(tasks, "seg", "val").mapInArrow(run, "a long, b long")
+    tasks = max(least, common.spread_by_size(fps, count * len(segments), per_task))
+    if heavy is None:
+        return rows.repartition(tasks, "seg", "val").mapInArrow(run, "a long, b long")
+    light = rows.join(F.broadcast(heavy), ["seg", "val"], "left_anti").repartition(tasks, "seg", "val")
+    cells, total = _cells(rows, heavy, segments, max_bits, per_task)
+    cells = cells.repartition(max(least, common.spread_by_size(fps, total, per_task)), "seg", "val", "cell", "a", "b")
+    return light.select("seg", "fp").mapInArrow(run, "a long, b long").unionByName(cells.select("seg", "fp").mapInArrow(run, "a long, b long"))
 
 
 def _components(marked: DataFrame, max_bits: int) -> DataFrame:
     """fp, first_id (the least doc_id with it) and component (its least fingerprint) of marked(doc_id, fp)."""
-    ids = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    ids = common.staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_docs")), "ids")
     parts = common.staged(connected_components(links(ids.select("fp"), max_bits)), "components")
-    return ids.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return common.staged(ids.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")), "grouped")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -201,9 +252,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     marked = common.staged(fingerprints(docs, shingle), "fingerprints")
     # The least document id of each component, then of each fingerprint.
     grouped = _components(marked, max_bits)
-    least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_fp = grouped.select("fp", "component").join(least, "component").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
+    by_fp = join_keys(grouped.select("fp", "component", "n_docs"), least, "component", grouped.count())
+    by_fp = common.staged(by_fp.select("fp", "component_id", F.col("n_docs").alias("n")), "by_fp")
+    return join_keys(marked, by_fp, "fp", marked.count()).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from aerolake.llm import simhash
-from aerolake.llm.components import connected_components
+from aerolake.llm.components import connected_components, join_keys
 
 
 def brute_fp(text):
@@ -107,3 +108,40 @@ def test_keep_one_with_repeated_and_missing_ids(spark):
     kept = [tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert len(kept) == 3 and {(1, a), (1, b)} <= set(kept)
     assert [t.lower().strip() for i, t in kept if i is None] == [c]
+
+
+def groups(edges):
+    """The sets of nodes that edges connect."""
+    own = {}
+    for a, b in edges:
+        both = own.get(a, {a}) | own.get(b, {b})
+        own.update(dict.fromkeys(both, both))
+    return {frozenset(x) for x in own.values()}
+
+
+@pytest.mark.parametrize("max_bits", [3, 4, 6])
+def test_hot_buckets_are_dealt_over_tasks(spark, max_bits):
+    """A third of the fingerprints share most of their bits; no cell holds more than a task may."""
+    rng, per_task = np.random.default_rng(7), 60
+    near = 0x123456789ABCDEF0 ^ np.bitwise_or.reduce(np.left_shift(np.uint64(1), rng.integers(0, 64, (500, 3), np.uint64)), axis=1)
+    fps = np.unique(np.concatenate([near, rng.integers(0, 1 << 63, 1000, np.uint64)]))
+    rows = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(3)
+    got = groups((r["a"], r["b"]) for r in simhash.links(rows, max_bits, per_task).collect())
+    a, b = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= max_bits, 1))
+    assert got == groups(zip(fps.view(np.int64)[a].tolist(), fps.view(np.int64)[b].tolist())) and got
+
+    segments = simhash._segments(max_bits)
+    buckets = rows.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), F.shiftrightunsigned("fp", a).bitwiseAND((1 << w) - 1).alias("val"))
+                                                    for i, (a, w) in enumerate(segments)])).alias("s")).select("s.seg", "s.val", "fp")
+    heavy = buckets.groupBy("seg", "val").count().where(F.col("count") > per_task).select("seg", "val")
+    assert heavy.count()
+    cells, total = simhash._cells(buckets, heavy, segments, max_bits, per_task)
+    sizes = [r["count"] for r in cells.groupBy("seg", "val", "cell", "a", "b").count().collect()]
+    assert sum(sizes) == total and max(sizes) <= 1.5 * per_task
+
+
+def test_join_keys(spark):
+    rows = spark.createDataFrame([(0, i) for i in range(3000)] + [(1 + i % 2500, i) for i in range(5000)] + [(9999, 1)], "k long, v long")
+    keys = rows.where("k <> 9999").groupBy("k").agg(F.count("*").alias("n"), (F.min("k") * 2).alias("w"))
+    got = join_keys(rows, keys, "k", rows.count())
+    assert got.columns == ["k", "v", "w"] and got.count() == 8000 and got.where("w <> 2 * k").count() == 0
