@@ -7,7 +7,8 @@
     corpus              (n_rows, avgdl, buckets)
 
 A posting's impact is its BM25 factor tf * (k1 + 1) / (tf + norm), between 0 and k1 + 1;
-``level`` is the impact in steps of 1 / ``STEPS``. Postings are range-partitioned by
+``level`` is the impact in steps of 1 / ``STEPS``. A text's words are counted within its
+row, so that only the postings are moved, once. They are range-partitioned by
 (bucket, term, level, row), so a term that stands in every text is spread over many
 tasks and files, and a file's statistics tell which terms and levels it holds.
 
@@ -34,6 +35,9 @@ from aerolake.operators.rollups import tokens
 BUCKETS = 64
 #: Levels of impact to a point.
 STEPS = 32
+#: Postings that one reduce task of the build sorts (some 50 MB, not spilled), and the most such tasks.
+POSTINGS_PER_PART = 500_000
+MAX_PARTS = 20_000
 
 
 def bucket_of(term: str, buckets: int) -> int:
@@ -49,19 +53,29 @@ def _postings_schema(id_type: str) -> str:
     return f"term string, level int, row long, id {id_type}, tf int, dl int, bucket int"
 
 
+def _counted(words: DataFrame) -> DataFrame:
+    """(row, id, dl, term, tf) of each row's distinct words: equal words stand together in the
+    sorted array, and a word's count is the way to where the next one starts."""
+    in_order = words.select("row", "id", F.size("words").alias("dl"), F.sort_array("words").alias("_words"))
+    starts = F.expr("CASE WHEN dl > 0 THEN filter(sequence(0, dl - 1), i -> i = 0 OR get(_words, i) != get(_words, i - 1)) END")
+    runs = F.expr("transform(_starts, (p, j) -> struct(get(_words, p) AS term, coalesce(get(_starts, j + 1), dl) - p AS tf))")
+    return in_order.withColumn("_starts", starts).select("row", "id", "dl", F.inline(runs))
+
+
 def build(df: DataFrame, id_col: str, text_col: str, path: str, buckets: int = BUCKETS) -> str:
     """Write the term table of ``df`` to ``path``. A null text counts as a row without words."""
     spark = df.sparkSession
     words = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), tokens(text_col, lower=True).alias("words"))
-    stats = words.agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.size("words")).alias("avgdl")).first()
+    stats = words.agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.size("words")).alias("avgdl"),
+                      F.sum(F.size(F.array_distinct("words"))).alias("postings")).first()
     kind = words.schema["id"].dataType.simpleString()
     spark.createDataFrame([(stats["n_rows"], stats["avgdl"] or 0.0, buckets, kind)], "n_rows long, avgdl double, buckets int, id_type string").write.parquet(f"{path}/corpus")
-    single = words.select("row", "id", F.size("words").alias("dl"), F.explode("words").alias("term"))
-    counted = single.groupBy("row", "id", "dl", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+    counted = _counted(words)
     level = F.floor(_impact(F.col("tf").cast("double"), F.col("dl").cast("double"), stats["avgdl"] or 1.0) * STEPS).cast("int")
     postings = counted.select((F.crc32(F.col("term").cast("binary")) % buckets).cast("int").alias("bucket"), "term", level.alias("level"), "row", "id", "tf", "dl")
     keys = ["bucket", "term", "level", "row"]
-    postings.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("bucket").parquet(f"{path}/postings")
+    parts = int(min(MAX_PARTS, max(spark.sparkContext.defaultParallelism, (stats["postings"] or 0) // POSTINGS_PER_PART + 1)))
+    postings.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).write.partitionBy("bucket").parquet(f"{path}/postings")
     stored = spark.read.schema(_postings_schema(kind)).parquet(f"{path}/postings")
     levels = stored.groupBy("bucket", "term", "level").agg(F.count(F.lit(1)).alias("n"))
     levels.repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/levels")
