@@ -117,8 +117,7 @@ def q_flights_per_airplane(spark, sf):
 def q_airplane_documents(spark, sf):
     """Every airplane's document of flights (AGG6), its pages opened again for the comparison."""
     path = Tables(spark, sf).airplane_documents()
-    counts = documents.directory(spark, path).select("TailNum", F.col("n_members").alias("n_flights"))
-    return documents.exploded(spark.read.parquet(f"{path}/pages"), "TailNum", "flights").join(counts, "TailNum")
+    return documents.exploded(spark.read.parquet(f"{path}/pages"), "TailNum", "flights", "n_flights").where(F.col("TailNum").isNotNull())
 
 
 @register("airplane_document")
@@ -131,8 +130,7 @@ def q_airplane_document(spark, sf):
 def q_carrier_documents(spark, sf):
     """Every carrier's document of airplanes (AGG7), opened again."""
     path = Tables(spark, sf).carrier_documents()
-    counts = documents.directory(spark, path).select("Carrier", F.col("n_members").alias("n_airplanes"))
-    return documents.exploded(spark.read.parquet(f"{path}/pages"), "Carrier", "airplanes").join(counts, "Carrier")
+    return documents.exploded(spark.read.parquet(f"{path}/pages"), "Carrier", "airplanes", "n_airplanes").where(F.col("Carrier").isNotNull())
 
 
 @register("route_distance_refreshed")
