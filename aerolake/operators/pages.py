@@ -20,8 +20,9 @@ from typing import Any, Mapping
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-#: Rows of a part, and the most parts of a table (they are the reduce tasks of the build).
-ROWS_PER_PART = 1_000_000
+#: Rows of a part (some 80 MB in a sort, which is then not spilled), and the most parts of
+#: a table (they are the reduce tasks of the build).
+ROWS_PER_PART = 250_000
 MAX_PARTS = 20_000
 
 PART, START, ROWS = "_part", "_start", "_rows"
