@@ -17,11 +17,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from aerolake.functions.labels import delay_class
 from aerolake.operators.requests import with_date_parts, with_route
+from aerolake.session import scan_split
 
 INDEXED = ["Carrier", "Origin", "Dest", "Route"]
 INDEX_COLS = [f"{c}_index" for c in INDEXED]
 NUMERIC = ["DepDelay", "Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
 LABEL = "ArrDelayBucket"
+#: Bytes of files that one training task reads; the forest's copy of them is some four times as large.
+TRAIN_SPLIT = "16m"
 SCORE_DROP = ["rawPrediction", "probability", "features", *INDEX_COLS, *[f"{c}_rank" for c in INDEX_COLS]]
 
 
@@ -68,7 +71,8 @@ def train_classifier(train: DataFrame, num_trees: int = 10, max_depth: int = 5,
     allows, that is an error naming the column, never a silent change of the model.
     Columns named in ``as_rank`` are given to the forest as a number instead, their
     frequency rank, at any size. ``StringIndexer`` keeps each column's distinct
-    values on the driver.
+    values on the driver. The forest keeps the training rows in memory and reads
+    them once for each level, so files are read in splits of ``TRAIN_SPLIT``.
     """
     unknown = set(as_rank) - set(INDEXED)
     if unknown:
@@ -88,7 +92,8 @@ def train_classifier(train: DataFrame, num_trees: int = 10, max_depth: int = 5,
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, maxBins=max([32, *sizes.values()]), seed=seed)
-    return Pipeline(stages=stages + [assembler, rf]).fit(data)
+    with scan_split(train.sparkSession, TRAIN_SPLIT):
+        return Pipeline(stages=stages + [assembler, rf]).fit(data)
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -93,6 +93,27 @@ def spread(df, min_partitions: int | None = None):
     return df.repartition(target) if current < target else df
 
 
+class scan_split:
+    """Scans planned inside give a task at most about this many bytes of files:
+    ``with scan_split(spark, "16m"): model = pipeline.fit(df)``. For work that keeps
+    what a task read (an iterative fit), so that the cluster's own, larger split
+    does not decide how much that is."""
+
+    KEY = "spark.sql.files.maxPartitionBytes"
+
+    def __init__(self, spark: SparkSession, size: str):
+        self.spark, self.size, self.old = spark, size, None
+
+    def __enter__(self):
+        self.old = self.spark.conf.get(self.KEY)
+        self.spark.conf.set(self.KEY, self.size)
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set(self.KEY, self.old)
+        return False
+
+
 class state_partitions:
     """Start a stateful streaming query with its own partition count.
 
