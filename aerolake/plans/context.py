@@ -45,8 +45,9 @@ class Tables:
         """The flight fact table, stored once per input fingerprint, clustered
         by date (lookups by day read few row groups)."""
         return materialize(self.spark, "flights", self.paths(*FLIGHT_INPUTS),
-                           lambda: fixtures.flights(self.spark, self.sf_dir),
-                           cluster_by=["FlightDate", "FlightId"], lookup_by=["TailNum", "FlightNum"])
+                           lambda: fixtures.flight_rows(self.spark, self.sf_dir),
+                           cluster_by=["FlightDate", "FlightId"], lookup_by=["TailNum", "FlightNum"],
+                           deal_by=fixtures.FLIGHT_DEAL, finish=fixtures.flight_fields, rows=self.table("lineitem").count)
 
     @cached_property
     def flights_view(self) -> DataFrame:

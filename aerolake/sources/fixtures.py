@@ -17,6 +17,8 @@ from aerolake.sources.tables import read_table
 
 # A dimension above this many rows is joined by shuffle instead of broadcast.
 NATION_MAX_ROWS = 10_000
+#: Two short columns of a supplier: some 50 MB as a broadcast table.
+SUPPLIER_MAX_ROWS = 500_000
 
 
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,12 +31,18 @@ def _s(c) -> F.Column:
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flight history (A4): one row per line item.
+    """Flight history (A4): one row per line item."""
+    return flight_fields(flight_rows(spark, sf_dir))
+
+
+def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined rows that flights are derived from, half as wide as the flights.
 
     Join order matters at scale: the dimensions are narrowed first (customer
     and supplier get their nation names; orders gets carrier and destination
     from its customer), so the line-item stream is shuffled once per key it
-    joins on (order, supplier, part) and never for the customer key.
+    joins on (order, part, and supplier above ``SUPPLIER_MAX_ROWS``) and never
+    for the customer key.
     """
     t = lambda n: read_table(spark, sf_dir, n)
     nation = _nation(spark, sf_dir)
@@ -49,10 +57,20 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
                  "s_nationkey")
            .select("s_suppkey", "Origin"))
     p = t("part").select("p_partkey", "p_retailprice")
-    li = t("lineitem")
+    li = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    sup = broadcast_if_bounded(sup, SUPPLIER_MAX_ROWS)
     j = (li.join(ords, li.l_orderkey == ords.o_orderkey)
-         .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(p, F.col("l_partkey") == F.col("p_partkey")))
+         .join(p, F.col("l_partkey") == F.col("p_partkey"))
+         .join(sup, F.col("l_suppkey") == F.col("s_suppkey")))
+    return j.select(*li.columns, "p_retailprice", "Carrier", "Origin", "Dest")
+
+
+#: What ``flight_rows`` are dealt by: the time of flight, then keys that part a day's rows.
+FLIGHT_DEAL = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def flight_fields(j: DataFrame) -> DataFrame:
+    """The flight of each of ``flight_rows``."""
     ship = F.col("l_shipdate").cast("date")
     flight_id = F.md5(F.concat_ws(
         "|", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"),

@@ -27,7 +27,7 @@ from aerolake.session import shared_path
 
 # Version of the derivations: part of every stored artifact's name, so a
 # change to how a table, topic or model is derived never reuses an old build.
-ARTIFACT_VERSION = "3"
+ARTIFACT_VERSION = "4"
 
 
 def _artifact(spark: SparkSession, kind: str, name: str, inputs: list[str]) -> str:
@@ -80,9 +80,11 @@ def _lock(path: str) -> threading.Lock:
         return _locks.setdefault(path, threading.Lock())
 
 
-#: Rows that one reduce task of a clustered build gets, about 128 MB of Parquet,
-#: and the most reduce tasks of a build: map outputs stay countable at any size.
-ROWS_PER_FILE = 2_000_000
+#: Rows that one reduce task of a clustered build gets, some 12 MB of Parquet and 80 MB
+#: when they are sorted, so that a sort is not spilled and a task that reads a file holds
+#: little of the table; and the most reduce tasks of a build: map outputs stay countable
+#: at any size.
+ROWS_PER_FILE = 250_000
 MAX_FILES = 20_000
 
 
@@ -104,19 +106,30 @@ def _build(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
 
 def materialize(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
                 cluster_by: list[str] | None = None, files: int | None = None,
-                lookup_by: list[str] | None = None) -> DataFrame:
+                lookup_by: list[str] | None = None, deal_by: list[str] | None = None,
+                finish: Callable[[DataFrame], DataFrame] | None = None,
+                rows: Callable[[], int] | None = None) -> DataFrame:
     """Read the derived table ``name`` for these inputs, building it first if
     needed. ``cluster_by`` range-partitions the rows so each file covers a
     narrow key range (good min/max statistics), in one layout at every size;
     ``files`` sets the file count. ``lookup_by`` columns get Parquet Bloom
-    filters, so a lookup by a value outside the clustering skips row groups."""
+    filters, so a lookup by a value outside the clustering skips row groups.
+
+    ``deal_by`` and ``finish`` are for a table whose rows are wider than what they are
+    derived from: the rows of ``build`` are moved by ``deal_by`` (which must give the
+    order of the first ``cluster_by`` column) and become the table's in ``finish``.
+    ``rows`` tells about how many there are, where counting them would run the joins."""
     path = _artifact(spark, "tables", name, inputs)
 
     def write(to: str) -> None:
         df = build()
         if cluster_by:
-            n = files or min(MAX_FILES, max(spark.sparkContext.defaultParallelism, df.count() // ROWS_PER_FILE + 1))
-            df = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+            n = files or min(MAX_FILES, max(spark.sparkContext.defaultParallelism, (rows or df.count)() // ROWS_PER_FILE + 1))
+            df = df.repartitionByRange(n, *(deal_by or cluster_by))
+        if finish:
+            df = finish(df)
+        if cluster_by:
+            df = df.sortWithinPartitions(*cluster_by)
         w = df.write
         for c in lookup_by or []:
             w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
