@@ -27,10 +27,14 @@ from pyspark.sql.streaming import StreamingQuery
 from aerolake import schemas
 from aerolake.operators import ml
 from aerolake.operators import requests as rq
+from aerolake.operators.joins import broadcast_if_bounded
 from aerolake.functions.messages import JSON_OPTIONS
+from aerolake.session import checkpoint_root
 from aerolake.streaming.topics import as_text
 
 BatchWriter = Callable[[DataFrame, int], None]
+#: Keys that a store holds more than once, up to which they are broadcast: some 50 MB.
+REPEATED_MAX_KEYS = 500_000
 
 
 def parse_stream(topic: DataFrame) -> DataFrame:
@@ -192,7 +196,10 @@ def read_store(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
     """Read a store sink, one row per key (replays are already idempotent;
     this also drops at-least-once duplicates). Rows without a key can't be
     duplicates of each other and all stay. ``key_value`` reads one key: its
-    filter reaches the scan, so only its few rows are shuffled."""
+    filter reaches the scan, so only its few rows are shuffled. Otherwise the
+    keys are counted first (a job that moves nothing but keys), and only the
+    rows of keys that stand there more than once are compared; the others are
+    read as they are."""
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
@@ -201,7 +208,11 @@ def read_store(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
         return df
     if key_value is not None:
         return df.where(F.col(key) == F.lit(key_value)).dropDuplicates([key])
-    return df.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(df.where(F.col(key).isNull()))
+    checkpoint_root(spark)  # make sure a (shared) checkpoint folder is set
+    counted = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = broadcast_if_bounded(counted.where("_n > 1").select("_again").checkpoint(eager=True), REPEATED_MAX_KEYS)
+    same = F.col(key) == F.col("_again")
+    return df.join(repeated, same, "left_anti").unionByName(df.join(repeated, same, "left_semi").dropDuplicates([key]))
 
 
 def run_to_end(queries: list[StreamingQuery] | StreamingQuery) -> None:
