@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from aerolake.operators import documents, ml, pages, term_table
 from aerolake.plans import QUERIES
+from aerolake.plans.catalog import RESULT_DAY
 from aerolake.session import shared_path
-from aerolake.sources import fixtures
+from aerolake.sources import fixtures, materialize as stored
 from aerolake.sources.materialize import materialize
 from aerolake.streaming import scoring as sc
 from conftest import SF_SMALL
@@ -71,6 +72,31 @@ def test_training_reads_small_splits(spark, monkeypatch):
     assert seen == [ml.TRAIN_SPLIT] and spark.conf.get(key) == own
 
 
+def test_results_of_a_day_train_on_few_rows_a_task(spark, scratch, monkeypatch):
+    def table(name, n, *columns):
+        spark.range(n).selectExpr(*columns).coalesce(1).write.parquet(f"{scratch}/{name}.parquet")
+
+    table("nation", 25, "cast(id AS int) AS n_nationkey", "concat('NATION_', id) AS n_name")
+    table("customer", 50, "id AS c_custkey", "cast(id % 25 AS int) AS c_nationkey", "element_at(array('BUILDING', 'MACHINERY'), cast(id % 2 + 1 AS int)) AS c_mktsegment")
+    table("supplier", 25, "id AS s_suppkey", "cast(id AS int) AS s_nationkey")
+    table("part", 40, "id AS p_partkey", "900.0D + id AS p_retailprice")
+    table("orders", 600, "id AS o_orderkey", "id % 50 AS o_custkey")
+    table("lineitem", 3000, "id % 600 AS l_orderkey", "cast(id % 7 + 1 AS int) AS l_linenumber", "id % 40 AS l_partkey", "id % 25 AS l_suppkey",
+          "cast(id % 50 + 1 AS double) AS l_quantity", "timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(cast(id % 900 AS int)) AS l_shipdate")
+    table("events", 400, "id AS event_id", f"timestamp_ntz'{RESULT_DAY} 00:00:00' + make_dt_interval(cast(id % 4 AS int) - 1, 5) AS ts", "id AS user_id",
+          "if(id % 8 = 1, 'error', 'click') AS event_type", "cast(id AS double) AS value")
+    held, fit = [], ml.Pipeline.fit
+    # A task reads one file here, as it does of files and splits of the set sizes.
+    monkeypatch.setattr(stored, "ROWS_PER_FILE", 100)
+    monkeypatch.setattr(ml, "TRAIN_SPLIT", "4m", raising=False)
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, data: (held.extend(r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()), fit(self, data))[1])
+    got = QUERIES["batch_results_for_day"](spark, scratch)
+    assert sum(held) == 3000 and max(held) < 300
+    # Events 1, 5, 9, ... are of that day; every other one of them is an error.
+    assert [r["count"] for r in got.groupBy("in_classes").count().collect()] == [50]
+    assert got.where(f"NOT startswith(Timestamp, '{RESULT_DAY}T05:00:00')").isEmpty()
+
+
 def test_a_store_compares_only_repeated_keys(spark, scratch):
     rows = spark.createDataFrame([("u", 1.0), ("u", 1.0), ("v", 2.0), (None, 3.0), (None, 3.0)], "UUID string, prediction double")
     sc.store_writer(scratch + "/s")(rows, 0)
